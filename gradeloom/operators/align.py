@@ -18,29 +18,23 @@ CARRIED = [c for c in CREATION_COLUMNS if c != "task_points"]
 
 def task_names(log: DataFrame) -> DataFrame:
     """One row per learner, course and task name: was it created, how often, was it submitted."""
-    role = F.explode(
-        F.array(
-            F.struct(F.col("task_name").alias("name"), F.lit(True).alias("creation")),
-            F.struct(F.col("sub_task_name").alias("name"), F.lit(False).alias("creation")),
-        )
-    )
     roles = (
-        log.where(F.col("task_name").isNotNull() | F.col("sub_task_name").isNotNull())
-        .select(*KEYS, "row_id", *CREATION_COLUMNS, role.alias("role"))
-        .where(F.col("role.name").isNotNull())
-    )
-    creation = F.col("role.creation")
-    firsts = [
-        F.min_by(c, F.when(creation & F.col(c).isNotNull(), F.col("row_id"))).alias(f"name_{c}")
-        for c in CARRIED
-    ]
-    return roles.groupBy(*KEYS, F.col("role.name").alias("name")).agg(
-        F.count_if(creation).alias("creations"),
-        F.count_if(~creation).alias("submissions"),
-        F.sum(F.when(creation, F.col("task_points"))).alias("name_points_sum"),
-        F.count(F.when(creation, F.col("task_points"))).alias("name_points_n"),
-        *firsts,
+        log.where("task_name is not null or sub_task_name is not null")
+        .selectExpr(
+            *KEYS, "row_id", *CREATION_COLUMNS,
+            "explode(array(struct(task_name as name, true as creation),"
+            " struct(sub_task_name as name, false as creation))) as role",
+        )
+        .where("role.name is not null")
+        .selectExpr(*KEYS, "row_id", *CREATION_COLUMNS, "role.name", "role.creation")
     )
+    return roles.groupBy(*KEYS, "name").agg(*[F.expr(e) for e in (
+        "count_if(creation) as creations",
+        "count_if(not creation) as submissions",
+        "sum(if(creation, task_points, null)) as name_points_sum",
+        "count(if(creation, task_points, null)) as name_points_n",
+        *[f"min_by({c}, if(creation and {c} is not null, row_id, null)) as name_{c}" for c in CARRIED],
+    )])
 
 
 def align(log: DataFrame) -> DataFrame:
@@ -56,31 +50,21 @@ def align(log: DataFrame) -> DataFrame:
         [F.col(k) == F.col(f"name_{k}") for k in KEYS] + [own_name == F.col("name")],
         "left",
     )
-
-    submission = F.col("sub_task_name").isNotNull()
-    creation = ~submission & F.col("task_name").isNotNull()
-    submitted = F.coalesce(F.col("submissions"), F.lit(0)) > 0
-    used = creation & submitted
-    missed = creation & ~submitted
-
-    carried = [
-        F.when(submission, F.col(f"name_{c}")).when(~used, F.col(c)).alias(c) for c in CARRIED
-    ]
-    points_sum = F.when(submission, F.col("name_points_sum")).when(~used, F.col("task_points"))
-    points_n = (
-        F.when(submission, F.coalesce("name_points_n", F.lit(0)))
-        .when(~used & F.col("task_points").isNotNull(), 1)
-        .otherwise(0)
+    roles = met.selectExpr(
+        "*",
+        "sub_task_name is not null as submission",
+        "sub_task_name is null and task_name is not null and submissions > 0 as used",
+        "sub_task_name is null and task_name is not null and submissions = 0 as missed",
     )
     changed = {*CREATION_COLUMNS, "sub_task_name", "sub_score"}
-    return met.select(
+    return roles.selectExpr(
         *[c for c in log.columns if c not in changed],
-        *carried,
-        points_sum.alias("points_sum"),
-        points_n.cast("long").alias("points_n"),
-        F.when(missed, F.col("task_name")).otherwise(F.col("sub_task_name")).alias("sub_task_name"),
-        F.when(missed, 0.0).otherwise(F.col("sub_score")).alias("sub_score"),
-        F.when(submission, F.greatest(F.coalesce("creations", F.lit(0)), F.lit(1)))
-        .otherwise(1).cast("long").alias("weight"),
-        F.when(submission, 1).otherwise(0).alias("tie_rank"),
+        *[f"case when submission then name_{c} when not used then {c} end as {c}" for c in CARRIED],
+        "case when submission then name_points_sum when not used then task_points end as points_sum",
+        "case when submission then coalesce(name_points_n, 0L)"
+        " when not used and task_points is not null then 1L else 0L end as points_n",
+        "if(missed, task_name, sub_task_name) as sub_task_name",
+        "if(missed, 0.0D, sub_score) as sub_score",
+        "if(submission, greatest(coalesce(creations, 0L), 1L), 1L) as weight",
+        "if(submission, 1, 0) as tie_rank",
     )

@@ -8,7 +8,7 @@ anew.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gradeloom.session import materialize, shuffle_width
 
@@ -20,13 +20,12 @@ def range_blocks(df: DataFrame, keys: list[str], order: list[Column], blocks: in
     return materialize(cut)
 
 
-def before_block(totals: DataFrame, keys: list[str], folds: dict[str, Column]) -> DataFrame:
+def before_block(totals: DataFrame, keys: list[str], folds: dict[str, str]) -> DataFrame:
     """Block totals (one row per key and block) folded over all earlier blocks of the key.
 
     `folds` maps a new name to an aggregate over the totals. A key has at most as many rows here as
     there are blocks.
     """
-    earlier = (
-        Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return totals.select(*keys, "block", *[f.over(earlier).alias(n) for n, f in folds.items()])
+    part = f"partition by {', '.join(keys)}" if keys else ""
+    earlier = f"({part} order by block rows between unbounded preceding and 1 preceding)"
+    return totals.selectExpr(*keys, "block", *[f"{call} over {earlier} as {n}" for n, call in folds.items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gradeloom.schema import EPOCH_COLUMNS, KEYS, TEXT_COLUMNS
 
@@ -11,85 +11,67 @@ MEAN_COLUMNS = ["step", "exam_grade", "final_grade", "sub_score"]
 EXAM_RANK = 2
 TASK_RANK = 3
 
+# Folded rows stand in name order among rows of one step. The key is unique, so the result does not
+# depend on how the input lies.
+TIE_NAME = f"case tie_rank when {EXAM_RANK} then exam_name when {TASK_RANK} then sub_task_name else '' end"
+ORDER_KEY = ["step", "tie_rank", f"{TIE_NAME} as tie_name", "row_id"]
 
-def tie_name() -> Column:
-    """Folded rows stand in name order among rows of one step."""
-    return (
-        F.when(F.col("tie_rank") == EXAM_RANK, F.col("exam_name"))
-        .when(F.col("tie_rank") == TASK_RANK, F.col("sub_task_name"))
-        .otherwise("")
-    )
+# Row order that decides which text is the first. After the exams are folded, the folded rows stand
+# behind all others by exam name, whatever their step.
+LOG_PLACE = "struct(step, tie_rank, row_id)"
+FOLDED_PLACE = (
+    f"if(tie_rank = {EXAM_RANK}, struct(1 as a, 0.0D as b, 0 as c, exam_name as d, row_id as e),"
+    " struct(0 as a, step as b, tie_rank as c, '' as d, row_id as e))"
+)
 
 
-def order_key() -> list[Column]:
-    """Row order inside a learner and course; unique, so any shuffle of the input gives one result."""
-    return [F.col("step"), F.col("tie_rank"), tie_name().alias("tie_name"), F.col("row_id")]
+def order_key() -> list:
+    return [F.expr(c) for c in ORDER_KEY]
 
 
-def fold(log: DataFrame, name: str, rank: int) -> DataFrame:
+def fold(log: DataFrame, name: str, rank: int, place: str) -> DataFrame:
     """One row per learner, course and `name`; rows without the name pass through as they are.
 
     Numbers become the mean of their non-null values over the pairs, texts and instants the first
-    non-null in row order. A row without the name is a group of its own (`alone`), so one
+    non-null in the order of `place`. A row without the name is a group of its own (`alone`), so one
     aggregation, combined before the shuffle, does both and a hot name never meets in one task.
     """
-    named = F.col(name).isNotNull()
-    # rows folded before stand behind all others here, by exam name; steps count only before them
-    folded = F.col("tie_rank") == EXAM_RANK
-    place = F.struct(
-        F.when(folded, 1).otherwise(0),
-        F.when(folded, 0.0).otherwise(F.col("step")),
-        F.when(folded, 0).otherwise(F.col("tie_rank")),
-        F.when(folded, F.col("exam_name")).otherwise(""),
-        F.col("row_id"),
-    )
-    ready = log.withColumns({
-        "alone": F.when(~named, F.col("row_id")),
-        "pairs": F.when(named, F.col("weight")).otherwise(1),
-        "place": place,
-    })
-
-    means = [
-        F.try_divide(
-            F.sum(F.col(c) * F.col("pairs")),
-            F.sum(F.when(F.col(c).isNotNull(), F.col("pairs"))),
-        ).alias(c)
-        for c in MEAN_COLUMNS
-    ]
-    firsts = [
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.col("place"))).alias(c)
-        for c in TEXT_COLUMNS + EPOCH_COLUMNS
-        if c != name
-    ]
-    grouped = ready.groupBy(*KEYS, name, "alone").agg(
-        *means,
-        *firsts,
-        F.sum("points_sum").alias("points_sum"),
-        F.sum("points_n").alias("points_n"),
-        F.sum("pairs").alias("pairs"),
-        F.max("weight").alias("weight"),
-        F.min("tie_rank").alias("tie_rank"),
-        F.min("row_id").alias("row_id"),
+    ready = log.selectExpr(
+        "*",
+        f"if({name} is null, row_id, null) as alone",
+        f"if({name} is null, 1, weight) as pairs",
+        f"{place} as place",
     )
-    points = F.try_divide("points_sum", "points_n")
-    return grouped.select(
-        "row_id", *KEYS,
-        *MEAN_COLUMNS,
-        *TEXT_COLUMNS,
-        *EPOCH_COLUMNS,
-        F.when(named, points).otherwise(F.col("points_sum")).alias("points_sum"),
-        F.when(named, F.when(points.isNotNull(), 1).otherwise(0))
-        .otherwise(F.col("points_n")).cast("long").alias("points_n"),
-        F.when(named, 1).otherwise(F.col("weight")).cast("long").alias("weight"),
-        F.when(named & (F.col("pairs") > 1), rank).otherwise(F.col("tie_rank")).alias("tie_rank"),
+    grouped = ready.groupBy(*KEYS, name, "alone").agg(*[F.expr(e) for e in (
+        *[f"try_divide(sum({c} * pairs), sum(if({c} is null, null, pairs))) as {c}" for c in MEAN_COLUMNS],
+        *[f"min_by({c}, if({c} is null, null, place)) as {c}" for c in TEXT_COLUMNS + EPOCH_COLUMNS if c != name],
+        "sum(points_sum) as points_sum",
+        "sum(points_n) as points_n",
+        "sum(pairs) as pairs",
+        "max(weight) as weight",
+        "min(tie_rank) as tie_rank",
+        "min(row_id) as row_id",
+    )])
+    return grouped.selectExpr(
+        "row_id", *KEYS, *MEAN_COLUMNS, *TEXT_COLUMNS, *EPOCH_COLUMNS,
+        # a named row is one row from here on, whatever it was folded from
+        f"if({name} is null, points_sum, try_divide(points_sum, points_n)) as points_sum",
+        f"if({name} is null, points_n, least(points_n, 1)) as points_n",
+        f"if({name} is null, weight, 1) as weight",
+        f"if({name} is not null and pairs > 1, {rank}, tie_rank) as tie_rank",
     )
 
 
+def fold_exams(log: DataFrame) -> DataFrame:
+    return fold(log, "exam_name", EXAM_RANK, LOG_PLACE)
+
+
 def collapse(aligned: DataFrame) -> DataFrame:
     """Exams first, then submissions on the result."""
-    once = fold(fold(aligned, "exam_name", EXAM_RANK), "sub_task_name", TASK_RANK)
-    return once.withColumn("task_points", F.try_divide("points_sum", "points_n")).drop(
-        "points_sum", "points_n", "weight"
+    once = fold(fold_exams(aligned), "sub_task_name", TASK_RANK, FOLDED_PLACE)
+    return once.selectExpr(
+        "row_id", *KEYS, *MEAN_COLUMNS, *TEXT_COLUMNS, *EPOCH_COLUMNS,
+        "try_divide(points_sum, points_n) as task_points", "tie_rank",
     )
 
 

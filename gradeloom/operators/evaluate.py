@@ -54,7 +54,7 @@ def score_steps(scored: DataFrame, by: list[str] = [], blocks: int | None = None
     cut = range_blocks(counts, by, [down], blocks)
     totals = cut.groupBy(*by, "block").agg(F.sum("pos").alias("pos_here"), F.sum("neg").alias("neg_here"))
     earlier = before_block(
-        totals, by, {"pos_before": F.sum("pos_here"), "neg_before": F.sum("neg_here")}
+        totals, by, {"pos_before": "sum(pos_here)", "neg_before": "sum(neg_here)"}
     )
     ends = totals.groupBy(*by).agg(F.sum("pos_here").alias("positives"), F.sum("neg_here").alias("negatives"))
     offsets = earlier.join(ends, by) if by else earlier.withColumns(

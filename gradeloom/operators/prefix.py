@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gradeloom.functions.scalars import exam_flags, fails, grade_per_score, task_flags, timings
 from gradeloom.operators.blocks import before_block, range_blocks
@@ -10,6 +10,15 @@ from gradeloom.operators.collapse import order_key
 from gradeloom.schema import COUNTERS, EXAM_GROUPS, FEATURES, KEYS, MEASURES
 
 ORDER = ["step", "tie_rank", "tie_name", "row_id"]
+CALLS = {"min": "min", "max": "max", "mean": "avg", "std": "stddev_samp"}
+
+
+def frame(keys: list[str]) -> str:
+    """The rows of the same keys up to the current one."""
+    return (
+        f"(partition by {', '.join(keys)} order by {', '.join(ORDER)}"
+        " rows between unbounded preceding and current row)"
+    )
 
 
 def measured(clean: DataFrame, groups: dict = EXAM_GROUPS, keep_null_hours: bool = False) -> DataFrame:
@@ -20,24 +29,13 @@ def measured(clean: DataFrame, groups: dict = EXAM_GROUPS, keep_null_hours: bool
 
 def running(rows: DataFrame) -> DataFrame:
     """All running features over one window, for groups that fit a task."""
-    w = (
-        Window.partitionBy(*KEYS).orderBy(*ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    stats = []
-    for m in MEASURES:
-        stats += [
-            F.min(m).over(w).alias(f"{m}_min"),
-            F.max(m).over(w).alias(f"{m}_max"),
-            F.avg(m).over(w).alias(f"{m}_mean"),
-            F.stddev_samp(m).over(w).alias(f"{m}_std"),
-        ]
-    return rows.select(
+    w = frame(KEYS)
+    return rows.selectExpr(
         *KEYS, "row_id", "tie_rank", "tie_name",
-        F.first("target").over(w).alias("target"),
-        F.max("step").over(w).alias("step"),
-        *[F.sum(flag).over(w).cast("double").alias(out) for out, flag in COUNTERS.items()],
-        *stats,
+        f"first(target) over {w} as target",
+        f"max(step) over {w} as step",
+        *[f"cast(sum({flag}) over {w} as double) as {out}" for out, flag in COUNTERS.items()],
+        *[f"{call}({m}) over {w} as {m}_{s}" for m in MEASURES for s, call in CALLS.items()],
     )
 
 
@@ -48,59 +46,52 @@ def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
     """
     cut = range_blocks(rows, KEYS, [F.col(c) for c in ORDER], blocks)
     group = cut.groupBy(*KEYS).agg(
-        F.min_by("target", F.struct(*ORDER)).alias("target_first"),
-        *[F.avg(m).alias(f"{m}_centre") for m in MEASURES],
+        F.expr(f"min_by(target, struct({', '.join(ORDER)})) as target_first"),
+        *[F.expr(f"avg({m}) as {m}_centre") for m in MEASURES],
     )
-    cut = cut.drop("target").join(group, KEYS)
-    cut = cut.withColumns({f"{m}_dev": F.col(m) - F.col(f"{m}_centre") for m in MEASURES})
-    parts = {f"{out}_part": F.sum(flag) for out, flag in COUNTERS.items()}
-    parts["step_part"] = F.max("step")
+    cut = cut.drop("target").join(group, KEYS).selectExpr("*", *[f"{m} - {m}_centre as {m}_dev" for m in MEASURES])
+
+    # how each part is taken inside a block, and how parts of blocks are put together
+    parts, fold = {"step_part": "max(step)"}, {"step_part": "max"}
+    for out, flag in COUNTERS.items():
+        parts[f"{out}_part"], fold[f"{out}_part"] = f"sum({flag})", "sum"
     for m in MEASURES:
-        parts |= {
-            f"{m}_min_part": F.min(m), f"{m}_max_part": F.max(m), f"{m}_n_part": F.count(m),
-            f"{m}_dev_part": F.sum(f"{m}_dev"), f"{m}_sq_part": F.sum(F.pow(f"{m}_dev", F.lit(2))),
-        }
-
-    totals = cut.groupBy(*KEYS, "block").agg(*[a.alias(n) for n, a in parts.items()])
-    fold = {n: F.sum(n) for n in parts}
-    fold |= {n: F.min(n) for n in parts if n.endswith("_min_part")}
-    fold |= {n: F.max(n) for n in parts if n.endswith("_max_part") or n == "step_part"}
-    earlier = before_block(totals, KEYS, {f"{n}_before": a for n, a in fold.items()})
-
-    w = (
-        Window.partitionBy(*KEYS, "block").orderBy(*ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    here = cut.select(
+        for part, call, how in (
+            ("min", f"min({m})", "min"), ("max", f"max({m})", "max"), ("n", f"count({m})", "sum"),
+            ("dev", f"sum({m}_dev)", "sum"), ("sq", f"sum({m}_dev * {m}_dev)", "sum"),
+        ):
+            parts[f"{m}_{part}_part"], fold[f"{m}_{part}_part"] = call, how
+
+    totals = cut.groupBy(*KEYS, "block").agg(*[F.expr(f"{call} as {n}") for n, call in parts.items()])
+    earlier = before_block(totals, KEYS, {f"{n}_before": f"{how}({n})" for n, how in fold.items()})
+    w = frame([*KEYS, "block"])
+    here = cut.selectExpr(
         *KEYS, "block", "row_id", "tie_rank", "tie_name", "target_first",
         *[f"{m}_centre" for m in MEASURES],
-        *[a.over(w).alias(n) for n, a in parts.items()],
+        *[f"{call} over {w} as {n}" for n, call in parts.items()],
     ).join(earlier, [*KEYS, "block"])
 
-    def total(n):
-        # a missing side is a block, or all before it, without any value
-        a, b = F.col(n), F.col(f"{n}_before")
-        if n.endswith("_min_part"):
-            return F.least(a, b)
-        if n.endswith("_max_part") or n == "step_part":
-            return F.greatest(a, b)
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-
+    # a part is null where a block, or all before it, has no value
+    meet = {
+        "min": "least({0}, {0}_before)", "max": "greatest({0}, {0}_before)",
+        "sum": "coalesce({0}, 0) + coalesce({0}_before, 0)",
+    }
+    whole = here.selectExpr(
+        *KEYS, "row_id", "tie_rank", "tie_name", "target_first", *[f"{m}_centre" for m in MEASURES],
+        *[f"{meet[how].format(n)} as {n}" for n, how in fold.items()],
+    )
     stats = []
     for m in MEASURES:
-        n, dev, sq = (total(f"{m}_{p}_part") for p in ("n", "dev", "sq"))
-        spread = F.greatest(sq - dev * dev / n, F.lit(0.0))
+        n, dev, sq = (f"{m}_{p}_part" for p in ("n", "dev", "sq"))
         stats += [
-            total(f"{m}_min_part").alias(f"{m}_min"),
-            total(f"{m}_max_part").alias(f"{m}_max"),
-            F.when(n > 0, F.col(f"{m}_centre") + dev / n).alias(f"{m}_mean"),
-            F.when(n > 1, F.sqrt(spread / (n - 1))).alias(f"{m}_std"),
+            f"{m}_min_part as {m}_min",
+            f"{m}_max_part as {m}_max",
+            f"if({n} > 0, {m}_centre + {dev} / {n}, null) as {m}_mean",
+            f"if({n} > 1, sqrt(greatest({sq} - {dev} * {dev} / {n}, 0.0D) / ({n} - 1)), null) as {m}_std",
         ]
-    return here.select(
-        *KEYS, "row_id", "tie_rank", "tie_name",
-        F.col("target_first").alias("target"),
-        total("step_part").alias("step"),
-        *[total(f"{out}_part").cast("double").alias(out) for out in COUNTERS],
+    return whole.selectExpr(
+        *KEYS, "row_id", "tie_rank", "tie_name", "target_first as target", "step_part as step",
+        *[f"cast({out}_part as double) as {out}" for out in COUNTERS],
         *stats,
     )
 
@@ -112,8 +103,10 @@ def useful(features: DataFrame) -> DataFrame:
 
 def finished(features: DataFrame) -> DataFrame:
     """Ratio added, rows without exam or task left out, nulls as 0."""
-    ready = useful(features.withColumn("grade_per_score", grade_per_score())).fillna(0.0)
-    return ready.select(*KEYS, "row_id", "tie_rank", "tie_name", "target", *FEATURES)
+    ready = useful(features.withColumn("grade_per_score", grade_per_score()))
+    return ready.selectExpr(
+        *KEYS, "row_id", "tie_rank", "tie_name", "target", *[f"coalesce({f}, 0.0D) as {f}" for f in FEATURES]
+    )
 
 
 def latest(features: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from gradeloom.functions import scalars as S
 from gradeloom.operators import collapse as C, evaluate as E, model as M, prefix as P, report as R, runs as U
@@ -30,26 +30,26 @@ def query(f):
     return f
 
 
-def pinned(c: Column) -> Column:
+def pinned(c: str) -> str:
     """Five decimals, cut off the half so that two engines' last bits cannot part on a tie."""
-    return F.floor(c * 100000.0 + 0.50003) / 100000.0
+    return f"floor({c} * 100000.0D + 0.50003D) / 100000.0D"
 
 
 def plain(df: DataFrame) -> DataFrame:
     """Types that compare alike in any engine: longs, pinned doubles, instants as epoch seconds."""
     cols = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, T.TimestampType):
-            c = F.unix_seconds(c)
+            c = f"unix_seconds({c})"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = pinned(c)
         elif isinstance(f.dataType, T.IntegralType):
-            c = c.cast("long")
+            c = f"cast({c} as long)"
         elif isinstance(f.dataType, T.BooleanType):
-            c = c.cast("int").cast("long")
-        cols.append(c.alias(f.name))
-    return df.select(cols)
+            c = f"cast(cast({c} as int) as long)"
+        cols.append(f"{c} as `{f.name}`")
+    return df.selectExpr(*cols)
 
 
 # -- inputs derived from the tables ---------------------------------------------------------------
@@ -298,7 +298,7 @@ def names_created_never_submitted(spark, sf_dir):
 
 @query
 def collapsed_exams(spark, sf_dir):
-    once = C.fold(align(repair(gradebook(spark, sf_dir))), "exam_name", C.EXAM_RANK)
+    once = C.fold_exams(align(repair(gradebook(spark, sf_dir))))
     return once.where("exam_name is not null").select(
         "row_id", *KEYS, "tie_rank", "step", "exam_name", "exam_grade", "course_name", "exam_table_at"
     )

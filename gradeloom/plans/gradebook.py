@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeloom.sources.activity import conform
-
 EXAMS = {
     "part_exam": ["PART 1", "PART 2"],
     "integrator": ["FINAL PROJECT"],
@@ -51,7 +49,7 @@ def gradebook(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type = 'view' as creation",
         "event_type = 'click' as submission",
     )
-    return conform(base.selectExpr(*[c.strip() for c in _split(COLUMNS)]))
+    return base.selectExpr(*[c.strip() for c in _split(COLUMNS)])
 
 
 def _split(text: str) -> list[str]:

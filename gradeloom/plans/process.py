@@ -28,8 +28,8 @@ def hot_groups(activity: DataFrame, limit: int) -> DataFrame | None:
     Cleaning never adds rows to a group, so counting two columns of the raw log is enough.
     """
     counts = activity.dropna(subset=KEYS).groupBy(*KEYS).agg(F.count("*").alias("n"))
-    hot = materialize(counts.where(F.col("n") > limit).select(*KEYS))
-    return None if hot.isEmpty() else hot
+    hot = counts.where(F.col("n") > limit).select(*KEYS)
+    return None if hot.isEmpty() else materialize(hot)
 
 
 def by_size(
