@@ -42,12 +42,13 @@ def running(rows: DataFrame) -> DataFrame:
 def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
     """The same features for groups of any size, see `blocks`.
 
-    Deviations are kept from the group's mean, so the sums of squares lose no digits.
+    Sums of squares are taken around the group's first value: exactly 0 as long as values do not
+    change, and no digits are lost on values far from 0.
     """
     cut = range_blocks(rows, KEYS, [F.col(c) for c in ORDER], blocks)
     group = cut.groupBy(*KEYS).agg(
         F.expr(f"min_by(target, struct({', '.join(ORDER)})) as target_first"),
-        *[F.expr(f"avg({m}) as {m}_centre") for m in MEASURES],
+        *[F.expr(f"min_by({m}, if({m} is null, null, struct({', '.join(ORDER)}))) as {m}_centre") for m in MEASURES],
     )
     cut = cut.drop("target").join(group, KEYS).selectExpr("*", *[f"{m} - {m}_centre as {m}_dev" for m in MEASURES])
 
