@@ -535,3 +535,21 @@ select run_id, stage, algorithm, {pins([f"{m}_pct" for m in BOARD])},
   {", ".join(pin(f"round_even(round_even(100 * {m}_raw, 2) - (select avg({m}_pct) from board), 2)", f"{m}_gap") for m in BOARD)}
 from board"""),
 }
+
+
+def longs(name: str, *columns: str) -> None:
+    """Give integer columns the type the engine gives them."""
+    casts = ", ".join(f"cast({c} as bigint) as {c}" for c in columns)
+    SQL[name] = f"select * replace ({casts}) from ({SQL[name]})"
+
+
+longs("targets", "target", "has_final")
+longs("exam_and_task_flags", *COUNTERS.values())
+for _name in ("aligned_log", "aligned_submissions", "collapsed_exams", "cleaned_log", "cleaned_log_hot_groups", "ordered_log"):
+    longs(_name, "tie_rank")
+for _name in ("prefix_features", "prefix_features_hot_groups", "latest_rows"):
+    longs(_name, "tie_rank", "target")
+for _name in ("class_balance", "train_test_split", "fold_numbers", "oversampled", "undersampled", "smote_rows"):
+    longs(_name, "target")
+longs("submitted_creations", "points_n")
+longs("predicted_class", "predicted")

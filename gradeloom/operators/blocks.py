@@ -29,3 +29,12 @@ def before_block(totals: DataFrame, keys: list[str], folds: dict[str, str]) -> D
     part = f"partition by {', '.join(keys)}" if keys else ""
     earlier = f"({part} order by block rows between unbounded preceding and 1 preceding)"
     return totals.selectExpr(*keys, "block", *[f"{call} over {earlier} as {n}" for n, call in folds.items()])
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "row_id", blocks: int | None = None) -> DataFrame:
+    """Number the rows from 0 along a unique order."""
+    cut = range_blocks(df, [], [F.col(c) for c in order], blocks)
+    before = before_block(cut.groupBy("block").agg(F.count("*").alias("n")), [], {"earlier": "sum(n)"})
+    place = F.expr(f"row_number() over (partition by block order by {', '.join(order)}) - 1L")
+    joined = cut.withColumn("place", place).join(before, "block")
+    return joined.withColumn(name, F.col("place") + F.coalesce("earlier", F.lit(0))).drop("block", "place", "earlier")

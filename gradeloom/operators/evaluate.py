@@ -94,15 +94,19 @@ def auc(scored: DataFrame, by: list[str] = [], blocks: int | None = None) -> Dat
     return steps.groupBy(*by).agg(area.alias("roc_auc"))
 
 
-def area_under(points: DataFrame, by: list[str] = []) -> DataFrame:
-    """Trapezoid area under given ROC points (fpr, tpr), at most a few thousand for each model."""
-    along = Window.partitionBy(*by).orderBy("fpr", "tpr")
-    slabs = points.select(
-        *by,
-        ((F.col("fpr") - F.lag("fpr").over(along)) * (F.col("tpr") + F.lag("tpr").over(along)) / 2.0)
-        .alias("slab"),
-    )
-    return slabs.groupBy(*by).agg(F.sum("slab").alias("area"))
+def area_under(points: DataFrame, by: list[str] = [], blocks: int | None = None) -> DataFrame:
+    """Trapezoid area under given ROC points (fpr, tpr).
+
+    Each block takes the last point of the block before it along, so no task sees a whole curve.
+    """
+    cut = range_blocks(points.select(*by, "fpr", "tpr"), by, [F.col("fpr"), F.col("tpr")], blocks)
+    ends = cut.groupBy(*by, "block").agg(F.expr("max(struct(fpr, tpr)) as last"))
+    carried = before_block(ends, by, {"carry": "max(last)"})
+    along = f"(partition by {', '.join([*by, 'block'])} order by fpr, tpr)"
+    last = F.coalesce(F.expr(f"lag(struct(fpr, tpr)) over {along}"), F.col("carry"))
+    steps = cut.join(carried, [*by, "block"]).withColumn("last", last)
+    slab = "sum((fpr - last.fpr) * (tpr + last.tpr) / 2.0D) as area"
+    return steps.groupBy(*by).agg(F.expr(slab))
 
 
 def hard_auc(counts: DataFrame) -> DataFrame:

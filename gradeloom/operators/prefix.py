@@ -27,19 +27,24 @@ def measured(clean: DataFrame, groups: dict = EXAM_GROUPS, keep_null_hours: bool
     return wide.select(*KEYS, *order_key(), "target", *COUNTERS.values(), *MEASURES)
 
 
-def running(rows: DataFrame) -> DataFrame:
+def running(rows: DataFrame, counters: dict = COUNTERS, measures: list[str] = MEASURES) -> DataFrame:
     """All running features over one window, for groups that fit a task."""
     w = frame(KEYS)
     return rows.selectExpr(
         *KEYS, "row_id", "tie_rank", "tie_name",
         f"first(target) over {w} as target",
         f"max(step) over {w} as step",
-        *[f"cast(sum({flag}) over {w} as double) as {out}" for out, flag in COUNTERS.items()],
-        *[f"{call}({m}) over {w} as {m}_{s}" for m in MEASURES for s, call in CALLS.items()],
+        *[f"cast(sum({flag}) over {w} as double) as {out}" for out, flag in counters.items()],
+        *[f"{call}({m}) over {w} as {m}_{s}" for m in measures for s, call in CALLS.items()],
     )
 
 
-def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
+def running_in_blocks(
+    rows: DataFrame,
+    counters: dict = COUNTERS,
+    measures: list[str] = MEASURES,
+    blocks: int | None = None,
+) -> DataFrame:
     """The same features for groups of any size, see `blocks`.
 
     Sums of squares are taken around the group's first value: exactly 0 as long as values do not
@@ -48,15 +53,15 @@ def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
     cut = range_blocks(rows, KEYS, [F.col(c) for c in ORDER], blocks)
     group = cut.groupBy(*KEYS).agg(
         F.expr(f"min_by(target, struct({', '.join(ORDER)})) as target_first"),
-        *[F.expr(f"min_by({m}, if({m} is null, null, struct({', '.join(ORDER)}))) as {m}_centre") for m in MEASURES],
+        *[F.expr(f"min_by({m}, if({m} is null, null, struct({', '.join(ORDER)}))) as {m}_centre") for m in measures],
     )
-    cut = cut.drop("target").join(group, KEYS).selectExpr("*", *[f"{m} - {m}_centre as {m}_dev" for m in MEASURES])
+    cut = cut.drop("target").join(group, KEYS).selectExpr("*", *[f"{m} - {m}_centre as {m}_dev" for m in measures])
 
     # how each part is taken inside a block, and how parts of blocks are put together
     parts, fold = {"step_part": "max(step)"}, {"step_part": "max"}
-    for out, flag in COUNTERS.items():
+    for out, flag in counters.items():
         parts[f"{out}_part"], fold[f"{out}_part"] = f"sum({flag})", "sum"
-    for m in MEASURES:
+    for m in measures:
         for part, call, how in (
             ("min", f"min({m})", "min"), ("max", f"max({m})", "max"), ("n", f"count({m})", "sum"),
             ("dev", f"sum({m}_dev)", "sum"), ("sq", f"sum({m}_dev * {m}_dev)", "sum"),
@@ -68,7 +73,7 @@ def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
     w = frame([*KEYS, "block"])
     here = cut.selectExpr(
         *KEYS, "block", "row_id", "tie_rank", "tie_name", "target_first",
-        *[f"{m}_centre" for m in MEASURES],
+        *[f"{m}_centre" for m in measures],
         *[f"{call} over {w} as {n}" for n, call in parts.items()],
     ).join(earlier, [*KEYS, "block"])
 
@@ -78,11 +83,11 @@ def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
         "sum": "coalesce({0}, 0) + coalesce({0}_before, 0)",
     }
     whole = here.selectExpr(
-        *KEYS, "row_id", "tie_rank", "tie_name", "target_first", *[f"{m}_centre" for m in MEASURES],
+        *KEYS, "row_id", "tie_rank", "tie_name", "target_first", *[f"{m}_centre" for m in measures],
         *[f"{meet[how].format(n)} as {n}" for n, how in fold.items()],
     )
     stats = []
-    for m in MEASURES:
+    for m in measures:
         n, dev, sq = (f"{m}_{p}_part" for p in ("n", "dev", "sq"))
         stats += [
             f"{m}_min_part as {m}_min",
@@ -92,7 +97,7 @@ def running_in_blocks(rows: DataFrame, blocks: int | None = None) -> DataFrame:
         ]
     return whole.selectExpr(
         *KEYS, "row_id", "tie_rank", "tie_name", "target_first as target", "step_part as step",
-        *[f"cast({out}_part as double) as {out}" for out in COUNTERS],
+        *[f"cast({out}_part as double) as {out}" for out in counters],
         *stats,
     )
 

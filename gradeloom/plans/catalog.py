@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gradeloom.functions import scalars as S
 from gradeloom.operators import collapse as C, evaluate as E, model as M, prefix as P, report as R, runs as U
@@ -12,7 +12,7 @@ from gradeloom.operators.repair import malformed_terms, repair
 from gradeloom.operators.sample import folds, oversample, split, undersample
 from gradeloom.operators.smote import smote
 from gradeloom.plans.gradebook import EXAMS, gradebook
-from gradeloom.plans.process import HOT_LIMIT, clean_log, feature_table, sorted_log
+from gradeloom.plans.process import HOT_LIMIT, clean_log, exam_history, feature_table, sorted_log
 from gradeloom.plans.train import batch_score
 from gradeloom.schema import EPOCH_COLUMNS, FEATURES, KEYS, TEXT_COLUMNS
 from gradeloom.session import materialize, tuned
@@ -157,8 +157,7 @@ def zero_for_missing_grades(spark, sf_dir):
 
 @query
 def useful_rows(spark, sf_dir):
-    rows = P.running(P.measured(clean_log(gradebook(spark, sf_dir)), EXAMS))
-    return P.useful(rows).select("row_id", *KEYS, "tasks_sum", "exams_sum")
+    return feature_table(gradebook(spark, sf_dir), EXAMS).select("row_id", *KEYS, "tasks_sum", "exams_sum")
 
 
 @query
@@ -340,16 +339,9 @@ def prefix_features_null_hours(spark, sf_dir):
 
 @query
 def prefix_exam_features(spark, sf_dir):
-    """Exam grades only, on the repaired log without alignment."""
-    log = repair(gradebook(spark, sf_dir)).select("row_id", *KEYS, "step", "exam_grade")
-    w = Window.partitionBy(*KEYS).orderBy("step", "row_id").rowsBetween(Window.unboundedPreceding, 0)
-    return log.select(
-        "row_id",
-        F.count("exam_grade").over(w).alias("exams"),
-        F.min("exam_grade").over(w).alias("grade_min"),
-        F.max("exam_grade").over(w).alias("grade_max"),
-        F.avg("exam_grade").over(w).alias("grade_mean"),
-        F.stddev_samp("exam_grade").over(w).alias("grade_std"),
+    return exam_history(gradebook(spark, sf_dir)).selectExpr(
+        "row_id", "cast(graded_sum as long) as exams", "exam_grade_min as grade_min",
+        "exam_grade_max as grade_max", "exam_grade_mean as grade_mean", "exam_grade_std as grade_std",
     )
 
 

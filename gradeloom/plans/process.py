@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from gradeloom.operators.align import align
-from gradeloom.operators.collapse import collapse
+from gradeloom.operators.collapse import collapse, order_key
 from gradeloom.operators.prefix import finished, measured, running, running_in_blocks
 from gradeloom.operators.repair import repair
 from gradeloom.schema import EXAM_GROUPS, KEYS
@@ -76,8 +76,24 @@ def feature_table(
     )
 
 
+def exam_history(activity: DataFrame, hot_limit: int | None = HOT_LIMIT) -> DataFrame:
+    """Running exam statistics on the repaired log, before alignment and collapse."""
+
+    def rows(part: DataFrame) -> DataFrame:
+        return repair(part).selectExpr(
+            *KEYS, "row_id", "step", "0 as tie_rank", "'' as tie_name", "0 as target", "exam_grade",
+            "if(exam_grade is null, 0, 1) as graded",
+        )
+
+    wanted = ({"graded_sum": "graded"}, ["exam_grade"])
+    return by_size(
+        activity,
+        lambda part: running(rows(part), *wanted),
+        lambda part: running_in_blocks(rows(part), *wanted),
+        hot_limit,
+    )
+
+
 def sorted_log(clean: DataFrame) -> DataFrame:
     """The cleaned log in learner, course and row order, for people and files."""
-    from gradeloom.operators.collapse import order_key
-
     return clean.orderBy(*KEYS, *order_key())

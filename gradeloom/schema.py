@@ -45,6 +45,32 @@ EXAM_GROUPS = {
     "retake": ["RECUPERATORIO PRIMER PARCIAL(20)", "RECUPERATORIO SEGUNDO PARCIAL(20)"],
 }
 
+# Column names of the gradebook export, and ours.
+EXPORT_COLUMNS = {
+    "user_uuid": "learner_id",
+    "course_uuid": "course_id",
+    "course_name": "course_name",
+    "legajo": "learner_no",
+    "periodo": "term",
+    "particion": "step",
+    "nombre_examen": "exam_name",
+    "nota_parcial": "exam_grade",
+    "nota_final_materia": "final_grade",
+    "assignment_id": "task_id",
+    "ass_name": "task_name",
+    "ass_created_at": "task_created_at",
+    "ass_due_at": "task_due_at",
+    "ass_unlock_at": "task_unlock_at",
+    "ass_lock_at": "task_lock_at",
+    "points_possible": "task_points",
+    "ass_name_sub": "sub_task_name",
+    "score": "sub_score",
+    "s_submitted_at": "sub_submitted_at",
+    "s_graded_at": "sub_graded_at",
+    "s_created_at": "sub_created_at",
+    "fecha_mesa_epoch": "exam_table_at",
+}
+
 # running sum -> 0/1 flag it adds up
 COUNTERS = {
     "part_exams_sum": "part_exam_flag",

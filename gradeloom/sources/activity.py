@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gradeloom.functions.scalars import real, repaired_term
-from gradeloom.schema import ACTIVITY
+from gradeloom.operators.blocks import numbered
+from gradeloom.schema import ACTIVITY, EPOCH_COLUMNS, EXPORT_COLUMNS
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -32,6 +33,24 @@ def read_activity(spark: SparkSession, path: str, format: str = "parquet", **fil
     return filter_activity(conform(raw), **filters)
 
 
+def ingest_export(spark: SparkSession, csv_path: str, out_path: str) -> DataFrame:
+    """Turn a gradebook export (CSV with `;`, its own column names) into the activity table, once.
+
+    The order of lines in the export matters, so each row gets its number in it. Later jobs read the
+    Parquet table.
+    """
+    raw = spark.read.csv(csv_path, sep=";", header=True)
+    place = ["file_path", "file_block_start", "line"]
+    raw = raw.select(
+        *[F.col(theirs).alias(ours) for theirs, ours in EXPORT_COLUMNS.items()],
+        "_metadata.file_path", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("line"),
+    )
+    epochs = {c: F.col(c).cast("double").cast("long") for c in EPOCH_COLUMNS}
+    conform(numbered(raw, place).withColumns(epochs)).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 def filter_activity(
     df: DataFrame,
     course_name: str | None = None,

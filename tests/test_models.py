@@ -16,9 +16,9 @@ from gradeloom.plans.catalog import part_runs, scored
 from gradeloom.plans.gradebook import EXAMS, gradebook
 from gradeloom.plans.process import clean_log, feature_table
 from gradeloom.plans.train import batch_score, promote, train_models, write_splits
-from gradeloom.schema import EPOCH_COLUMNS, FEATURES
+from gradeloom.schema import EPOCH_COLUMNS, EXPORT_COLUMNS, FEATURES
 from gradeloom.session import materialize
-from gradeloom.sources.activity import read_activity, read_table, write_predictions, write_table
+from gradeloom.sources.activity import ingest_export, read_activity, read_table, write_predictions, write_table
 
 
 @pytest.fixture(scope="module")
@@ -193,6 +193,28 @@ def test_csv_epochs_with_fractions_are_cut(spark, tmp_path):
     assert read_activity(spark, str(tmp_path / "csv"), format="csv").first().exam_table_at == 5
 
 
+def test_export_keeps_the_order_of_its_lines(spark, tmp_path):
+    log = gradebook(spark, SF)
+    names = {ours: theirs for theirs, ours in EXPORT_COLUMNS.items()}
+    frame = log.drop("row_id").withColumnsRenamed(names).toPandas()
+    for c in ("ass_due_at", "ass_unlock_at"):
+        frame[c] = frame[c].astype(float)  # exports carry epochs like 1704067207.0
+    frame.to_csv(tmp_path / "export.csv", sep=";", index=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20000)
+    read = ingest_export(spark, str(tmp_path / "export.csv"), str(tmp_path / "activity"))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = log.toPandas()
+    expected["row_id"] = range(len(expected))
+    same(read.toPandas(), expected, 0)
+
+
+def test_area_does_not_depend_on_blocks(spark):
+    points = E.roc_points(scored(spark, SF))
+    areas = [E.area_under(points, blocks=n).first()[0] for n in (1, 7)]
+    assert areas[0] == pytest.approx(areas[1], abs=1e-12)
+    assert areas[0] == pytest.approx(E.auc(scored(spark, SF)).first()[0], abs=1e-12)
+
+
 def test_clean_log_and_features_round_trip(spark, tmp_path, features):
     clean = clean_log(gradebook(spark, SF))
     write_table(clean, str(tmp_path / "clean"))
