@@ -41,7 +41,7 @@ def align(log: DataFrame) -> DataFrame:
     """Submissions with their creations, unsubmitted creations as zero scores, the rest blanked.
 
     `task_points` leaves as sum and count over the pairs, `tie_rank` tells submissions (1) from other
-    rows (0).
+    rows (0). The join may split a hot name.
     """
     names = task_names(log).withColumnsRenamed({k: f"name_{k}" for k in KEYS})
     own_name = F.coalesce(F.col("sub_task_name"), F.col("task_name"))
@@ -50,6 +50,40 @@ def align(log: DataFrame) -> DataFrame:
         [F.col(k) == F.col(f"name_{k}") for k in KEYS] + [own_name == F.col("name")],
         "left",
     )
+    return filled(met, log.columns)
+
+
+def align_in_place(log: DataFrame) -> DataFrame:
+    """The same for a log that lies by (learner, course) in groups that fit a task: no exchange, no join.
+
+    A row that creates one task and submits another is doubled, so that its creation is seen under
+    the other name; the double leaves again.
+    """
+    own = "coalesce(sub_task_name, task_name)"
+    doubled = log.selectExpr(
+        "*",
+        "inline(filter(array("
+        f"named_struct('name', {own}, 'own', true, 'creation', coalesce(task_name = {own}, false)),"
+        " named_struct('name', task_name, 'own', false, 'creation', true)),"
+        " r -> r.own or task_name <> sub_task_name))",
+    )
+    w = (
+        f"(partition by {', '.join(KEYS)}, name order by row_id"
+        " rows between unbounded preceding and unbounded following)"
+    )
+    met = doubled.selectExpr(
+        *log.columns, "own",
+        f"count_if(creation) over {w} as creations",
+        f"count_if(own and sub_task_name is not null) over {w} as submissions",
+        f"sum(if(creation, task_points, null)) over {w} as name_points_sum",
+        f"count(if(creation, task_points, null)) over {w} as name_points_n",
+        *[f"first(if(creation, {c}, null), true) over {w} as name_{c}" for c in CARRIED],
+    )
+    return filled(met.where("own"), log.columns)
+
+
+def filled(met: DataFrame, columns: list[str]) -> DataFrame:
+    """Log rows that know their task name's creations and submissions, put right."""
     roles = met.selectExpr(
         "*",
         "sub_task_name is not null as submission",
@@ -58,7 +92,7 @@ def align(log: DataFrame) -> DataFrame:
     )
     changed = {*CREATION_COLUMNS, "sub_task_name", "sub_score"}
     return roles.selectExpr(
-        *[c for c in log.columns if c not in changed],
+        *[c for c in columns if c not in changed],
         *[f"case when submission then name_{c} when not used then {c} end as {c}" for c in CARRIED],
         "case when submission then name_points_sum when not used then task_points end as points_sum",
         "case when submission then coalesce(name_points_n, 0L)"

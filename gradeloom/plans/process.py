@@ -1,9 +1,9 @@
 """From raw activity to the cleaned log and the feature table.
 
 Ordinary groups take the short way: one exchange by (learner, course), after which alignment,
-collapse and the running window find their rows in place. A group above `hot_limit` rows would fill a
-task on that way, so such groups go round it: aggregates combined before each shuffle, a join that
-may split its hot key, and running totals in blocks. Both ways give the same rows.
+collapse and running features are windows over rows already in place. A group above `hot_limit` rows
+would fill a task on that way, so such groups go round it: aggregates combined before each shuffle, a
+join that may split its hot key, and running totals in blocks. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from gradeloom.operators.align import align
+from gradeloom.operators.align import align, align_in_place
 from gradeloom.operators.collapse import collapse, order_key
 from gradeloom.operators.prefix import finished, measured, running, running_in_blocks
 from gradeloom.operators.repair import repair
@@ -48,13 +48,17 @@ def by_size(
     return ordinary(few).unionByName(hot(many))
 
 
-def cleaned(activity: DataFrame) -> DataFrame:
-    return collapse(align(repair(activity)))
+def cleaned_in_place(part: DataFrame) -> DataFrame:
+    return collapse(align_in_place(repair(part)), in_place=True)
+
+
+def cleaned_any_size(part: DataFrame) -> DataFrame:
+    return collapse(align(repair(part)))
 
 
 def clean_log(activity: DataFrame, hot_limit: int | None = HOT_LIMIT) -> DataFrame:
     """The cleaned log: one row per exam and submission, unordered."""
-    return by_size(activity, cleaned, cleaned, hot_limit)
+    return by_size(activity, cleaned_in_place, cleaned_any_size, hot_limit)
 
 
 def feature_table(
@@ -64,14 +68,10 @@ def feature_table(
     keep_null_hours: bool = False,
 ) -> DataFrame:
     """Running features for every row of the cleaned log from the first exam or task on."""
-
-    def rows(part: DataFrame) -> DataFrame:
-        return measured(cleaned(part), groups, keep_null_hours)
-
     return by_size(
         activity,
-        lambda part: finished(running(rows(part))),
-        lambda part: finished(running_in_blocks(rows(part))),
+        lambda part: finished(running(measured(cleaned_in_place(part), groups, keep_null_hours))),
+        lambda part: finished(running_in_blocks(measured(cleaned_any_size(part), groups, keep_null_hours))),
         hot_limit,
     )
 

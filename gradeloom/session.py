@@ -10,6 +10,8 @@ RUNTIME_CONF = {
     # epoch seconds become timestamps; one zone for all readers and writers
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # windows cost more than their bytes: let small shuffles keep all cores busy
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # split a hot join key even where that costs one more exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -26,6 +28,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # the running windows alone compile to more classes than the default 100
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
