@@ -340,7 +340,7 @@ from pairs"""
 _feature_rows = f"{KEYS}, row_id, tie_rank, target, {pins(FEATURES)}"
 _hours = ["hours_allowed", "hours_taken", "share_taken", "hours_early"]
 _magnitudes = "magnitudes as (" + " union all ".join(
-    f"select '{f}' as feature, avg(abs({f})) as importance from features" for f in FEATURES
+    f"select '{f}' as feature, round(avg(abs({f})), 9) as importance from features" for f in FEATURES
 ) + """),
 importance as (
   select row_number() over (order by importance desc, feature) as place, feature, importance,

@@ -167,8 +167,11 @@ def with_main_score(evaluated: DataFrame, metric: str) -> DataFrame:
 
 
 def mean_magnitude(df: DataFrame, features: list[str]) -> DataFrame:
-    """(feature, importance): mean absolute value of each column, in one pass."""
-    means = df.agg(*[F.avg(F.abs(c)).alias(c) for c in features])
+    """(feature, importance): mean absolute value of each column, in one pass.
+
+    Rounded to nine decimals, so that the order in which rows are summed cannot break a tie.
+    """
+    means = df.agg(*[F.round(F.avg(F.abs(c)), 9).alias(c) for c in features])
     pair = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("importance")) for c in features
     ]))

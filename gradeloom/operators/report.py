@@ -15,8 +15,9 @@ def learner_summary(clean: DataFrame) -> DataFrame:
     return clean.groupBy("learner_id").agg(
         F.min_by("learner_no", place).alias("learner_no"),
         F.min_by("course_name", place).alias("course_name"),
-        F.bround(F.avg("exam_grade"), 1).alias("mean_grade"),
-        F.bround(F.avg("sub_score"), 1).alias("mean_score"),
+        # nine decimals first: the order of summation must not decide a half
+        F.bround(F.round(F.avg("exam_grade"), 9), 1).alias("mean_grade"),
+        F.bround(F.round(F.avg("sub_score"), 9), 1).alias("mean_score"),
     )
 
 

@@ -81,24 +81,21 @@ def filter_activity(
     return df
 
 
-def seeded_pick(df: DataFrame, column: str, seed: int) -> DataFrame:
-    """One value of a column as a one-row frame: least seeded digest, least value on a tie."""
+def seeded_pick(df: DataFrame, column: str, seed: int):
+    """One value of a column: least seeded digest, least value on a tie. None if there is none."""
     digest = F.md5(F.concat(F.col(column).cast("string"), F.lit(f":{seed}")))
-    return (
-        df.where(F.col(column).isNotNull())
-        .agg(F.min_by(column, F.struct(digest, F.col(column))).alias(column))
-    )
+    named = df.where(F.col(column).isNotNull())
+    return named.agg(F.min_by(column, F.struct(digest, F.col(column)))).first()[0]
 
 
 def random_slice(df: DataFrame, seed: int, least_step: float = 15.0) -> DataFrame:
     """Activity of one drawn course and learner up to a drawn step above `least_step`.
 
-    Each draw is one aggregated row, so the broadcasts hold a single value whatever the log's size.
+    The three drawn values come back as literals, so that the last scan is pushed down to them.
     """
-    df = df.join(F.broadcast(seeded_pick(df, "course_name", seed)), "course_name", "left_semi")
-    df = df.join(F.broadcast(seeded_pick(df, "learner_id", seed)), "learner_id", "left_semi")
-    cut = seeded_pick(df.where(F.col("step") > least_step), "step", seed)
-    return df.where(F.col("step") <= cut.scalar())
+    df = df.where(F.col("course_name") == F.lit(seeded_pick(df, "course_name", seed)))
+    df = df.where(F.col("learner_id") == F.lit(seeded_pick(df, "learner_id", seed)))
+    return df.where(F.col("step") <= F.lit(seeded_pick(df.where(F.col("step") > least_step), "step", seed)))
 
 
 def column_facts(df: DataFrame) -> DataFrame:
