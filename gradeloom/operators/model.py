@@ -90,33 +90,47 @@ def metric_value(scored: DataFrame, metric: str, cutoff: float = CUTOFF, hard: b
     return float(row["hard_auc" if hard and metric == "roc_auc" else METRICS[metric]] or 0.0)
 
 
-def cross_validate(
+@dataclass
+class Prepared:
+    """Balanced training rows, whole and by fold, written once for all fits that follow."""
+
+    features: list[str]
+    whole: DataFrame
+    folds: list[tuple[DataFrame, DataFrame]]
+
+
+def prepare(
     train: DataFrame,
-    algorithm: str,
-    params: dict,
     features: list[str] = FEATURES,
-    metric: str = "roc_auc",
     k: int = FOLDS,
-    method: str = "none",
+    method: str = "smote",
     balance_first: bool = False,
-    hard: bool = False,
-) -> list[float]:
-    """Scores of k stratified folds.
+) -> Prepared:
+    """Balance the training rows and cut them into k stratified folds.
 
-    Training folds are balanced apart, so that no synthetic row stems from a row it is tested
-    against; `balance_first` balances before the folds are cut instead.
+    The rows a fold trains on are balanced apart, so that no synthetic row stems from a row it is
+    tested against; `balance_first` balances before the folds are cut instead.
     """
+    whole = materialize(balance(train, method, features))
     if balance_first:
-        train = balance(train, method, features)
         # equal rows share an id, which of them comes first in a fold makes no difference
-        train = train.withColumn("row_id", F.xxhash64(*features))
-        train, method = materialize(train), "none"
+        train, method = whole.withColumn("row_id", F.xxhash64(*features)), "none"
     cut = materialize(folds(train.select("row_id", *features, "target"), k))
-    scores = []
+    pairs = []
     for fold in range(k):
         rest = balance(cut.where(F.col("fold") != fold), method, features)
-        model = fit(rest, algorithm, params, features)
-        scores.append(metric_value(score(model, cut.where(F.col("fold") == fold)), metric, hard=hard))
+        pairs.append((rest if method == "none" else materialize(rest), cut.where(F.col("fold") == fold)))
+    return Prepared(features, whole, pairs)
+
+
+def cross_validate(
+    prepared: Prepared, algorithm: str, params: dict, metric: str = "roc_auc", hard: bool = False
+) -> list[float]:
+    """The score of each fold by a model of the other folds."""
+    scores = []
+    for rest, held in prepared.folds:
+        model = fit(rest, algorithm, params, prepared.features)
+        scores.append(metric_value(score(model, held), metric, hard=hard))
     return scores
 
 
@@ -144,14 +158,10 @@ class Built:
         }
 
 
-def build(
-    train: DataFrame, run_id: str, algorithm: str, params: dict,
-    features: list[str] = FEATURES, metric: str = "roc_auc", k: int = FOLDS, method: str = "smote",
-) -> Built:
+def build(prepared: Prepared, run_id: str, algorithm: str, params: dict, metric: str = "roc_auc") -> Built:
     """Cross-validate, then fit on all of the balanced training rows."""
-    scores = cross_validate(train, algorithm, params, features, metric, k, method)
-    whole = materialize(balance(train, method, features))
-    return Built(run_id, algorithm, params, fit(whole, algorithm, params, features), scores)
+    scores = cross_validate(prepared, algorithm, params, metric)
+    return Built(run_id, algorithm, params, fit(prepared.whole, algorithm, params, prepared.features), scores)
 
 
 def draw(rng: random.Random, space: dict, depth_limit: int) -> dict:
@@ -188,13 +198,14 @@ def search(
 
     Stops at the evaluation count, the time limit, or a loss (minus score) at `loss_limit`.
     """
+    prepared = prepare(train, features, k, method)
     rng, start, kept = random.Random(seed), time.monotonic(), []
     for number in range(max_evals):
         if time.monotonic() - start > 60 * timeout_minutes:
             break
         algorithm = rng.choice(algorithms)
         params = draw(rng, space[algorithm], depth_limit)
-        built = build(train, f"{algorithm}-{seed}-{number}", algorithm, params, features, metric, k, method)
+        built = build(prepared, f"{algorithm}-{seed}-{number}", algorithm, params, metric)
         value = sum(built.cv_scores) / len(built.cv_scores)
         if value >= least_score:
             kept.append(built)

@@ -590,7 +590,7 @@ def boosted_predictions(spark, sf_dir):
 @query
 def fold_scores(spark, sf_dir):
     train = part_of(split_features(spark, sf_dir), "train")
-    scores = M.cross_validate(train, M.FOREST, {"trees": 5, "depth": 4}, method="over")
+    scores = M.cross_validate(M.prepare(train, method="over"), M.FOREST, {"trees": 5, "depth": 4})
     return spark.createDataFrame(list(enumerate(scores)), "fold int, score double")
 
 
@@ -605,8 +605,9 @@ def searched_runs(spark, sf_dir):
 def updated_run(spark, sf_dir):
     splits = split_features(spark, sf_dir)
     train, test = part_of(splits, "train"), part_of(splits, "test")
-    built = M.build(train, "forest-1", M.FOREST, {"trees": 5, "depth": 4}, k=2, method="under")
-    built = M.update(built, test, train=train, sweep_on=test)
+    prepared = M.prepare(train, k=2, method="under")
+    built = M.build(prepared, "forest-1", M.FOREST, {"trees": 5, "depth": 4})
+    built = M.update(built, test, train=prepared.whole, sweep_on=train)
     return U.new_runs(spark, [built.record()]).drop("params", "cv_scores")
 
 

@@ -165,7 +165,8 @@ def test_train_promote_and_score(spark, tmp_path, features):
 
 def test_folds_balanced_apart_or_before(spark, features):
     for first in (False, True):
-        scores = M.cross_validate(features, M.FOREST, {"trees": 3, "depth": 3}, k=2, method="over", balance_first=first, hard=first)
+        prepared = M.prepare(features, k=2, method="over", balance_first=first)
+        scores = M.cross_validate(prepared, M.FOREST, {"trees": 3, "depth": 3}, hard=first)
         assert len(scores) == 2 and all(0.3 < s <= 1 for s in scores)
 
 
