@@ -1,0 +1,31 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+from gradeloom.session import local_session  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    yield local_session("4", 4)
+
+
+@pytest.fixture
+def docs(spark):
+    """Documents from texts, numbered from 0, with columns that clash with inner names."""
+    def make(texts, first=0):
+        rows = [(i + first, t, "en", "s", 1, "x", "y", "z", "u") for i, t in enumerate(texts)]
+        return spark.createDataFrame(
+            rows, "doc_id long, text string, lang string, source string, n_chars long, row string, words string, "
+                  "hash string, size string")
+    return make
+
+
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
