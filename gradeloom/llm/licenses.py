@@ -65,12 +65,14 @@ def license_votes(docs: DataFrame) -> DataFrame:
     """
     text = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("words"))
     text = text.withColumn("n_words", F.size("words"))
+    # a null before the first word: its row meets no template and is there for every document
+    marked = F.concat(F.expr("array(cast(null as string))"), F.col("words"))
     grams = text.select(
-        "row", "doc_id", "n_words", F.posexplode_outer(rolling(F.col("words"), F.col("n_words"), K)).alias("at", "w"),
-    ).select("row", "doc_id", "n_words", "at", "w.w0", "w.w1", F.xxhash64("w.w0", "w.w1").alias("hash"))
+        "row", "doc_id", "n_words", F.posexplode(rolling(marked, F.col("n_words") + 1, K)).alias("at", "w"),
+    ).select("row", "doc_id", "n_words", (F.col("at") - 1).alias("at"), "w.w0", "w.w1", F.xxhash64("w.w0", "w.w1").alias("hash"))
     table = F.broadcast(templates(docs.sparkSession))
     met = grams.join(table, (F.col("hash") == F.col("gram")) & (F.col("w0") == F.col("t0")) & (F.col("w1") == F.col("t1")), "left")
-    met = met.where(F.col("template").isNotNull() | (F.coalesce(F.col("at"), F.lit(0)) == 0))
+    met = met.where(F.col("template").isNotNull() | (F.col("at") < 0))
     # bits of the template's places, so that a place met twice near by counts once
     bit = F.expr("shiftleft(1L, place)")
     return met.groupBy(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gradeloom.llm.decontaminate import contained_items
 from gradeloom.llm.licenses import license_labels
 from gradeloom.llm.pii import personal_data_digest
+from gradeloom.llm.secrets import secrets_digest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +22,15 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_personal_data, op3_licenses, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_personal_data, op3_licenses, op4_secrets, op10_decontamination)}
 
 #: What DuckDB can say, by query.
 SQL: dict[str, str] = {}

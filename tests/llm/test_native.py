@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import SF, documents
+from llm_support import SF, docs, documents  # noqa: F401
 from gradeloom.llm.decontaminate import contained_items, without_items
 from gradeloom.llm.licenses import NOTICES, PHRASES, license_labels
 from gradeloom.llm.pii import personal_data_digest
@@ -14,7 +14,7 @@ ODD = [
     None, "", " ", "a@b.co_x@d.e.f and x@y", "...@x.y", "a" * 3000 + "@b.c", "1.2.3.4.5.6.7.8 256.1.1.1 007.0.0.255",
     "card 4111 1111 1111 1111, 4111-1111-1111-1112 and 4111111111111111-", "+1 (377) 555-0271 tiha +49 30 12", "++1 2 3",
     "IBAN DE89 3704 0044 0532 0130 00 konto", "ssn 123-45-6789; 123-45-6789", "ü𝄞 me@x.org 😀 1.2.3.4", "1 " * 5000,
-    "cc by", "CC BY-NC all rights reserved. All Rights\nReserved", "cc  -- by ccby", "general public general public license",
+    "Licensed under nothing else", "under the", "cc by", "CC BY-NC all rights reserved. All Rights\nReserved", "cc  -- by ccby", "general public general public license",
     "Licensed under the very Apache License, Version 2.0", "K cc by İ", "x " * 20000, "1.2." * 400, "a.b@c." * 400,
 ]
 
