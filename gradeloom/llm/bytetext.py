@@ -66,21 +66,26 @@ def groups(offsets: np.ndarray, limit: int = GROUP) -> Iterator[tuple[int, int]]
         first = min(last, rows)
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte ranges, which are in order and don't overlap."""
-    out = np.empty(len(starts), np.uint64)
+def hashes(data: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
+    """64-bit hashes of the byte ranges from `starts` to each of `ends`, of which the first reach farthest.
+
+    The ranges to the first ends are in order and don't overlap.
+    """
+    out = [np.empty(len(starts), np.uint64) for _ in ends]
     i = 0
     while i < len(starts):
         base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + BLOCK, side="right")))
-        part = data[base:ends[j - 1]]
+        j = max(i + 1, int(np.searchsorted(ends[0], base + BLOCK, side="right")))
+        part = data[base:ends[0][j - 1]]
         up, down = powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(BYTE[part] * up[:len(part)], out=sums[1:])
-        a, b = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = (sums[b] - sums[a]) * down[a]
+        a = starts[i:j] - base
+        low, back = sums[a], down[a]
+        for k, end in enumerate(ends):
+            out[k][i:j] = (sums[end[i:j] - base] - low) * back
         i = j
-    return mix(out + (ends - starts).astype(np.uint64) * STEP)
+    return [mix(h + (end - starts).astype(np.uint64) * STEP) for h, end in zip(out, ends, strict=True)]
 
 
 def runs(inside: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +105,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Hash and row of every word between white space, A-Z lower-cased, and the words' place in `data`."""
     low = LOWER[data]
     starts, ends = runs(~SPACE[data], offsets[1:-1])
-    return hashes(low, starts, ends), np.searchsorted(offsets[1:], starts, side="right"), starts
+    return hashes(low, starts, ends)[0], np.searchsorted(offsets[1:], starts, side="right"), starts
 
 
 def shingles(word: np.ndarray, row: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,14 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gradeloom.llm.decontaminate import contained_items
 from gradeloom.llm.licenses import license_labels
+from gradeloom.llm.packing import pack
 from gradeloom.llm.pii import personal_data_digest
 from gradeloom.llm.secrets import secrets_digest
+from gradeloom.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """Where the public tokenizers lie on this machine and, as a package, on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digest(table(spark, sf_dir, "documents"))
 
@@ -26,11 +39,17 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_personal_data, op3_licenses, op4_secrets, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_personal_data, op3_licenses, op4_secrets, op6_toxicity, op10_decontamination,
+)}
 
 #: What DuckDB can say, by query.
 SQL: dict[str, str] = {}

@@ -85,7 +85,7 @@ class Subwords:
         low = LOWER[data]
         marks = np.flatnonzero(MARK[data[1:]] & ALNUM[data[:-1]]) + 1 if len(data) else np.zeros(0, np.int64)
         starts, ends = runs(~SPACE[data], np.union1d(marks, offsets[1:-1]))
-        word = hashes(low, starts, ends)
+        word = hashes(low, starts, ends)[0]
         slot = (word >> np.uint64(64 - 21)).astype(np.int64)
         hit = (self.key[slot] == word) & (self.length[slot] > 0)
         at, length = self.start[slot], self.length[slot]
