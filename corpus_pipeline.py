@@ -2,16 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gradeloom.llm.decontaminate import without_items
+from gradeloom.llm.jaccard import one_of_each
+from gradeloom.llm.packing import pack
+from gradeloom.llm.queries import table, tokenizer_path
+from gradeloom.llm.secrets import find_secrets
+from gradeloom.llm.toxicity import without_toxic
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+REDACTED = "[SECRET]"
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labelled ones among them, rejects go."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"), COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents that with the smallest doc_id stays."""
+    return one_of_each(docs).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_items(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the text; every document stays."""
+    found = find_secrets(docs, ["doc_id", "lang", "source"], REDACTED)
+    return found.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    return pack(docs, tokenizer_path())
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+#: A learned classifier and a tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

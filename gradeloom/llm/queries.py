@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeloom.llm.decontaminate import contained_items
+from gradeloom.llm.jaccard import near_groups
 from gradeloom.llm.licenses import license_labels
 from gradeloom.llm.packing import pack
 from gradeloom.llm.pii import personal_data_digest
 from gradeloom.llm.secrets import secrets_digest
 from gradeloom.llm.toxicity import toxicity
+from gradeloom.llm.vectors import near_vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,16 +41,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_personal_data, op3_licenses, op4_secrets, op6_toxicity, op10_decontamination,
+    op1_packing, op2_personal_data, op3_licenses, op4_secrets, op5_near_vectors, op6_toxicity,
+    op9_jaccard_join, op10_decontamination,
 )}
 
 #: What DuckDB can say, by query.
