@@ -10,6 +10,7 @@ from gradeloom.llm.licenses import license_labels
 from gradeloom.llm.packing import pack
 from gradeloom.llm.pii import personal_data_digest
 from gradeloom.llm.secrets import secrets_digest
+from gradeloom.llm.suffixes import without_repeats
 from gradeloom.llm.toxicity import toxicity
 from gradeloom.llm.vectors import near_vectors
 
@@ -49,6 +50,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_personal_data, op3_licenses, op4_secrets, op5_near_vectors, op6_toxicity,
-    op9_jaccard_join, op10_decontamination,
+    op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
 )}
 
 #: What DuckDB can say, by query.
