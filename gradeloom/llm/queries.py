@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from gradeloom.llm.decontaminate import contained_items
 from gradeloom.llm.jaccard import near_groups
 from gradeloom.llm.licenses import license_labels
+from gradeloom.llm.lm import language_scores
 from gradeloom.llm.packing import pack
 from gradeloom.llm.pii import personal_data_digest
 from gradeloom.llm.secrets import secrets_digest
 from gradeloom.llm.suffixes import without_repeats
-from gradeloom.llm.toxicity import toxicity
+from gradeloom.llm.toxicity import remainder, toxicity
 from gradeloom.llm.vectors import near_vectors
 
 
@@ -50,6 +51,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"), tokenizer_path(), remainder("doc_id", 5) == 1)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -64,7 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_personal_data, op3_licenses, op4_secrets, op5_near_vectors, op6_toxicity,
-    op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
+    op7_language_scores, op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
 )}
 
 #: What DuckDB can say, by query.
