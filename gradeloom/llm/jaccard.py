@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.bytetext import flat, groups, mix, shingles, words
 from gradeloom.llm.components import components
 from gradeloom.llm.grouped import bounds, whole_groups
+from gradeloom.llm.shipping import ship
 from gradeloom.session import materialize
 
 K = 5
@@ -20,7 +22,7 @@ PERCENT = 75
 LOADS = 1 << 20
 SLICES = 16
 #: Groups that a set's shingles are hashed to: the coordinates of its point.
-COUNTS = 32
+COUNTS = 256
 #: Points in a leaf of an R-tree, and children of an inner node.
 FANOUT = 16
 #: Sets that one task takes of one candidate group; larger groups are cut into such parts.
@@ -57,7 +59,7 @@ def rare_first(docs: DataFrame) -> np.ndarray:
     load = np.zeros(LOADS, np.int64)
     for r in summed:
         load.reshape(SLICES, -1)[r.slice] += np.frombuffer(r.load, np.int64)
-    usual = max(8.0, 8.0 * float(np.median(load)))
+    usual = max(8.0, 1.5 * float(np.median(load)))
     return np.clip(np.floor(np.log2(np.maximum(load, 1) / usual)) + 1, 0, 31).astype(np.uint8)
 
 
@@ -123,26 +125,37 @@ def postings(docs: DataFrame, level) -> DataFrame:
 
 
 def members(docs: DataFrame, level) -> DataFrame:
-    """(signature, n, point, keys) of the given documents; a point holds the counts of the groups."""
+    """(signature, n, point, text) of the given documents; a point holds the counts of the groups, text is packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                sign, n, point, all_keys = [], [], [], []
-                for _, keys in sets_of(batch.column(1).slice(first, 256), level.value):
-                    if len(keys):
-                        sign.append(signature(keys))
-                        n.append(len(keys))
-                        point.append(counts(keys).tobytes())
-                        all_keys.append(keys.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sign, pa.int64()), pa.array(n, pa.int32()), pa.array(point, pa.binary()), pa.array(all_keys, pa.binary())],
-                    names=["signature", "n", "point", "keys"])
+            sign, n, point, text = [], [], [], []
+            for i, keys in sets_of(batch.column(1), level.value):
+                if len(keys):
+                    sign.append(signature(keys))
+                    n.append(len(keys))
+                    point.append(packed_point(keys))
+                    text.append(press.compress(batch.column(1)[i].as_buffer()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sign, pa.int64()), pa.array(n, pa.int32()), pa.array(point, pa.binary()), pa.array(text, pa.binary())],
+                names=["signature", "n", "point", "text"])
 
-    return docs.mapInArrow(run, "signature long, n int, point binary, keys binary")
+    return docs.mapInArrow(run, "signature long, n int, point binary, text binary")
 
 
-def counts(keys: np.ndarray) -> np.ndarray:
-    return np.bincount((keys & np.uint64(COUNTS - 1)).astype(np.int64), minlength=COUNTS).astype(np.int32)
+def packed_point(keys: np.ndarray) -> bytes:
+    """The counts by group, in one byte each if that is enough and in four if not."""
+    count = np.bincount((keys & np.uint64(COUNTS - 1)).astype(np.int64), minlength=COUNTS)
+    return count.astype(np.uint8 if count.max() < 256 else np.int32).tobytes()
+
+
+def points_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A row of counts for each packed point."""
+    blobs = column.to_pylist()
+    out = np.empty((len(blobs), COUNTS), np.int32)
+    for i, blob in enumerate(blobs):
+        out[i] = np.frombuffer(blob, np.uint8 if len(blob) == COUNTS else np.int32)
+    return out
 
 
 class RTree:
@@ -183,32 +196,51 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each cell's first set with the others: rows (cell, rank, signature, n, point, keys) by cell, rank."""
-    cell = lead = None
+def can_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (a, b, n, point, m, other), those whose points leave room for the overlap they need."""
     for batch in batches:
-        found = []
-        for own, rank, sign, n, point, keys in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-            here = (sign, n, np.frombuffer(point, np.int32), np.frombuffer(keys, np.uint64))
-            if rank == 0:
-                cell, lead = own, here
-            elif own == cell and sign != lead[0]:
-                need = least_overlap(n, lead[1])
-                if np.minimum(here[2], lead[2]).sum() >= need and overlap(here[3], lead[3]) >= need:
-                    found.append((lead[0], sign))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        if not batch.num_rows:
+            continue
+        one, two = (points_of(batch.column(i)) for i in (3, 5))
+        need = least_overlap(batch.column(2).to_numpy().astype(np.int64), batch.column(4).to_numpy())
+        kept = pa.array(np.minimum(one, two).sum(axis=1) >= need)
+        yield batch.select(["a", "b"]).filter(kept)
+
+
+def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sets' points don't rule out."""
+    both = pairs
+    for side, n, point in (("a", "n", "point"), ("b", "m", "other")):
+        own = sets.select(F.col("signature").alias("s"), F.col("n").alias(n), F.col("point").alias(point))
+        both = both.join(own, F.col(side) == F.col("s")).drop("s")
+    return both.select("a", "b", "n", "point", "m", "other").mapInArrow(can_link, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, level) -> DataFrame:
     """Those of the distinct pairs (a, b) that link. A set that leads very many pairs is dealt over many cells."""
+    def star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of each cell's first set with the others: rows (cell, rank, signature, text) by cell and rank."""
+        press = zstandard.ZstdDecompressor()
+        cell = lead = lead_keys = None
+        for batch in batches:
+            texts = pa.array([press.decompress(x) for x in batch.column(3).to_pylist()], pa.binary()).cast(pa.string())
+            found = []
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), sets_of(texts, level.value), strict=True)
+            for own, rank, sign, (_, keys) in rows:
+                if rank == 0:
+                    cell, lead, lead_keys = own, sign, keys
+                elif own == cell and overlap(keys, lead_keys) >= least_overlap(len(keys), len(lead_keys)):
+                    found.append((lead, sign))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
     wide = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("cells")).withColumnRenamed("a", "lead")
     followers = pairs.join(wide, F.col("a") == F.col("lead")).select(
         F.xxhash64("a", F.pmod(F.xxhash64("b", F.lit("cell")), "cells")).alias("cell"), F.lit(1).alias("rank"), F.col("b").alias("s"))
     leaders = wide.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - F.lit(1).cast("long"))).alias("at")).select(
         F.xxhash64("lead", "at").alias("cell"), F.lit(0).alias("rank"), F.col("lead").alias("s"))
-    rows = leaders.unionAll(followers).join(sets, F.col("s") == F.col("signature"))
-    rows = rows.select("cell", "rank", "signature", "n", "point", "keys").repartition("cell").sortWithinPartitions("cell", "rank")
+    rows = leaders.unionAll(followers).join(sets.select("signature", "text"), F.col("s") == F.col("signature"))
+    rows = rows.select("cell", "rank", "signature", "text").repartition("cell").sortWithinPartitions("cell", "rank")
     return rows.mapInArrow(star_links, "a long, b long")
 
 
@@ -219,7 +251,7 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     for group in whole_groups(batches):
         cell, both, sign, n, component = (group.column(i).to_numpy() for i in range(5))
-        points = np.frombuffer(b"".join(group.column(5).to_pylist()), np.int32).reshape(-1, COUNTS)
+        points = points_of(group.column(5))
         n = n.astype(np.int64)
         cuts, out_a, out_b = bounds(cell), [], []
         for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -251,6 +283,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     counts of each meeting's sets finds the pairs of sets not yet connected that can still be similar. Both
     ways the shingles themselves decide.
     """
+    ship(docs.sparkSession)
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col("text"))
     named = slim.where("id is not null")
     level = docs.sparkSession.sparkContext.broadcast(rare_first(named))
@@ -266,11 +299,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     first = signed.where("id is not null and n > 0").groupBy("signature").agg(F.min("id").alias("first"))
     wanted = meet.select("signature").distinct().join(first, "signature").select("first")
     sets = members(named.join(wanted, F.col("id") == F.col("first"), "left_semi"), level)
-    sets = materialize(sets.dropDuplicates(["signature"]))
+    sets = materialize(sets)
 
     leads = meet.groupBy("shingle", "size").agg(F.min("signature").alias("a"))
     stars = meet.join(leads, ["shingle", "size"]).select("a", F.col("signature").alias("b")).where("a <> b").distinct()
-    links = materialize(verified(stars, sets))
+    stars = materialize(bounded(stars, sets))
+    links = materialize(verified(stars, sets, level))
     known = components(links).withColumnRenamed("node", "k")
     left = meet.join(known, F.col("signature") == F.col("k"), "left").select(
         "shingle", "signature", "n", F.coalesce("component", "signature").alias("component"))
@@ -286,7 +320,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point")
     pairs = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(tree_pairs, "a long, b long").distinct()
     pairs = pairs.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.unionAll(materialize(verified(pairs, sets)))
+    links = links.unionAll(materialize(verified(materialize(pairs), sets, level)))
 
     linked = components(links).withColumnRenamed("node", "k")
     firsts = first.join(linked, F.col("signature") == F.col("k"), "left").withColumn("component", F.coalesce("component", "signature"))
