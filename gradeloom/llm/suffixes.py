@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm.bytetext import BYTE, flat, mix, powers, runs
 from gradeloom.llm.grouped import bounds
+from gradeloom.llm.shipping import ship
 from gradeloom.session import materialize
 
 SPAN = 50
@@ -386,12 +387,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Null texts are empty. A row without doc_id loses nothing and takes nothing from others; rows that share a
     doc_id don't take from each other. Other columns are ignored. No rows give no rows.
     """
+    ship(docs.sparkSession)
     spark = docs.sparkSession
     held = materialize(chunks(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("body"))))
     size = held.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(width, -(-size.b // PART_BYTES))
-    bodies = held.select("chunk", "body").repartition(max(1, size.n), "chunk")
+    # the filter, true for all, makes both joins read one and the same exchange of the bodies
+    bodies = held.select("chunk", "body").where("chunk is not null").repartition(max(1, size.n), "chunk")
     bits = first_bytes(held, parts).groupBy("part").applyInArrow(shared_bytes, "part long, chunk long, bits binary")
     replies = bits.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("replies"))
     runs_ = sorted_runs(bodies.join(replies, "chunk"), parts)
