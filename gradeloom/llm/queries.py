@@ -11,6 +11,7 @@ from gradeloom.llm.lm import language_scores
 from gradeloom.llm.packing import pack
 from gradeloom.llm.pii import personal_data_digest
 from gradeloom.llm.secrets import secrets_digest
+from gradeloom.llm.sql import SQL
 from gradeloom.llm.suffixes import without_repeats
 from gradeloom.llm.toxicity import remainder, toxicity
 from gradeloom.llm.vectors import near_vectors
@@ -72,5 +73,4 @@ QUERIES = {f.__name__: f for f in (
     op7_language_scores, op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
 )}
 
-#: What DuckDB can say, by query.
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL", "table", "tokenizer_path"]

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.llm.bytetext import LOWER, STEP, flat, groups, hashes, mix, runs
+from gradeloom.llm.shipping import ship
 
 #: At most so many labelled rows are learned from, those with the smallest hash of doc_id.
 SAMPLE = 12_000
@@ -56,6 +57,8 @@ def once(bucket: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def examples(labelled: DataFrame) -> DataFrame:
     """Rows (at, toxic, buckets) of the labelled documents (at, toxic, text)."""
+    ship(labelled.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat(batch.column(2))
@@ -120,6 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, sa
 
 def score(docs: DataFrame, weights: dict[int, float], columns: list[str]) -> DataFrame:
     """`columns` of `docs` and `score`, 0 to 1, from the whole column text (null: no words). One pass."""
+    ship(docs.sparkSession)
     bias = weights.get(-1, 0.0)
     places = np.array(sorted(b for b in weights if b >= 0), np.int32)
     values = np.array([weights[b] for b in places.tolist()])

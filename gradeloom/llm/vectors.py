@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gradeloom.llm.bytetext import STEP, mix
 from gradeloom.llm.components import components
 from gradeloom.llm.grouped import bounds, smallest_linked, whole_groups
+from gradeloom.llm.shipping import ship
 from gradeloom.session import materialize
 
 COSINE = 0.9
@@ -126,6 +127,7 @@ def near_vectors(vectors: DataFrame, id_: str = "vec_id", column: str = "embeddi
     nothing, as do rows without vec_id. Equal vectors are one node with its number of copies; rows that share
     a vec_id share its links. component_id is the smallest vec_id reachable. No rows give no rows.
     """
+    ship(vectors.sparkSession)
     value = F.col(column).cast("array<double>")
     fine = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(value, lambda x: x != 0)
     rows = vectors.select(F.col(id_).cast("long").alias("id"), value.alias("vector"),
