@@ -287,6 +287,32 @@ candidates as (
   from (select * from runs where run_id not in (select run_id from crown) order by val_score desc, run_id limit 10))
 """
 
+
+
+def staged(source: str, n: int) -> str:
+    """Stages anew for rows of a run and version: `staged` adds new_stage."""
+    return f"""
+crowned as (select run_id, version, test_score from {source} where stage = 'production' order by test_score desc, run_id, version limit 1),
+pool as (
+  select * from {source} where stage is not null and (run_id, version) not in (select run_id, version from crowned)),
+challengers as (
+  select *, row_number() over (order by test_score desc, run_id, version) as place
+  from (select * from pool order by val_score desc, run_id, version limit {n})),
+winner as (
+  select run_id, version from challengers
+  where place = 1 and not exists (select 1 from crowned where crowned.test_score >= challengers.test_score)),
+staged as (
+  select s.*, case
+    when s.stage is null then null
+    when (s.run_id, s.version) in (select run_id, version from winner) then 'production'
+    when (s.run_id, s.version) in (select run_id, version from crowned) then
+      case when exists (select 1 from winner) then 'staging' else 'production' end
+    when (s.run_id, s.version) in (select run_id, version from challengers) then 'staging'
+    else 'development' end as new_stage
+  from {source} s)
+"""
+
+
 BOARD = ["roc_auc", "f1", "precision", "recall", "accuracy"]
 
 SMOTE = """
@@ -468,14 +494,14 @@ select {KEYS}, case when (select count(distinct course_name) from activity) > 1
     "class_balance": with_ctes(LABELS, f"""
 select target, count(*) as rows, {pin("count(*)::double / (select count(*) from labelled)", "share")}
 from labelled group by target"""),
-    "train_test_split": with_ctes(LABELS + [ranked(23111997)], """
+    "train_test_split": with_ctes(LABELS + [ranked(20240601)], """
 select row_id, target, case when rank <= 0.2::double * class_size then 'test' else 'train' end as split from ranked"""),
     "train_test_split_by_learner": with_ctes(
         LABELS + ["learners as (select distinct learner_id from labelled)",
-                  ranked(23111997, "learners", "", "learner_id")], """
+                  ranked(20240601, "learners", "", "learner_id")], """
 select row_id, learner_id, case when rank <= 0.2::double * class_size then 'test' else 'train' end as split
 from labelled join ranked using (learner_id)"""),
-    "fold_numbers": with_ctes(LABELS + [ranked(23111997)], "select row_id, target, (rank - 1) % 4 as fold from ranked"),
+    "fold_numbers": with_ctes(LABELS + [ranked(20240601)], "select row_id, target, (rank - 1) % 4 as fold from ranked"),
     "oversampled": with_ctes(LABELS + [ranked(0)], """
 select row_id, target, unnest(range(1, (top // class_size + case when rank <= top % class_size then 1 else 0 end + 1)::bigint))
   as copy
@@ -517,16 +543,18 @@ where place <= 3"""),
 select run_id, {pins(["val_score", "test_score"])}, row_number() over (order by best.test_score desc, run_id) as place
 from (select * from runs order by val_score desc, run_id limit 10) best"""),
     "current_champion": with_ctes([RUNS], f"select run_id, {pins(['test_score'])} from crown"),
-    "assigned_stages": with_ctes([RUNS], """
-select run_id, case
-  when place = 1 and not exists (select 1 from crown where crown.test_score >= c.test_score) then 'production'
-  when place is not null then 'staging'
-  when run_id in (select run_id from crown) then
-    case when (select test_score from candidates where place = 1) > (select test_score from crown)
-      then 'staging' else 'production' end
-  else 'development' end as stage
-from runs left join (select run_id, place, test_score from candidates) c using (run_id)"""),
+    "assigned_stages": with_ctes([RUNS, "numbered as (select run_id, 1 as version, stage, val_score, test_score from runs)",
+                               staged("numbered", 10)], "select run_id, new_stage as stage from staged"),
     "retained_runs": with_ctes([RUNS], "select run_id, stage from runs where stage is not null"),
+    "promoted_runs": with_ctes([RUNS, """
+numbered as (
+  select 'R' || (substring(run_id, 2)::int // 2) as run_id, 1 + substring(run_id, 2)::int % 2 as version, algorithm,
+    stage, val_score, test_score from runs),
+held as (
+  select run_id, version, val_score, test_score, case when stage = 'production' or (stage is not null and place <= 10) then stage end as stage
+  from (select *, row_number() over (partition by algorithm, coalesce(stage in ('development', 'staging'), false)
+    order by val_score desc, run_id, version) as place from numbered))""", staged("held", 30)], """
+select run_id, version::bigint as version, new_stage as stage from staged where new_stage is not null"""),
     "model_leaderboard": with_ctes(
         [RUNS, "board as (select run_id, stage, algorithm, "
          + ", ".join(f'"{m}" as {m}_raw, 100 * round_even("{m}", 3) as {m}_pct' for m in BOARD)
@@ -536,6 +564,47 @@ select run_id, stage, algorithm, {pins([f"{m}_pct" for m in BOARD])},
 from board"""),
 }
 
+# -- models: keys, and that what is fitted keeps to its range ------------------------------------------------
+
+SPLIT = FEATURED + [ranked(20240601, "features")]
+_tested = with_ctes(SPLIT, f"""
+select row_id, {KEYS}, target::bigint as target, 1::bigint as fits from ranked where rank <= 0.2::double * class_size""")
+_every_feature = " union all ".join(f"select '{f}' as feature, 1::bigint as fits" for f in FEATURES)
+_latest = f"""
+select {KEYS}, {pin("step", "step")}, 1::bigint as fits
+from (select *, row_number() over (partition by {KEYS} order by step desc, tie_rank, tie_name, row_id) as n from features)
+where n = 1"""
+
+SQL |= {
+    "forest_predictions": _tested,
+    "boosted_predictions": _tested,
+    "stump_predictions": with_ctes(FEATURED, f"select row_id, {KEYS}, (exams_sum > 2)::int::bigint as predicted from features"),
+    "fold_scores": "select unnest(range(0, 4))::bigint as fold, 1::bigint as fits",
+    "searched_runs": """
+select 'trial-' || n as draw, 1::bigint as version, 'evaluations' as search_end, 1::bigint as fits from range(0, 2) t(n)""",
+    "updated_run": """
+select 'forest-1' as run_id, 'random_forest' as algorithm, 2::bigint as version, 'development' as stage, 1::bigint as fits""",
+    "forest_importance": _every_feature,
+    "permuted_importance": _every_feature,
+    "batch_scores": with_ctes(FEATURED, _latest),
+    "champion_scores": with_ctes(FEATURED, f"""
+select {KEYS}, case when (select count(distinct course_name) from activity) > 1 then 'all'
+  else (select min(course_name) from activity) end as course_name,
+  {pin("(select max(step) from activity)", "step")}, 1::bigint as fits
+from (select distinct {KEYS} from features)"""),
+    "smote_features": with_ctes(FEATURED + ["""
+sizes as (
+  select target as small, count(*) as have, max(count(*)) over () - count(*) as lack from features group by target
+  order by have, target limit 1),
+minority as (
+  select row_id, target, row_number() over (order by md5(row_id || ':0'), row_id) as rank
+  from features where target = (select small from sizes)),
+draws as (
+  select row_id, target, rank, unnest(range(1, (lack // have + case when rank <= lack % have then 1 else 0 end + 1)::bigint)) as turn
+  from minority, sizes)"""], """
+select row_id as base_id, turn, (rank + turn) % 5 + 1 as number, target::bigint as target from draws"""),
+}
+
 
 def longs(name: str, *columns: str) -> None:
     """Give integer columns the type the engine gives them."""

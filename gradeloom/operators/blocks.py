@@ -13,9 +13,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gradeloom.session import materialize, shuffle_width
 
 
+#: Rows that a block holds, about.
+BLOCK_ROWS = 1_000_000
+
+
 def range_blocks(df: DataFrame, keys: list[str], order: list[Column], blocks: int | None = None) -> DataFrame:
-    """`df` with a column `block`: contiguous, even pieces of the order over all keys."""
-    width = blocks or shuffle_width(df.sparkSession)
+    """`df` with a column `block`: contiguous, even pieces of the order over all keys.
+
+    There are as many as the rows ask for, and as the session shuffles into at least.
+    """
+    width = blocks or max(shuffle_width(df.sparkSession), -(-df.count() // BLOCK_ROWS))
     cut = df.repartitionByRange(width, *keys, *order).withColumn("block", F.spark_partition_id())
     return materialize(cut)
 

@@ -65,7 +65,8 @@ def fold(log: DataFrame, name: str, rank: int, place: str, in_place: bool = Fals
             *[F.expr(f"min_by({c}, if({c} is null, null, place)) as {c}") for c in texts],
         )
     return grouped.selectExpr(
-        "row_id", *KEYS, *[f"try_divide({c}_sum, {c}_n) as {c}" for c in MEAN_COLUMNS],
+        # rounded, as sums come in any order and `step` is the first thing that orders rows
+        "row_id", *KEYS, *[f"round(try_divide({c}_sum, {c}_n), 9) as {c}" for c in MEAN_COLUMNS],
         *TEXT_COLUMNS, *EPOCH_COLUMNS,
         # a named row is one row from here on, whatever it was folded from
         f"if({name} is null, points_sum, try_divide(points_sum, points_n)) as points_sum",

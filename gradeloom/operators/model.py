@@ -5,16 +5,20 @@ from __future__ import annotations
 import math
 import random
 import time
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from gradeloom.operators.evaluate import (
-    METRICS, best_cutoff, evaluation, hard_auc, mean_magnitude, ranked_importance,
+    METRICS, auc, best_cutoff, confusion, evaluation, hard_auc, quality, ranked_importance,
 )
 from gradeloom.operators.ranks import hash_rank
 from gradeloom.operators.sample import FOLDS, SPLIT_SEED, balance, folds
@@ -51,10 +55,12 @@ SPACE = {
 
 
 def classifier(algorithm: str, params: dict, seed: int = SPLIT_SEED):
-    """A Spark ML classifier; depths beyond Spark's limit are cut to it."""
+    """A Spark ML classifier. A depth beyond Spark's limit is refused: a record must name what was fitted."""
+    if int(params.get("depth", 5)) > SPARK_MAX_DEPTH:
+        raise ValueError(f"depth {params['depth']} is beyond Spark's {SPARK_MAX_DEPTH}")
     shared = {
         "featuresCol": "features", "labelCol": "target", "weightCol": "weight", "seed": seed,
-        "maxDepth": min(int(params.get("depth", 5)), SPARK_MAX_DEPTH),
+        "maxDepth": int(params.get("depth", 5)),
         "minInstancesPerNode": int(params.get("leaf_rows", 1)),
     }
     if algorithm == FOREST:
@@ -86,7 +92,10 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def metric_value(scored: DataFrame, metric: str, cutoff: float = CUTOFF, hard: bool = False) -> float:
     """One metric of one scored table; `hard` takes ROC AUC on the classes, not the probabilities."""
-    row = hard_auc(evaluation(scored, cutoff)).first()
+    if metric != "roc_auc" or hard:
+        row = hard_auc(quality(confusion(scored, cutoff))).first()
+    else:
+        row = auc(scored).first()
     return float(row["hard_auc" if hard and metric == "roc_auc" else METRICS[metric]] or 0.0)
 
 
@@ -103,7 +112,7 @@ def prepare(
     train: DataFrame,
     features: list[str] = FEATURES,
     k: int = FOLDS,
-    method: str = "smote",
+    method: str = "over",
     balance_first: bool = False,
 ) -> Prepared:
     """Balance the training rows and cut them into k stratified folds.
@@ -124,14 +133,17 @@ def prepare(
 
 
 def cross_validate(
-    prepared: Prepared, algorithm: str, params: dict, metric: str = "roc_auc", hard: bool = False
+    prepared: Prepared, algorithm: str, params: dict, metric: str = "roc_auc", hard: bool = False,
+    at_once: int = FOLDS,
 ) -> list[float]:
-    """The score of each fold by a model of the other folds."""
-    scores = []
-    for rest, held in prepared.folds:
+    """The score of each fold by a model of the other folds, `at_once` folds at a time."""
+    def one(pair: tuple[DataFrame, DataFrame]) -> float:
+        rest, held = pair
         model = fit(rest, algorithm, params, prepared.features)
-        scores.append(metric_value(score(model, held), metric, hard=hard))
-    return scores
+        return metric_value(score(model, held), metric, hard=hard)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(inheritable_thread_target(prepared.whole.sparkSession)(one), prepared.folds))
 
 
 @dataclass
@@ -141,12 +153,23 @@ class Built:
     run_id: str
     algorithm: str
     params: dict
-    model: PipelineModel
+    model: PipelineModel | None
     cv_scores: list[float]
     cutoff: float = CUTOFF
     version: int = 1
     stage: str = "development"
     test: dict = field(default_factory=dict)
+    search_end: str | None = None
+
+    @property
+    def val_score(self) -> float:
+        return sum(self.cv_scores) / len(self.cv_scores)
+
+    @classmethod
+    def of(cls, run: Row, model: PipelineModel) -> Built:
+        """A stored run with its model."""
+        return cls(run["run_id"], run["algorithm"], dict(run["params"] or {}), model, list(run["cv_scores"] or []),
+                   run["cutoff"], run["version"], run["stage"], search_end=run["search_end"])
 
     def record(self) -> dict:
         """The row for the runs table."""
@@ -154,7 +177,7 @@ class Built:
         return {
             "run_id": self.run_id, "version": self.version, "algorithm": self.algorithm,
             "stage": self.stage, "params": params, "cutoff": self.cutoff,
-            "cv_scores": self.cv_scores, **self.test,
+            "cv_scores": self.cv_scores, "search_end": self.search_end, **self.test,
         }
 
 
@@ -168,14 +191,14 @@ def draw(rng: random.Random, space: dict, depth_limit: int) -> dict:
     out = {}
     for name, (kind, *span) in space.items():
         if kind == "int":
-            out[name] = rng.randint(*span)
+            low, high = span
+            out[name] = rng.randint(low, min(high, depth_limit) if name == "depth" else high)
         elif kind == "choice":
             out[name] = rng.choice(span[0])
         elif kind == "log":
             out[name] = math.exp(rng.uniform(math.log(span[0]), math.log(span[1])))
         else:
             out[name] = rng.uniform(*span)
-    out["depth"] = min(out["depth"], depth_limit)
     return out
 
 
@@ -186,31 +209,44 @@ def search(
     space: dict = SPACE,
     metric: str = "roc_auc",
     k: int = FOLDS,
-    method: str = "smote",
+    method: str = "over",
     max_evals: int = MAX_EVALS,
     timeout_minutes: float = TIMEOUT_MINUTES,
     loss_limit: float = LOSS_LIMIT,
     least_score: float = LEAST_SCORE,
     depth_limit: int = SPARK_MAX_DEPTH,
     seed: int = SPLIT_SEED,
+    search_id: str | None = None,
+    on_kept: Callable[[Built], None] | None = None,
 ) -> list[Built]:
     """Seeded random draws over algorithms and parameters; the builds that reach `least_score`.
 
-    Stops at the evaluation count, the time limit, or a loss (minus score) at `loss_limit`.
+    Stops at the evaluation count, the time limit, or a loss (minus score) at `loss_limit`; which of them it
+    was stands in each build's `search_end`. Run ids hold `search_id`, so that no two searches share one.
+    Only what is kept is fitted on all rows. `on_kept` gets each build as it is made, say to save its model
+    and let go of it.
     """
     prepared = prepare(train, features, k, method)
-    rng, start, kept = random.Random(seed), time.monotonic(), []
+    name = search_id or uuid.uuid4().hex[:12]
+    rng, start, kept, end = random.Random(seed), time.monotonic(), [], "evaluations"
     for number in range(max_evals):
         if time.monotonic() - start > 60 * timeout_minutes:
+            end = "time"
             break
         algorithm = rng.choice(algorithms)
         params = draw(rng, space[algorithm], depth_limit)
-        built = build(prepared, f"{algorithm}-{seed}-{number}", algorithm, params, metric)
-        value = sum(built.cv_scores) / len(built.cv_scores)
-        if value >= least_score:
+        built = Built(f"{algorithm}-{name}-{number}", algorithm, params, None,
+                      cross_validate(prepared, algorithm, params, metric))
+        if built.val_score >= least_score:
+            built.model = fit(prepared.whole, algorithm, params, features)
             kept.append(built)
-        if -value <= loss_limit:
+            if on_kept is not None:
+                on_kept(built)
+        if -built.val_score <= loss_limit:
+            end = "loss"
             break
+    for built in kept:
+        built.search_end = end
     return kept
 
 
@@ -246,29 +282,25 @@ def permuted_importance(
 ) -> DataFrame:
     """Mean change of the probability when a feature takes another row's value, ranked.
 
-    Rows are ranked by digest once; a feature's values move on by half the table, so the exchange is
-    one join on the rank for each feature. Works for any model.
+    Rows are ranked by digest once; all features' values move on by half the table in one join on the rank.
+    Each row then goes through the model once a feature, with that feature's moved value. Works for any model.
     """
     ranked = materialize(hash_rank(score(model, test.select("row_id", *features)), [], "row_id", seed))
-    changes = []
-    for f in features:
-        moved = ranked.select(
-            ((F.col("rank") + (F.col("class_size") / 2).cast("long")) % F.col("class_size") + 1).alias("rank"),
-            F.col(f).alias("moved"),
-        )
-        swapped = ranked.withColumnRenamed("p", "before").join(moved, "rank").withColumn(f, F.col("moved"))
-        after = score(model, swapped.drop("moved"))
-        gap = F.abs(F.col("p") - F.col("before"))
-        changes.append(after.agg(F.lit(f).alias("feature"), F.avg(gap).alias("importance")))
-    whole = changes[0]
-    for c in changes[1:]:
-        whole = whole.unionByName(c)
-    return ranked_importance(whole)
+    half = (F.col("class_size") / 2).cast("long")
+    moved = ranked.select(((F.col("rank") + half) % F.col("class_size") + 1).alias("rank"), F.array(*features).alias("others"))
+    pairs = ranked.withColumnRenamed("p", "before").join(moved, "rank").select(
+        "before", "others", *features, F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("number"))
+    swapped = pairs.select("before", "number", *[
+        F.when(F.col("number") == i, F.col("others")[i]).otherwise(F.col(f)).alias(f) for i, f in enumerate(features)])
+    after = score(model, swapped)
+    gaps = after.groupBy("number").agg(F.round(F.avg(F.abs(F.col("p") - F.col("before"))), 9).alias("importance"))
+    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("number") + 1)
+    return ranked_importance(gaps.select(name.alias("feature"), "importance"))
 
 
 def save_model(built: Built, path: str) -> None:
-    """The fitted pipeline below `path`, by run and version. Its record belongs to the runs table."""
-    built.model.write().overwrite().save(f"{path}/{built.run_id}/version={built.version}")
+    """The fitted pipeline below `path`, by run and version. One that is there already is never overwritten."""
+    built.model.write().save(f"{path}/{built.run_id}/version={built.version}")
 
 
 def load_model(path: str, run_id: str, version: int) -> PipelineModel:

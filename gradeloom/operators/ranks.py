@@ -10,7 +10,9 @@ def digest(id_column: str, seed: int) -> Column:
 
 
 def hash_rank(df: DataFrame, by: list[str], id_column: str, seed: int, digits: int = 4) -> DataFrame:
-    """Add `rank` (1-based, by seeded digest of a unique id inside each `by` class) and `class_size`.
+    """Add `rank` (1-based, by seeded digest of a unique id inside each `by` class) and sizes.
+
+    `class_size` is the class's own, `most` and `least` are those of the largest and smallest class.
 
     A class can hold most rows, so it is cut by the first hex digits of the digest: rows are ranked
     inside a piece and moved on by the rows of all earlier pieces, which come from a table of at most
@@ -26,12 +28,15 @@ def hash_rank(df: DataFrame, by: list[str], id_column: str, seed: int, digits: i
         (F.sum("piece_size").over(whole.orderBy("piece")) - F.col("piece_size")).alias("before"),
         F.sum("piece_size").over(whole).alias("class_size"),
     )
+    # a short table, so that its sizes are compared in one task
+    every = Window.partitionBy()
+    pieces = pieces.withColumns({"most": F.max("class_size").over(every), "least": F.min("class_size").over(every)})
     inside = Window.partitionBy(*by, "piece").orderBy("digest", id_column)
     return (
         marked.withColumn("place", F.row_number().over(inside))
         .join(pieces, [*by, "piece"])
         .withColumn("rank", F.col("before") + F.col("place"))
-        .select(*df.columns, "rank", "class_size")
+        .select(*df.columns, "rank", "class_size", "most", "least")
     )
 
 

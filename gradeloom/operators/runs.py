@@ -19,6 +19,7 @@ RUNS = T.StructType([
     T.StructField("cv_scores", T.ArrayType(T.DoubleType())),
     T.StructField("val_score", T.DoubleType()),
     T.StructField("test_score", T.DoubleType()),
+    T.StructField("search_end", T.StringType()),
 ])
 
 DEVELOPMENT, STAGING, PRODUCTION = "development", "staging", "production"
@@ -55,23 +56,37 @@ def load_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_runs(runs: DataFrame, path: str) -> None:
-    """Write the whole table as a new snapshot; readers see the newest finished one."""
+    """Write the whole table as a new snapshot; readers see the newest finished one.
+
+    A snapshot is never written into: of two writers that pick the same number one fails.
+    """
     number = last_snapshot(runs.sparkSession, path) + 1
-    runs.select(*RUNS.names).write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+    runs.select(*RUNS.names).write.mode("error").parquet(f"{path}/snapshot={number}")
+
+
+def last_versions(spark: SparkSession, path: str) -> dict[str, int]:
+    """The highest version of each run in the table, for versions to be given out before models are saved."""
+    if last_snapshot(spark, path) == 0:
+        return {}
+    rows = load_runs(spark, path).groupBy("run_id").agg(F.max("version").alias("last")).collect()
+    return {r["run_id"]: r["last"] for r in rows}
 
 
 def log_runs(runs: DataFrame, path: str) -> None:
-    """Append records to the newest snapshot; a run logged again gets its next version."""
+    """Add records in a new snapshot. A record without version gets the next one of its run."""
     spark = runs.sparkSession
-    number = last_snapshot(spark, path)
-    if number == 0:
-        runs.fillna(1, ["version"]).write.parquet(f"{path}/snapshot=1")
+    if last_snapshot(spark, path) == 0:
+        save_runs(runs.fillna(1, ["version"]), path)
         return
-    known = load_runs(spark, path).groupBy("run_id").agg(F.max("version").alias("last"))
-    raised = runs.join(known, "run_id", "left").withColumn(
-        "version", F.coalesce(F.col("last") + 1, F.col("version"), F.lit(1))
+    old = load_runs(spark, path)
+    known = old.groupBy("run_id").agg(F.max("version").alias("last"))
+    given = runs.join(known, "run_id", "left").withColumn(
+        "version", F.coalesce(F.col("version"), F.col("last") + 1, F.lit(1))
     )
-    raised.select(*RUNS.names).write.mode("append").parquet(f"{path}/snapshot={number}")
+    taken = given.where(F.col("version") <= F.col("last")).select("run_id").first()
+    if taken is not None:
+        raise ValueError(f"run {taken['run_id']} has this or a later version already")
+    save_runs(old.unionByName(given.select(*RUNS.names)), path)
 
 
 def current(runs: DataFrame) -> DataFrame:
@@ -116,33 +131,67 @@ def champion(runs: DataFrame) -> DataFrame:
 
 
 def assign_stages(runs: DataFrame, n: int, update_champion: bool = True) -> DataFrame:
-    """`runs` with stages set anew.
+    """`runs`, a row for each run and version, with stages set anew.
 
-    All but the champion fall back to development, the n best by validation score go to staging, and
-    the best of those by test score takes the champion's place if it is strictly better (or the place
-    is free). The n + 1 runs that leave development are worked out apart and broadcast.
+    A row without a stage is retired and stays so. Of the others all but the champion fall back to
+    development, the n best by validation score go to staging, and the best of those by test score takes the
+    champion's place if it is strictly better (or the place is free). A version of a run competes with the
+    others like any run: a staged version stays until it is beaten. One scan; the table of runs is small
+    enough for its ranks to be taken in one task.
     """
-    crown = champion(runs).select("run_id", F.col("test_score").alias("crown_score"))
-    others = runs.join(F.broadcast(crown), "run_id", "left_anti")
-    staged = candidates(others, n).select("run_id", "test_score", "place")
-    bar = crown.select("crown_score").scalar()
-    wins = (F.col("place") == 1) & (
-        bar.isNull() | (F.col("test_score") > bar) if update_champion else bar.isNull()
-    )
-    staged = staged.select("run_id", F.when(wins, PRODUCTION).otherwise(STAGING).alias("new_stage"))
-    beaten = staged.where(F.col("new_stage") == PRODUCTION).agg(F.count("*")).scalar() > 0
-    kept = crown.select("run_id", F.when(beaten, STAGING).otherwise(PRODUCTION).alias("new_stage"))
-    moved = F.broadcast(staged.unionByName(kept))
-    return (
-        runs.join(moved, "run_id", "left")
-        .withColumn("stage", F.coalesce("new_stage", F.lit(DEVELOPMENT)))
-        .select(*runs.columns)
+    def order(score: str) -> list:
+        return [F.desc(score), F.col("run_id"), F.col("version")]
+
+    by_test = Window.partitionBy("stage").orderBy(*order("test_score"))
+    ranked = runs.withColumn("crowned", (F.col("stage") == PRODUCTION) & (F.row_number().over(by_test) == 1))
+    pool = F.col("stage").isNotNull() & ~F.col("crowned")
+    ranked = ranked.withColumn("pool", F.coalesce(pool, F.lit(False)))
+    by_validation = Window.partitionBy("pool").orderBy(*order("val_score"))
+    ranked = ranked.withColumn("challenger", F.col("pool") & (F.row_number().over(by_validation) <= n))
+    first = Window.partitionBy("challenger").orderBy(*order("test_score"))
+    whole = Window.partitionBy()
+    ranked = ranked.withColumns({
+        "best": F.col("challenger") & (F.row_number().over(first) == 1),
+        "crowns": F.max(F.col("crowned").cast("int")).over(whole),
+        "bar": F.max(F.when(F.col("crowned"), F.col("test_score"))).over(whole),
+    })
+    free = F.coalesce(F.col("crowns"), F.lit(0)) == 0
+    beats = F.coalesce(F.col("test_score") > F.col("bar"), F.col("bar").isNull() & F.col("test_score").isNotNull())
+    wins = F.col("best") & (free | beats if update_champion else free)
+    ranked = ranked.withColumn("wins", F.coalesce(wins, F.lit(False)))
+    ranked = ranked.withColumn("beaten", F.max("wins").over(whole))
+    stage = (
+        F.when(F.col("stage").isNull(), F.lit(None).cast("string"))
+        .when(F.col("wins"), PRODUCTION)
+        .when(F.col("crowned"), F.when(F.col("beaten"), STAGING).otherwise(PRODUCTION))
+        .when(F.col("challenger"), STAGING)
+        .otherwise(DEVELOPMENT)
     )
+    return ranked.withColumn("stage", stage).select(*runs.columns)
+
+
+def hold_best(runs: DataFrame, candidates: int, algorithms: list[str]) -> DataFrame:
+    """Rows in development or staging keep their stage if they are among their algorithm's best.
+
+    Of each algorithm floor(candidates / algorithms) rows are held, by validation score. The champion is none
+    of them and keeps its stage.
+    """
+    n = candidates // len(algorithms)
+    pool = F.coalesce(F.col("stage").isin(DEVELOPMENT, STAGING), F.lit(False))
+    order = Window.partitionBy("pool", "algorithm").orderBy(F.desc("val_score"), "run_id", "version")
+    held = runs.withColumn("pool", pool).withColumn("place", F.row_number().over(order))
+    stage = F.when(F.col("pool") & (F.col("place") > n), F.lit(None)).otherwise(F.col("stage"))
+    return held.withColumn("stage", stage).select(*runs.columns)
+
+
+def retain(runs: DataFrame) -> DataFrame:
+    """Rows that hold a stage; the others are left out of the next snapshot."""
+    return runs.where(F.col("stage").isNotNull())
 
 
-def retain(runs: DataFrame, staged: DataFrame) -> DataFrame:
-    """Runs that hold a stage; the others are left out of the next snapshot."""
-    return runs.join(staged.select("run_id").distinct(), "run_id", "left_semi")
+def promoted(runs: DataFrame, candidates: int, algorithms: list[str], update_champion: bool = True) -> DataFrame:
+    """The next table of runs: the best of each algorithm held, stages set anew, all others dropped."""
+    return retain(assign_stages(hold_best(runs, candidates, algorithms), candidates, update_champion))
 
 
 def stage_order() -> list:

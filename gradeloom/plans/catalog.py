@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from gradeloom.functions import scalars as S
 from gradeloom.operators import collapse as C, evaluate as E, model as M, prefix as P, report as R, runs as U
@@ -13,13 +13,16 @@ from gradeloom.operators.sample import folds, oversample, split, undersample
 from gradeloom.operators.smote import smote
 from gradeloom.plans.gradebook import EXAMS, gradebook
 from gradeloom.plans.process import HOT_LIMIT, clean_log, exam_history, feature_table, sorted_log
-from gradeloom.plans.train import batch_score
+from gradeloom.plans.train import batch_score, promote, score_with_champion, train_models
 from gradeloom.schema import EPOCH_COLUMNS, FEATURES, KEYS, TEXT_COLUMNS
-from gradeloom.session import materialize, tuned
-from gradeloom.sources.activity import column_facts, filter_activity, random_slice
+from gradeloom.session import fresh_folder, materialize, tuned
+from gradeloom.sources.activity import column_facts, filter_activity, random_slice, read_activity, read_table, write_table
 
 QUERIES = {}
 
+# cuts the groups of the test tables in two at every scale
+HOT_ROWS = 12
+
 CLEAN_COLUMNS = [
     "row_id", *KEYS, "tie_rank", *C.MEAN_COLUMNS, *TEXT_COLUMNS, *EPOCH_COLUMNS, "task_points",
 ]
@@ -98,26 +101,34 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- scans and filters ----------------------------------------------------------------------------
 
+def written_log(spark, sf_dir, **filters) -> DataFrame:
+    """The gradebook written once as a log and read back with filters."""
+    path = fresh_folder(spark, "activity")
+    write_table(gradebook(spark, sf_dir), path)
+    return read_activity(spark, path, **filters)
+
+
 @query
 def scan_activity(spark, sf_dir):
-    return gradebook(spark, sf_dir)
+    return written_log(spark, sf_dir)
 
 
 @query
 def scan_clean_log(spark, sf_dir):
-    clean = clean_log(gradebook(spark, sf_dir))
-    kept = filter_activity(clean, course_name="Course 1", max_step=15.0)
+    path = fresh_folder(spark, "clean")
+    write_table(clean_log(gradebook(spark, sf_dir)), path)
+    kept = filter_activity(read_table(spark, path), course_name="Course 1", max_step=15.0)
     return kept.select("row_id", *KEYS, "step", "exam_name", "exam_grade", "sub_task_name", "sub_score")
 
 
 @query
 def course_filter(spark, sf_dir):
-    return filter_activity(gradebook(spark, sf_dir), course_name="Course 0").select("row_id", *KEYS)
+    return written_log(spark, sf_dir, course_name="Course 0").select("row_id", *KEYS)
 
 
 @query
 def learner_filter(spark, sf_dir):
-    kept = filter_activity(gradebook(spark, sf_dir), learner_ids=["L3", "L14", "L15"])
+    kept = written_log(spark, sf_dir, learner_ids=["L3", "L14", "L15"])
     return kept.select("row_id", *KEYS, "step")
 
 
@@ -126,23 +137,23 @@ def learner_table_filter(spark, sf_dir):
     wanted = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.concat(F.lit("L"), F.col("n_nationkey").cast("string")).alias("learner_id")
     )
-    return filter_activity(gradebook(spark, sf_dir), learner_ids=wanted).select("row_id", *KEYS)
+    return written_log(spark, sf_dir, learner_ids=wanted).select("row_id", *KEYS)
 
 
 @query
 def step_filter(spark, sf_dir):
-    return filter_activity(gradebook(spark, sf_dir), max_step=10.0).select("row_id", "step")
+    return written_log(spark, sf_dir, max_step=10.0).select("row_id", "step")
 
 
 @query
 def step_filter_null_as_zero(spark, sf_dir):
-    kept = filter_activity(gradebook(spark, sf_dir), max_step=10.0, keep_null_step=True)
+    kept = written_log(spark, sf_dir, max_step=10.0, keep_null_step=True)
     return kept.select("row_id", "step")
 
 
 @query
 def term_filter(spark, sf_dir):
-    return filter_activity(gradebook(spark, sf_dir), term="03-2024").select("row_id", "term")
+    return written_log(spark, sf_dir, term="03-2024").select("row_id", "term")
 
 
 @query
@@ -310,8 +321,8 @@ def cleaned_log(spark, sf_dir):
 
 @query
 def cleaned_log_hot_groups(spark, sf_dir):
-    """The same log with the way for hot groups taken by every group above 60 rows."""
-    return clean_log(gradebook(spark, sf_dir), hot_limit=60).select(*CLEAN_COLUMNS)
+    """The same log with the way for hot groups taken by every group above HOT_ROWS rows."""
+    return clean_log(gradebook(spark, sf_dir), hot_limit=HOT_ROWS).select(*CLEAN_COLUMNS)
 
 
 @query
@@ -328,7 +339,7 @@ def prefix_features(spark, sf_dir):
 
 @query
 def prefix_features_hot_groups(spark, sf_dir):
-    return feature_table(gradebook(spark, sf_dir), EXAMS, hot_limit=60).drop("tie_name")
+    return feature_table(gradebook(spark, sf_dir), EXAMS, hot_limit=HOT_ROWS).drop("tie_name")
 
 
 @query
@@ -428,6 +439,14 @@ def undersampled(spark, sf_dir):
     return undersample(labelled(spark, sf_dir)).select("row_id", "target")
 
 
+@query
+def smote_features(spark, sf_dir):
+    """All features of the feature table; the synthetic rows' bases, turns and neighbours."""
+    rows = feature_table(gradebook(spark, sf_dir), EXAMS).withColumns({f: F.round(f, 3) for f in FEATURES})
+    made = smote(materialize(rows.select("row_id", *FEATURES, "target")), FEATURES)
+    return made.select("base_id", "turn", "number", "target")
+
+
 @query
 def smote_rows(spark, sf_dir):
     """Every third customer as the smaller class, two integer features."""
@@ -545,8 +564,16 @@ def assigned_stages(spark, sf_dir):
 
 @query
 def retained_runs(spark, sf_dir):
-    runs = part_runs(spark, sf_dir)
-    return U.retain(runs, runs.where(F.col("stage").isNotNull())).select("run_id", "stage")
+    return U.retain(part_runs(spark, sf_dir)).select("run_id", "stage")
+
+
+@query
+def promoted_runs(spark, sf_dir):
+    """Two versions of each run, some without stage: what the next table of runs holds."""
+    number = F.expr("cast(substring(run_id, 2) as int)")
+    runs = part_runs(spark, sf_dir).withColumns({
+        "version": (1 + number % 2).cast("int"), "run_id": F.concat(F.lit("R"), F.floor(number / 2).cast("string"))})
+    return U.promoted(runs, 30, M.ALGORITHMS).select("run_id", "version", "stage")
 
 
 @query
@@ -554,7 +581,7 @@ def model_leaderboard(spark, sf_dir):
     return U.leaderboard(part_runs(spark, sf_dir))
 
 
-# -- models: checked for rows only ----------------------------------------------------------------
+# -- models: what is exact in them is compared ------------------------------------------------------
 
 SMALL_SPACE = {
     M.FOREST: {"trees": ("int", 5, 10), "depth": ("int", 2, 5), "columns": ("choice", ["sqrt", "all"])},
@@ -571,12 +598,18 @@ def part_of(splits: DataFrame, name: str) -> DataFrame:
     return splits.where(F.col("split") == name)
 
 
+def exact_part(scored_rows: DataFrame) -> DataFrame:
+    """Keys and target, and whether probability and class fit together."""
+    fits = F.col("p").between(0, 1) & ((F.col("p") > M.CUTOFF) == (F.col("predicted") == 1))
+    return scored_rows.select("row_id", *KEYS, "target", fits.alias("fits"))
+
+
 @query
 def forest_predictions(spark, sf_dir):
     splits = split_features(spark, sf_dir)
     model = M.fit(part_of(splits, "train"), M.FOREST, {"trees": 10, "depth": 6})
     rows = M.score(model, part_of(splits, "test"))
-    return rows.select("row_id", *KEYS, "target", "p", E.predicted("p", M.CUTOFF).alias("predicted"))
+    return exact_part(rows.withColumn("predicted", E.predicted("p", M.CUTOFF)))
 
 
 @query
@@ -584,21 +617,32 @@ def boosted_predictions(spark, sf_dir):
     splits = split_features(spark, sf_dir)
     model = M.fit(part_of(splits, "train"), M.BOOSTED_FINE, {"trees": 5, "depth": 3, "rate": 0.2})
     rows = M.score(model, part_of(splits, "test"))
-    return rows.select("row_id", *KEYS, "target", "p", E.predicted("p", M.CUTOFF).alias("predicted"))
+    return exact_part(rows.withColumn("predicted", E.predicted("p", M.CUTOFF)))
+
+
+@query
+def stump_predictions(spark, sf_dir):
+    """One tree of depth one on a target that is a threshold on one feature: its answers are known."""
+    rows = split_features(spark, sf_dir).withColumn("target", (F.col("exams_sum") > 2).cast("int"))
+    model = M.fit(rows, M.BOOSTED_FINE, {"trees": 1, "depth": 1, "rate": 1.0})
+    return M.score(model, rows).select("row_id", *KEYS, E.predicted("p", M.CUTOFF).alias("predicted"))
 
 
 @query
 def fold_scores(spark, sf_dir):
     train = part_of(split_features(spark, sf_dir), "train")
     scores = M.cross_validate(M.prepare(train, method="over"), M.FOREST, {"trees": 5, "depth": 4})
-    return spark.createDataFrame(list(enumerate(scores)), "fold int, score double")
+    table = spark.createDataFrame(list(enumerate(scores)), "fold int, score double")
+    return table.select("fold", F.col("score").between(0.3, 1).alias("fits"))
 
 
 @query
 def searched_runs(spark, sf_dir):
     train = part_of(split_features(spark, sf_dir), "train")
-    found = M.search(train, space=SMALL_SPACE, method="under", k=2, max_evals=2, least_score=0.0)
-    return U.new_runs(spark, [b.record() for b in found]).select("run_id", "algorithm", "version", "val_score")
+    found = M.search(train, space=SMALL_SPACE, method="under", k=2, max_evals=2, least_score=0.0, search_id="trial")
+    runs = U.new_runs(spark, [b.record() for b in found])
+    return runs.select(F.regexp_extract("run_id", "trial-[0-9]+$", 0).alias("draw"), "version", "search_end",
+                       F.col("val_score").between(0, 1).alias("fits"))
 
 
 @query
@@ -608,20 +652,45 @@ def updated_run(spark, sf_dir):
     prepared = M.prepare(train, k=2, method="under")
     built = M.build(prepared, "forest-1", M.FOREST, {"trees": 5, "depth": 4})
     built = M.update(built, test, train=prepared.whole, sweep_on=train)
-    return U.new_runs(spark, [built.record()]).drop("params", "cv_scores")
+    scores = [F.col(c).between(0, 1) for c in ("roc_auc", "f1", "precision", "recall", "accuracy", "val_score")]
+    fits = F.col("cutoff").between(0.3, 0.6) & (F.col("test_score") == F.col("roc_auc"))
+    for c in scores:
+        fits = fits & c
+    return U.new_runs(spark, [built.record()]).select("run_id", "algorithm", "version", "stage", fits.alias("fits"))
 
 
 @query
 def forest_importance(spark, sf_dir):
     model = M.fit(part_of(split_features(spark, sf_dir), "train"), M.FOREST, {"trees": 5, "depth": 4})
-    return M.native_importance(model, spark)
+    ranked = M.native_importance(model, spark)
+    return ranked.select("feature", (F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9).alias("fits"))
+
+
+@query
+def permuted_importance(spark, sf_dir):
+    splits = split_features(spark, sf_dir)
+    model = M.fit(part_of(splits, "train"), M.FOREST, {"trees": 5, "depth": 4})
+    ranked = M.permuted_importance(model, part_of(splits, "test"))
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("fits"))
 
 
 @query
 def batch_scores(spark, sf_dir):
     activity = gradebook(spark, sf_dir)
     model = M.fit(part_of(split_features(spark, sf_dir), "train"), M.FOREST, {"trees": 5, "depth": 4})
-    return batch_score(model, activity, EXAMS, HOT_LIMIT)
+    return batch_score(model, activity, EXAMS, HOT_LIMIT).select(*KEYS, "step", F.col("p").between(0, 1).alias("fits"))
+
+
+@query
+def champion_scores(spark, sf_dir):
+    """Train, promote and score with what was stored."""
+    splits = split_features(spark, sf_dir)
+    runs, models, out = (fresh_folder(spark, n) for n in ("runs", "models", "predictions"))
+    train_models(splits, runs, models, 2, [M.FOREST], space=SMALL_SPACE, method="under", k=2, max_evals=1, least_score=0.0)
+    promote(spark, runs, 2, [M.FOREST])
+    scored_rows = score_with_champion(gradebook(spark, sf_dir), runs, models, out, EXAMS)
+    fits = F.col("p").between(0, 1) & F.col("predicted").isin(0, 1) & F.col("scored_at").isNotNull()
+    return scored_rows.select(*KEYS, "course_name", "step", fits.alias("fits"))
 
 
 __all__ = ["QUERIES"]

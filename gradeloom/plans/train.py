@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from gradeloom.operators.model import ALGORITHMS, Built, save_model, score, search, update
+from gradeloom.operators.evaluate import predicted
+from gradeloom.operators.model import (
+    ALGORITHMS, Built, fit, load_model, save_model, score, search, update,
+)
 from gradeloom.operators.prefix import latest
+from gradeloom.operators.report import prediction_folders
 from gradeloom.operators.runs import (
-    assign_stages, current, load_runs, log_runs, new_runs, retain, save_runs, top_per_algorithm,
+    champion, hold_best, last_versions, load_runs, log_runs, new_runs, promoted, save_runs, top_per_algorithm,
 )
-from gradeloom.operators.sample import SPLIT_SEED, TEST_RATIO, split
+from gradeloom.operators.sample import SPLIT_SEED, TEST_RATIO, balance, split
 from gradeloom.plans.process import HOT_LIMIT, feature_table
 from gradeloom.schema import EXAM_GROUPS, FEATURES, KEYS
-from gradeloom.sources.activity import read_table, write_table
+from gradeloom.session import materialize
+from gradeloom.sources.activity import read_table, write_predictions, write_table
 
 CANDIDATES = 10  # fixed value: challengers in staging
 
@@ -29,29 +34,81 @@ def read_splits(spark, path: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def part(splits: DataFrame, name: str) -> DataFrame:
+    return splits.where(F.col("split") == name)
+
+
+def swept_cutoff(train: DataFrame, built: Built, method: str, ratio: float = TEST_RATIO, seed: int = SPLIT_SEED) -> float:
+    """The best cutoff on a share of the training rows, by a model of the rest."""
+    cut = split(train.drop("split"), ratio, seed + 1)
+    rest = materialize(balance(part(cut, "train"), method, FEATURES))
+    model = fit(rest, built.algorithm, built.params)
+    trial = Built(built.run_id, built.algorithm, built.params, model, built.cv_scores)
+    held = part(cut, "test")
+    return update(trial, held, sweep_on=held).cutoff
+
+
 def train_models(splits: DataFrame, runs_path: str, models_path: str, candidates: int = CANDIDATES,
-                 algorithms: list[str] = ALGORITHMS, **options) -> list[Built]:
-    """Search, keep the best of each algorithm, evaluate them on the test rows, log and save them."""
-    train = splits.where(F.col("split") == "train")
-    found = search(train, algorithms=algorithms, **options)
+                 algorithms: list[str] = ALGORITHMS, method: str = "over", **options) -> list[Built]:
+    """Search, save and log every build that reaches the least score, test the best of each algorithm.
+
+    Models are saved as they are made and not held. The best get a cutoff swept on a share of the training
+    rows and their scores on the test rows. Returns the tested builds.
+    """
+    spark, train, test = splits.sparkSession, part(splits, "train"), part(splits, "test")
+
+    def save(built: Built) -> None:
+        save_model(built, models_path)
+        built.model = None
+
+    found = search(train, algorithms=algorithms, method=method, on_kept=save, **options)
     if not found:
         return []
-    spark = splits.sparkSession
     best = top_per_algorithm(new_runs(spark, [b.record() for b in found]), candidates, algorithms)
     names = {r["run_id"] for r in best.select("run_id").collect()}  # at most `candidates` rows
-    kept = [update(b, splits.where(F.col("split") == "test")) for b in found if b.run_id in names]
-    for built in kept:
-        save_model(built, models_path)
-    log_runs(new_runs(spark, [b.record() for b in kept]), runs_path)
-    return kept
+    tested = [b for b in found if b.run_id in names]
+    for built in tested:
+        built.model = load_model(models_path, built.run_id, built.version)
+        built.cutoff = swept_cutoff(train, built, method)
+        update(built, test)
+    log_runs(new_runs(spark, [b.record() for b in found]), runs_path)
+    return tested
+
+
+def promote(spark, runs_path: str, candidates: int = CANDIDATES, algorithms: list[str] = ALGORITHMS,
+            update_champion: bool = True) -> DataFrame:
+    """Hold the best of each algorithm, assign stages anew, write the next snapshot without all others."""
+    save_runs(promoted(load_runs(spark, runs_path), candidates, algorithms, update_champion), runs_path)
+    return load_runs(spark, runs_path)
 
 
-def promote(spark, runs_path: str, candidates: int = CANDIDATES, update_champion: bool = True) -> DataFrame:
-    """Assign stages anew and write them as the next snapshot, runs without a stage left out."""
-    runs = current(load_runs(spark, runs_path))
-    staged = assign_stages(runs, candidates, update_champion)
-    save_runs(retain(staged, staged.where(F.col("stage").isNotNull())), runs_path)
-    return load_runs(spark, runs_path)
+def update_models(splits: DataFrame, runs_path: str, models_path: str, candidates: int = CANDIDATES,
+                  algorithms: list[str] = ALGORITHMS, refit: bool = True, sweep: bool = True,
+                  method: str = "over") -> DataFrame:
+    """Bring every run that holds a stage up to date with the splits, then promote.
+
+    Each is loaded, fitted again as a new version (`refit`), given a cutoff anew (`sweep`) and tested again. A
+    new version takes its run's stage; the version before it loses its own, so the next table has one row a
+    run. Runs are at most `candidates` and a champion after retention.
+    """
+    spark, train, test = splits.sparkSession, part(splits, "train"), part(splits, "test")
+    rows = hold_best(load_runs(spark, runs_path), candidates, algorithms).where(F.col("stage").isNotNull()).collect()
+    whole = materialize(balance(train, method, FEATURES)) if refit else None
+    last, renewed = last_versions(spark, runs_path), []
+    for run in rows:
+        built = Built.of(run, load_model(models_path, run["run_id"], run["version"]))
+        if refit:
+            built.version = last[built.run_id]  # update() counts on from here
+        if sweep:
+            built.cutoff = swept_cutoff(train, built, method)
+        update(built, test, train=whole)
+        if refit:
+            last[built.run_id] = built.version
+            save_model(built, models_path)
+        built.model = None
+        renewed.append(built)
+    save_runs(new_runs(spark, [b.record() for b in renewed]), runs_path)
+    return promote(spark, runs_path, candidates, algorithms)
 
 
 def batch_score(model: PipelineModel, activity: DataFrame, groups: dict = EXAM_GROUPS,
@@ -61,4 +118,28 @@ def batch_score(model: PipelineModel, activity: DataFrame, groups: dict = EXAM_G
     return score(model, newest).select(*KEYS, "step", "p")
 
 
-__all__ = ["FEATURES", "batch_score", "promote", "read_splits", "train_models", "write_splits"]
+def score_with_champion(activity: DataFrame, runs_path: str, models_path: str, out_path: str | None = None,
+                        groups: dict = EXAM_GROUPS, hot_limit: int | None = HOT_LIMIT) -> DataFrame:
+    """Probabilities and classes by the stored champion and its own cutoff, with the time of scoring.
+
+    With `out_path` they are appended to the prediction sink; the time tells scorings apart.
+    """
+    spark = activity.sparkSession
+    run = champion(load_runs(spark, runs_path)).first()
+    if run is None:
+        raise ValueError(f"{runs_path} has no champion")
+    model = load_model(models_path, run["run_id"], run["version"])
+    scored = batch_score(model, activity, groups, hot_limit).select(
+        *KEYS, "p", predicted("p", run["cutoff"]).alias("predicted"),
+        F.lit(run["run_id"]).alias("run_id"), F.lit(run["version"]).alias("version"),
+        F.current_timestamp().alias("scored_at"))
+    scored = prediction_folders(scored, activity)
+    if out_path is not None:
+        write_predictions(scored, out_path)
+    return scored
+
+
+__all__ = [
+    "FEATURES", "batch_score", "promote", "read_splits", "score_with_champion", "train_models", "update_models",
+    "write_splits",
+]

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-RUNTIME_CONF = {
-    # epoch seconds become timestamps; one zone for all readers and writers
-    "spark.sql.session.timeZone": "UTC",
+#: What results depend on: epoch seconds become timestamps, one zone for all readers and writers.
+RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+#: What suits a small machine, set by `local_session` alone; a cluster keeps its own.
+LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     # windows cost more than their bytes: let small shuffles keep all cores busy
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
@@ -30,8 +33,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.enabled", "false")
         # the running windows alone compile to more classes than the default 100
         .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **LOCAL_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,25 +43,44 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session made elsewhere."""
+    """Set what results depend on in a session made elsewhere; its other settings stay."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and go on from there.
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediates: the one the cluster names in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only a session without any
-    (tests on one machine) gets a temporary one.
+    Only a session on one machine without that setting (tests) gets a temporary one.
     """
-    spark = df.sparkSession
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is not None:
+        return named
     context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="gradeloom-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path below the work folder that nothing uses yet."""
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write `df` once to the shared work folder and go on from there.
+
+    A reliable checkpoint. Its files go when nothing refers to them any more, provided the session sets
+    `spark.cleaner.referenceTracking.cleanCheckpoints`, as `local_session` does.
+    """
+    context = df.sparkSession.sparkContext
+    folder = work_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="gradeloom-checkpoint-"))
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

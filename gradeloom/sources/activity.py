@@ -6,48 +6,72 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gradeloom.functions.scalars import real, repaired_term
 from gradeloom.operators.blocks import numbered
-from gradeloom.schema import ACTIVITY, EPOCH_COLUMNS, EXPORT_COLUMNS
+from gradeloom.schema import ACTIVITY, EXPORT_COLUMNS
+
+
+# Words of a text table that stand for a missing value.
+NULL_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
+def worded(df: DataFrame) -> DataFrame:
+    """Text columns with the words for a missing value as null."""
+    return df.withColumns({c: F.when(~F.col(c).isin(NULL_WORDS), F.col(c)) for c, kind in df.dtypes if kind == "string"})
+
+
+def rejected(df: DataFrame) -> DataFrame:
+    """(column, values): texts that are there but are no value of their column's declared type."""
+    bad = [F.count_if(F.col(f.name).isNotNull() & typed(df, f).isNull()).alias(f.name) for f in ACTIVITY if f.name in df.columns]
+    counts = worded(df).agg(*bad)
+    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("values")) for c in counts.columns]))
+    return counts.select(pair.alias("pair")).select("pair.*")
+
+
+def typed(df: DataFrame, field: T.StructField):
+    """A column in its declared type, null where it is no such value; whole numbers may come as 5.0."""
+    c = F.col(field.name)
+    if isinstance(field.dataType, T.LongType) and dict(df.dtypes)[field.name] == "string":
+        c = c.try_cast("double")
+    return c.try_cast(field.dataType)
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """The declared columns and types, NaN as null."""
-    cols = []
-    for field in ACTIVITY:
-        c = F.col(field.name).cast(field.dataType)
-        cols.append(c.alias(field.name))
-    df = df.select(cols)
+    """The declared columns and types, null where a value is not of the type, NaN as null."""
+    df = worded(df)
+    df = df.select(*[typed(df, field).alias(field.name) for field in ACTIVITY])
     doubles = [f.name for f in ACTIVITY if isinstance(f.dataType, T.DoubleType)]
     return df.withColumns({c: real(c) for c in doubles})
 
 
-def read_activity(spark: SparkSession, path: str, format: str = "parquet", **filters) -> DataFrame:
-    """Scan the raw log (Parquet, or CSV with `;`) and keep what the filters ask for."""
+def read_activity(spark: SparkSession, path: str, format: str = "parquet", multiline: bool = False, **filters) -> DataFrame:
+    """Scan the raw log (Parquet, or CSV with `;`) and keep what the filters ask for.
+
+    CSV is read as text and conformed. `multiline` reads quoted line breaks; a file is then one task's.
+    """
     if format == "csv":
-        # epoch columns may carry a fraction in text form; read them as double, cut to long after
-        schema = T.StructType([
-            T.StructField(f.name, T.DoubleType() if f.dataType == T.LongType() and f.name != "row_id"
-                          else f.dataType) for f in ACTIVITY])
-        raw = spark.read.schema(schema).csv(path, sep=";", header=True)
-    else:
-        raw = spark.read.format(format).load(path)
-    return filter_activity(conform(raw), **filters)
+        raw = spark.read.csv(path, sep=";", header=True, multiLine=multiline, escape='"')
+        return filter_activity(conform(raw), **filters)
+    # a written log has its types already: filters go first, so that they reach the scan
+    return conform(filter_activity(spark.read.format(format).load(path), **filters))
 
 
-def ingest_export(spark: SparkSession, csv_path: str, out_path: str) -> DataFrame:
+def ingest_export(spark: SparkSession, csv_path: str, out_path: str, multiline: bool = False) -> DataFrame:
     """Turn a gradebook export (CSV with `;`, its own column names) into the activity table, once.
 
-    The order of lines in the export matters, so each row gets its number in it. Later jobs read the
-    Parquet table.
+    The order of lines in the export matters, so each row gets its number in it. Words for a missing value
+    and numbers that are none become null, see `rejected`. Rows lie by course and step within their files, so
+    that filters on them skip most. Later jobs read the Parquet table.
     """
-    raw = spark.read.csv(csv_path, sep=";", header=True)
+    raw = spark.read.csv(csv_path, sep=";", header=True, multiLine=multiline, escape='"')
     place = ["file_path", "file_block_start", "line"]
     raw = raw.select(
         *[F.col(theirs).alias(ours) for theirs, ours in EXPORT_COLUMNS.items()],
         "_metadata.file_path", "_metadata.file_block_start",
         F.monotonically_increasing_id().alias("line"),
     )
-    epochs = {c: F.col(c).cast("double").cast("long") for c in EPOCH_COLUMNS}
-    conform(numbered(raw, place).withColumns(epochs)).write.mode("overwrite").parquet(out_path)
+    conform(numbered(raw, place)).sortWithinPartitions("course_name", "step").write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
@@ -68,7 +92,8 @@ def filter_activity(
     if course_name is not None:
         df = df.where(F.col("course_name") == course_name)
     if term is not None:
-        df = df.where(repaired_term() == term)
+        # every raw spelling of a term ends like it, and that part of the test reaches the scan
+        df = df.where(F.col("term").endswith(term[1:]) & (repaired_term() == term))
     if isinstance(learner_ids, DataFrame):
         df = df.join(learner_ids.select("learner_id").distinct(), "learner_id", "left_semi")
     elif learner_ids is not None:
@@ -76,8 +101,8 @@ def filter_activity(
     if learner_nos is not None:
         df = df.where(F.col("learner_no").isin(list(learner_nos)))
     if max_step is not None:
-        step = F.coalesce("step", F.lit(0.0)) if keep_null_step else F.col("step")
-        df = df.where(step <= max_step)
+        within = F.col("step") <= max_step
+        df = df.where(within | F.col("step").isNull() if keep_null_step and max_step >= 0 else within)
     return df
 
 

@@ -1,5 +1,7 @@
 """Balance, split, neighbours, evaluation, runs, files."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -15,10 +17,12 @@ from gradeloom.operators.smote import smote
 from gradeloom.plans.catalog import part_runs, scored
 from gradeloom.plans.gradebook import EXAMS, gradebook
 from gradeloom.plans.process import clean_log, feature_table
-from gradeloom.plans.train import batch_score, promote, train_models, write_splits
+from gradeloom.plans.train import (
+    batch_score, promote, score_with_champion, train_models, update_models, write_splits,
+)
 from gradeloom.schema import EPOCH_COLUMNS, EXPORT_COLUMNS, FEATURES
 from gradeloom.session import materialize
-from gradeloom.sources.activity import ingest_export, read_activity, read_table, write_predictions, write_table
+from gradeloom.sources.activity import ingest_export, read_activity, read_table, rejected, write_predictions, write_table
 
 
 @pytest.fixture(scope="module")
@@ -141,11 +145,14 @@ def test_runs_are_logged_in_versions_and_snapshots(spark, tmp_path):
     rows = [{"run_id": "a", "algorithm": "random_forest", "params": {"trees": "5"}, "cv_scores": [0.5, 0.7]}]
     U.log_runs(U.new_runs(spark, rows), path)
     U.log_runs(U.new_runs(spark, rows), path)
+    with pytest.raises(ValueError):
+        U.log_runs(U.new_runs(spark, [{**rows[0], "version": 2}]), path)
+    assert U.last_versions(spark, path) == {"a": 2}
     assert sorted(r.version for r in U.load_runs(spark, path).collect()) == [1, 2]
     assert U.load_runs(spark, path).first().val_score == pytest.approx(0.6)
     U.save_runs(U.current(U.load_runs(spark, path)), path)
     kept = U.load_runs(spark, path).collect()
-    assert U.last_snapshot(spark, path) == 2 and [(r.version, r.params) for r in kept] == [(2, {"trees": "5"})]
+    assert U.last_snapshot(spark, path) == 3 and [(r.version, r.params) for r in kept] == [(2, {"trees": "5"})]
 
 
 def test_train_promote_and_score(spark, tmp_path, features):
@@ -154,7 +161,7 @@ def test_train_promote_and_score(spark, tmp_path, features):
     runs, models = str(tmp_path / "runs"), str(tmp_path / "models")
     kept = train_models(splits, runs, models, 2, [M.FOREST], space=space, method="under", k=2, max_evals=2, least_score=0.5)
     assert kept
-    table = promote(spark, runs, 2)
+    table = promote(spark, runs, 2, [M.FOREST])
     crowned = table.where("stage = 'production'").collect()
     assert len(crowned) == 1
     best = next(b for b in kept if b.run_id == crowned[0].run_id)
@@ -163,6 +170,44 @@ def test_train_promote_and_score(spark, tmp_path, features):
          batch_score(loaded, gradebook(spark, SF), EXAMS).toPandas(), 0)
 
 
+def test_worse_second_search_leaves_the_champion(spark, tmp_path, features):
+    splits = write_splits(features, str(tmp_path / "splits"))
+    runs, models = str(tmp_path / "runs"), str(tmp_path / "models")
+    options = {"method": "under", "k": 2, "max_evals": 1, "least_score": 0.0}
+    good = {M.FOREST: {"trees": ("int", 12, 12), "depth": ("int", 6, 6)}}
+    poor = {M.FOREST: {"trees": ("int", 1, 1), "depth": ("int", 1, 1), "leaf_rows": ("int", 150, 150)}}
+    (first,) = train_models(splits, runs, models, 2, [M.FOREST], space=good, **options)
+    promote(spark, runs, 2, [M.FOREST])
+    (second,) = train_models(splits, runs, models, 2, [M.FOREST], space=poor, **options)
+    assert second.run_id != first.run_id and second.test["test_score"] < first.test["test_score"]
+    table = {r.run_id: r.stage for r in promote(spark, runs, 2, [M.FOREST]).collect()}
+    assert table == {first.run_id: "production", second.run_id: "staging"}
+    M.load_model(models, first.run_id, first.version)
+    # brought up to date: new versions, one row a run, old files still there
+    table = {r.run_id: r for r in update_models(splits, runs, models, 2, [M.FOREST], method="under").collect()}
+    assert {r.version for r in table.values()} == {2} and len(table) == 2
+    assert sum(r.stage == "production" for r in table.values()) == 1
+    M.load_model(models, first.run_id, 1)
+    out = str(tmp_path / "predictions")
+    for _ in range(2):
+        rows = score_with_champion(gradebook(spark, SF), runs, models, out, EXAMS)
+    champion = next(r for r in table.values() if r.stage == "production")
+    got = rows.collect()
+    assert {(r.run_id, r.version) for r in got} == {(champion.run_id, 2)}
+    assert all(r.predicted == (r.p > champion.cutoff) for r in got)
+    stored = spark.read.json(out)
+    assert stored.count() == 2 * len(got) and stored.select("scored_at").distinct().count() == 2
+
+
+def test_retention_drops(spark):
+    rows = [{"run_id": f"r{i}", "version": v, "algorithm": a, "stage": s, "cv_scores": [x], "test_score": t} for i, v, a, s, x, t in [
+        (0, 1, "f", "production", 0.1, 0.9), (0, 2, "f", "development", 0.9, 0.5), (1, 1, "f", "staging", 0.8, 0.6),
+        (2, 1, "f", "development", 0.7, 0.99), (3, 1, "g", "development", 0.2, 0.3), (4, 1, "g", None, 0.95, 0.99)]]
+    left = U.promoted(U.new_runs(spark, rows), 4, ["f", "g"])
+    assert {(r.run_id, r.version): r.stage for r in left.collect()} == {
+        ("r0", 1): "production", ("r0", 2): "staging", ("r1", 1): "staging", ("r3", 1): "staging"}
+
+
 def test_folds_balanced_apart_or_before(spark, features):
     for first in (False, True):
         prepared = M.prepare(features, k=2, method="over", balance_first=first)
@@ -176,8 +221,11 @@ def test_importance_of_permuted_columns(spark, features):
     assert len(ranked) == 3 and ranked[-1].running_share == pytest.approx(1.0)
 
 
-def test_depth_beyond_spark_is_cut():
-    assert M.classifier(M.FOREST, {"depth": 90}).getMaxDepth() == 30
+def test_depth_beyond_spark_is_refused_and_never_drawn():
+    with pytest.raises(ValueError):
+        M.classifier(M.FOREST, {"depth": 90})
+    drawn = [M.draw(random.Random(i), M.SPACE[M.FOREST], M.SPARK_MAX_DEPTH)["depth"] for i in range(300)]
+    assert max(drawn) <= 30 and sum(d == 30 for d in drawn) < 40
 
 
 def test_csv_log_reads_like_the_table(spark, tmp_path):
@@ -194,6 +242,28 @@ def test_csv_epochs_with_fractions_are_cut(spark, tmp_path):
     assert read_activity(spark, str(tmp_path / "csv"), format="csv").first().exam_table_at == 5
 
 
+def test_words_for_missing_values_and_bad_numbers(spark, tmp_path):
+    header = ";".join(EXPORT_COLUMNS)
+    cells = {c: "" for c in EXPORT_COLUMNS} | {"user_uuid": "L1", "course_uuid": "C1"}
+    lines = [cells | {"nombre_examen": "NA", "nota_parcial": "nan", "particion": "3"},
+             cells | {"nombre_examen": '"PART\n1"', "nota_parcial": "seven", "particion": "N/A"},
+             cells | {"nombre_examen": "PART 2", "nota_parcial": "7.5", "particion": "4", "s_created_at": "9.0", "periodo": "3-2024"}]
+    (tmp_path / "export.csv").write_text("\n".join([header, *(";".join(x.values()) for x in lines)]) + "\n")
+    rows = ingest_export(spark, str(tmp_path / "export.csv"), str(tmp_path / "log"), multiline=True).orderBy("row_id").collect()
+    assert [(r.exam_name, r.exam_grade, r.step) for r in rows] == [(None, None, 3.0), ("PART\n1", None, None), ("PART 2", 7.5, 4.0)]
+    assert rows[2].sub_created_at == 9 and rows[2].term == "3-2024"
+    raw = spark.createDataFrame([("x", "7"), ("5.5", "NA")], "exam_grade string, final_grade string")
+    assert {r.column: r["values"] for r in rejected(raw).collect()} == {"exam_grade": 1, "final_grade": 0}
+
+
+def test_only_wanted_vectors_are_answered(spark):
+    frame = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(300)], "vid long, v array<double>")
+    wanted = frame.where("vid % 50 = 3").select("vid")
+    for rows in (30, 2048):
+        part = nearest(frame, 4, rows, wanted).toPandas()
+        same(part, nearest(frame, 4, rows).where("vid % 50 = 3").toPandas(), 0)
+
+
 def test_export_keeps_the_order_of_its_lines(spark, tmp_path):
     log = gradebook(spark, SF)
     names = {ours: theirs for theirs, ours in EXPORT_COLUMNS.items()}
@@ -238,3 +308,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
     found = read_activity(spark, str(tmp_path / "log"), course_name="Course 1", max_step=5.0).select("row_id")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(course_name,Course 1)" in plan and "exam_grade" not in plan
+    for filters, pushed in ((dict(max_step=5.0, keep_null_step=True), "Or(LessThanOrEqual(step,5.0),IsNull(step))"),
+                            (dict(term="03-2024"), "StringEndsWith(term,3-2024)")):
+        found = read_activity(spark, str(tmp_path / "log"), **filters).select("row_id")
+        assert pushed in found._jdf.queryExecution().executedPlan().toString()
