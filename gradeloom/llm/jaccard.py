@@ -19,7 +19,7 @@ from gradeloom.session import materialize
 K = 5
 PERCENT = 75
 #: Buckets whose loads tell common shingles from rare ones. Their number is fixed, whatever the input.
-LOADS = 1 << 20
+LOADS = 1 << 22
 SLICES = 16
 #: Groups that a set's shingles are hashed to: the coordinates of its point.
 COUNTS = 256
@@ -33,43 +33,50 @@ def rare_first(docs: DataFrame) -> np.ndarray:
     """The level of each bucket of shingles: 0 for an ordinary load, one more for each doubling beyond.
 
     Any order of the shingles gives right results; this one keeps shingles that very many documents have out
-    of most prefixes. It counts all documents. The table holds a fixed number of small numbers (1 MB).
+    of most prefixes. It counts all documents. The table holds a fixed number of small numbers (4 MB).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = np.zeros(LOADS, np.int64)
+        load = np.zeros(LOADS, np.int32)
         for batch in batches:
             data, offsets = flat(batch.column(0))
             for a, b in groups(offsets):
                 word, row, _ = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 hashed, _, _ = shingles(word, row, b - a, K)
-                load += np.bincount((hashed >> np.uint64(44)).astype(np.int64), minlength=LOADS)
-        parts = load.reshape(SLICES, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([p.tobytes() for p in parts])], names=["slice", "load"])
+                there, times = np.unique(bucket(hashed), return_counts=True)
+                load[there] += times.astype(np.int32)
+        press = zstandard.ZstdCompressor(level=1)
+        parts = [press.compress(p.tobytes()) for p in load.reshape(SLICES, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array(parts)], names=["slice", "load"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             for at, load in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                total[at] = total.get(at, 0) + np.frombuffer(load.as_py(), np.int64)
+                total[at] = total.get(at, 0) + np.frombuffer(unpress.decompress(load.as_py()), np.int32).astype(np.int64)
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([x.tobytes() for x in total.values()])], names=["slice", "load"])
 
-    total: dict[int, np.ndarray] = {}
     loads = docs.select("text").mapInArrow(run, "slice long, load binary")
     summed = loads.repartition(SLICES, "slice").mapInArrow(add, "slice long, load binary").collect()
     load = np.zeros(LOADS, np.int64)
     for r in summed:
         load.reshape(SLICES, -1)[r.slice] += np.frombuffer(r.load, np.int64)
-    usual = max(8.0, 1.5 * float(np.median(load)))
+    usual = max(4.0, 1.5 * float(np.median(load)))
     return np.clip(np.floor(np.log2(np.maximum(load, 1) / usual)) + 1, 0, 31).astype(np.uint8)
 
 
+def bucket(hashed: np.ndarray) -> np.ndarray:
+    return (hashed >> np.uint64(42)).astype(np.int64)
+
+
 def sets_of(batch_text: pa.Array, level: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The sorted set of each row's shingles: level in the upper bits, 58 bits of hash below."""
     data, offsets = flat(batch_text)
     for a, b in groups(offsets):
         word, row, _ = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
         hashed, row, _ = shingles(word, row, b - a, K)
-        key = (level[(hashed >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (hashed >> np.uint64(6))
+        key = (level[bucket(hashed)].astype(np.uint64) << np.uint64(58)) | (hashed >> np.uint64(6))
         cuts = np.searchsorted(row, np.arange(b - a + 1)).tolist()
         for i in range(b - a):
             yield a + i, np.unique(key[cuts[i]:cuts[i + 1]])
@@ -172,21 +179,28 @@ class RTree:
             top, low = np.maximum.reduceat(top, cuts), np.minimum.reduceat(low, cuts)
             self.levels.append((top, low))
 
-    def near(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Numbers of the points whose overlap with this one can reach what their sizes ask for.
+    def near(self, points: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (number asked, number in the tree) whose overlap can reach what their sizes ask for.
 
         Two sets share at most the smaller count of each group, summed; below a box, at most the smaller of the
-        count and the box's largest, and what is asked for is least for the box's smallest set.
+        count and the box's largest, and what is asked for is least for the box's smallest set. A few points are
+        asked together and go down where any of them may.
         """
-        there = np.arange(len(self.levels[-1][1]))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            top, low = self.levels[depth]
-            bound = np.minimum(top[there], point).sum(axis=1)
-            there = there[bound >= np.maximum(least_overlap(low[there], size), -(-PERCENT * size // 100))]
-            if depth:
-                there = (there[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                there = there[there < len(self.levels[depth - 1][1])]
-        return self.order[there]
+        asked, found = [], []
+        for first in range(0, len(sizes_), FANOUT):
+            some, size = points[first:first + FANOUT], sizes_[first:first + FANOUT, None]
+            there = np.arange(len(self.levels[-1][1]))
+            for depth in range(len(self.levels) - 1, -1, -1):
+                top, low = self.levels[depth]
+                bound = np.minimum(top[there], some[:, None]).sum(axis=2)
+                able = bound >= np.maximum(least_overlap(low[there], size), -(-PERCENT * size // 100))
+                if depth:
+                    there = (there[able.any(axis=0)][:, None] * FANOUT + np.arange(FANOUT)).ravel()
+                    there = there[there < len(self.levels[depth - 1][1])]
+            who, what = np.nonzero(able)
+            asked.append(first + who)
+            found.append(self.order[there[what]])
+        return np.concatenate(asked), np.concatenate(found)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -259,12 +273,11 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = first + np.flatnonzero(side == side.min()), first + np.flatnonzero(side == side.max())
             if side.min() == side.max() and len(np.unique(component[left])) < 2:
                 continue
-            tree = RTree(points[right], n[right])
-            for i in left.tolist():
-                near = right[tree.near(points[i], int(n[i]))]
-                near = near[component[near] != component[i]]
-                out_a.append(np.minimum(sign[near], sign[i]))
-                out_b.append(np.maximum(sign[near], sign[i]))
+            a, b = RTree(points[right], n[right]).near(points[left], n[left])
+            a, b = left[a], right[b]
+            apart = component[a] != component[b]
+            out_a.append(np.minimum(sign[a], sign[b])[apart])
+            out_b.append(np.maximum(sign[a], sign[b])[apart])
         if out_a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
@@ -287,7 +300,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col("text"))
     named = slim.where("id is not null")
     level = docs.sparkSession.sparkContext.broadcast(rare_first(named))
-    signed = sizes(slim, level)
+    signed = materialize(sizes(slim, level))
     meet = postings(named, level)
     at = Window.partitionBy("shingle").orderBy("size", "signature")
     # sizes of one class are similar enough for a link
@@ -307,10 +320,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     links = materialize(verified(stars, sets, level))
     known = components(links).withColumnRenamed("node", "k")
     left = meet.join(known, F.col("signature") == F.col("k"), "left").select(
-        "shingle", "signature", "n", F.coalesce("component", "signature").alias("component"))
+        "shingle", "signature", "n", "size", F.coalesce("component", "signature").alias("component"))
     several = left.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    several = several.where("low <> high").select(F.col("shingle").alias("m"), "parts")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"),
+        F.count(F.lit(1)).alias("count"), F.min("size").alias("small"), F.max("size").alias("large"))
+    # two sets of one size class have met as leader and follower
+    several = several.where("low <> high and (count > 2 or small <> large)").select(F.col("shingle").alias("m"), "parts")
     own = F.pmod(F.xxhash64("signature", F.lit("part")), F.col("parts")).cast("int")
     cells = left.join(several, F.col("shingle") == F.col("m")).withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

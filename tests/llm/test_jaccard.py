@@ -88,7 +88,6 @@ def test_tree_loses_nothing():
     points[150:] = np.maximum(points[:150] + rng.integers(-1, 2, (150, jac.COUNTS)), 0)
     sizes = points.sum(axis=1).astype(np.int64)
     tree = jac.RTree(points, sizes)
-    for p, n in zip(points, sizes, strict=True):
-        able = np.flatnonzero(np.minimum(points, p).sum(axis=1) >= jac.least_overlap(sizes, n))
-        assert set(able) <= set(tree.near(p, int(n)))
-        assert (np.minimum(points[tree.near(p, int(n))], p).sum(axis=1) >= jac.least_overlap(sizes[tree.near(p, int(n))], n)).all()
+    shared = np.minimum(points[:, None], points[None]).sum(axis=2)
+    able = set(zip(*np.nonzero(shared >= jac.least_overlap(sizes[:, None], sizes[None])), strict=True))
+    assert set(zip(*tree.near(points, sizes), strict=True)) == able and len(able) > 400
