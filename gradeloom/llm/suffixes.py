@@ -32,7 +32,7 @@ BEFORE = PLACES - 1
 #: An entry: the suffix from the anchor on, the bytes before it backwards, and how many of either are there.
 WIDTH = SPAN + BEFORE + 2
 #: Text in a chunk, whose suffixes are one sorted run, and text behind one part of the merge, both about.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 PART_BYTES = 8 << 20
 #: Window starts looked at at a time; their numbers take the lower bits of a hash.
 BLOCK = 1 << 20
