@@ -25,6 +25,8 @@ SLICES = 16
 COUNTS = 256
 #: Points in a leaf of an R-tree, and children of an inner node.
 FANOUT = 16
+#: Times that a set of each meeting leads the others before the tree.
+TURNS = 3
 #: Sets that one task takes of one candidate group; larger groups are cut into such parts.
 PART = 1024
 
@@ -291,9 +293,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     rows give no rows. component_id is the smallest doc_id reachable.
 
     Equal sets are one set with one signature. Sets meet if the rarest quarter of their shingles has one in
-    common, which similar sets always have. Sets that meet at a shingle are first linked with one of their
-    kind in size, which ties up groups of copies without spelling out their pairs; then an R-tree over the
-    counts of each meeting's sets finds the pairs of sets not yet connected that can still be similar. Both
+    common, which similar sets always have. Sets that meet at a shingle are first linked with a few of their
+    kind in size, by turns, which ties up groups of copies without spelling out their pairs; then an R-tree over
+    the counts of each meeting's sets finds the pairs of sets not yet connected that can still be similar. Both
     ways the shingles themselves decide.
     """
     ship(docs.sparkSession)
@@ -307,20 +309,32 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     meet = meet.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int"))
     meet = meet.select("shingle", "signature", "n", "size", F.lag("signature").over(at).alias("before"), F.lead("signature").over(at).alias("after"))
     meet = meet.where("(before is not null and before <> signature) or (after is not null and after <> signature)")
-    meet = materialize(meet.select("shingle", "signature", "n", "size").distinct())
+    meet = meet.select("shingle", "signature", "n", "size").distinct()
+    # shingles at which the same sets meet are as good as one
+    who = meet.groupBy("shingle").agg(
+        F.bit_xor(F.xxhash64("signature")).alias("x"), F.bit_xor(F.xxhash64("signature", F.lit("y"))).alias("y"), F.count(F.lit(1)).alias("c"))
+    one = who.groupBy("x", "y", "c").agg(F.min("shingle").alias("m"))
+    meet = materialize(meet.join(one, F.col("shingle") == F.col("m"), "left_semi"))
     # one set for every signature that meets another, from its smallest document
     first = signed.where("id is not null and n > 0").groupBy("signature").agg(F.min("id").alias("first"))
     wanted = meet.select("signature").distinct().join(first, "signature").select("first")
     sets = members(named.join(wanted, F.col("id") == F.col("first"), "left_semi"), level)
     sets = materialize(sets)
 
-    leads = meet.groupBy("shingle", "size").agg(F.min("signature").alias("a"))
-    stars = meet.join(leads, ["shingle", "size"]).select("a", F.col("signature").alias("b")).where("a <> b").distinct()
-    stars = materialize(bounded(stars, sets))
-    links = materialize(verified(stars, sets, level))
-    known = components(links).withColumnRenamed("node", "k")
-    left = meet.join(known, F.col("signature") == F.col("k"), "left").select(
-        "shingle", "signature", "n", "size", F.coalesce("component", "signature").alias("component"))
+    links = tried = None
+    left = meet.withColumn("component", F.col("signature"))
+    for turn in range(TURNS):  # another set leads each time, and only sets apart from it are tried
+        order = F.struct(F.xxhash64("signature", F.lit(turn)), F.col("signature"))
+        leads = left.groupBy("shingle", "size").agg(F.min_by(F.struct("signature", "component"), order).alias("lead"))
+        stars = left.join(leads, ["shingle", "size"]).where("component <> lead.component").select(
+            F.col("lead.signature").alias("a"), F.col("signature").alias("b")).distinct()
+        stars = materialize(bounded(stars, sets))
+        tried = stars if tried is None else tried.unionAll(stars)
+        found = materialize(verified(stars, sets, level))
+        links = found if links is None else links.unionAll(found)
+        known = components(links).withColumnRenamed("node", "k")
+        left = meet.join(known, F.col("signature") == F.col("k"), "left").select(
+            "shingle", "signature", "n", "size", F.coalesce("component", "signature").alias("component"))
     several = left.groupBy("shingle").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"),
         F.count(F.lit(1)).alias("count"), F.min("size").alias("small"), F.max("size").alias("large"))
@@ -334,7 +348,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     points = sets.select("signature", "point")
     cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point")
     pairs = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(tree_pairs, "a long, b long").distinct()
-    pairs = pairs.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = links.unionAll(materialize(verified(materialize(pairs), sets, level)))
 
     linked = components(links).withColumnRenamed("node", "k")
