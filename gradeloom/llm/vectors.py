@@ -17,21 +17,26 @@ from gradeloom.llm.shipping import ship
 from gradeloom.session import materialize
 
 COSINE = 0.9
-#: Width of the quantised projections; unit vectors at cosine 0.95 fall together in one with odds NEAR, at
-#: right angles with odds FAR.
-WIDTH, NEAR, FAR = 1.2, 0.79, 0.32
+#: Width of the quantised projections. Cells of about this width need the fewest tables.
+WIDTH = 2.4
 #: Vectors at right angles that may share a bucket by chance; a bucket takes more projections as vectors grow.
 STRANGERS = 20
-#: A pair at cosine 0.95 shares one of the tables' buckets with at least these odds.
+#: A pair at cosine COSINE shares one of the tables' buckets with at least these odds, whatever the count.
 RECALL = 0.96
 #: Vectors of a bucket that one task compares with as many others; larger buckets are cut into such parts.
 PART = 1024
 
 
+def odds(cosine: float) -> float:
+    """Odds that two unit vectors at this cosine fall together in one quantised projection."""
+    t = WIDTH / math.sqrt(2 - 2 * cosine)
+    return math.erf(t / math.sqrt(2)) - math.sqrt(2 / math.pi) / t * (1 - math.exp(-t * t / 2))
+
+
 def shape(vectors: int) -> tuple[int, int]:
     """Projections in a bucket and number of tables for so many vectors."""
-    k = max(4, math.ceil(math.log(max(vectors, 1) / STRANGERS) / -math.log(FAR)))
-    return k, math.ceil(math.log(1 - RECALL) / math.log(1 - NEAR ** k))
+    k = max(4, math.ceil(math.log(max(vectors, 1) / STRANGERS) / -math.log(odds(0))))
+    return k, math.ceil(math.log(1 - RECALL) / math.log(1 - odds(COSINE) ** k))
 
 
 def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,17 +73,19 @@ def buckets(vectors: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
                     for j in range(k):
                         total = mix(total * STEP + cell[:, j::k])
                     code[here] = total
+                code >>= np.uint64(32)  # the bucket follows from these bits alone
                 bucket = mix(code + np.arange(1, tables + 1, dtype=np.uint64) * STEP)
                 at = pa.array(np.repeat(np.arange(len(rows)), tables))
                 cuts = pa.array(np.arange(0, (len(rows) + 1) * tables, tables).astype(np.int32))
-                codes = pa.ListArray.from_arrays(cuts, pa.array(code.view(np.int64).ravel()))
+                codes = pa.ListArray.from_arrays(cuts, pa.array(code.astype(np.uint32).view(np.int32).ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket.view(np.int64).ravel()), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(rows))),
                      part.column(0).take(at), part.column(1).take(at), codes.take(at), part.column(2).take(at)],
                     names=["bucket", "table", "id", "copies", "codes", "vector"])
 
+    kind = vectors.schema["vector"].dataType.simpleString()
     return vectors.select("id", "copies", "vector").mapInArrow(
-        run, "bucket long, table int, id long, copies long, codes array<long>, vector array<double>")
+        run, f"bucket long, table int, id long, copies long, codes array<int>, vector {kind}")
 
 
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +135,9 @@ def near_vectors(vectors: DataFrame, id_: str = "vec_id", column: str = "embeddi
     a vec_id share its links. component_id is the smallest vec_id reachable. No rows give no rows.
     """
     ship(vectors.sparkSession)
-    value = F.col(column).cast("array<double>")
+    # floats are shipped as they are, cosines are taken in double precision
+    kind = "array<float>" if vectors.schema[column].dataType.simpleString() == "array<float>" else "array<double>"
+    value = F.col(column).cast(kind)
     fine = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(value, lambda x: x != 0)
     rows = vectors.select(F.col(id_).cast("long").alias("id"), value.alias("vector"),
                           (F.coalesce(fine, F.lit(False)) & F.col(id_).isNotNull()).alias("fine"))

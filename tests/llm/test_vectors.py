@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from gradeloom.llm import vectors as vec
 from gradeloom.llm.components import components
@@ -92,3 +93,19 @@ def test_components(spark):
     want = reach(links, {i: i for i in links})
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("count", [5_000, 200_000, 2_000_000, 20_000_000])
+def test_pairs_near_the_threshold_are_found_at_every_count(spark, monkeypatch, count):
+    real = vec.shape
+    monkeypatch.setattr(vec, "shape", lambda _: real(count))
+    rng = np.random.default_rng(8)
+    cosine = np.repeat([0.901, 0.92, 0.95], 200)
+    a, b = vec.unit(rng.standard_normal((600, 64))), rng.standard_normal((600, 64))
+    b = vec.unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    b = cosine[:, None] * a + np.sqrt(1 - cosine ** 2)[:, None] * b
+    rows = [(i, r.tolist()) for i, r in enumerate(np.concatenate([a, b]))]
+    found = {r.vec_id: r for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    got = np.array([found[i].n_links == 1 and found[i + 600].component_id == i for i in range(600)]).reshape(3, 200).mean(axis=1)
+    print(count, real(count), got)
+    assert (got >= 0.9).all(), got
