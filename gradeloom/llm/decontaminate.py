@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.llm.sqltext import rolling, words
+from gradeloom.session import materialize
 
 K = 5
 LEAST_PERCENT = 75
-#: Item shingles are sent to all executors up to this many (about 100 bytes each); more are shuffled.
+#: Item shingles are sent to all executors up to this many (about 100 bytes each), and so are candidates' ids;
+#: more are shuffled.
 BROADCAST_ROWS = 200_000
 
 
@@ -38,28 +40,50 @@ def item_sketches(items: DataFrame) -> DataFrame:
     return sets.join(sizes, "item_id").withColumn("sketch", F.col("hash") <= F.col("limit")).drop("limit")
 
 
+def item_table(items: DataFrame) -> DataFrame:
+    return item_sketches(items).select(
+        "item_id", "n_shingles", "sketch", F.col("hash").alias("i_hash"), *(F.col(f"w{i}").alias(f"i{i}") for i in range(K)))
+
+
+def meeting(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """The shingles of the documents that are among those of the table, compared word by word."""
+    equal = F.col("hash") == F.col("i_hash")
+    for i in range(K):
+        equal = equal & F.col(f"w{i}").eqNullSafe(F.col(f"i{i}"))
+    return shingles(docs, "doc_id").join(table, equal)
+
+
+def few(table: DataFrame) -> DataFrame:
+    """The table, to be sent to all executors if it has at most BROADCAST_ROWS."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def candidates(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """Distinct (c_doc, c_item) where a document has a shingle of the item's sketch."""
+    sketches = few(table.where("sketch"))
+    return meeting(docs, sketches).select(F.col("doc_id").alias("c_doc"), F.col("item_id").alias("c_item")).distinct()
+
+
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Pairs (doc_id, item_id, n_shingles, n_shared, containment): 75 % of the item's shingles lie in the document.
 
     Shingles are five words in a row, words being letters a-z (A-Z lower-cased), digits and characters beyond
-    ASCII; an item of fewer words is one shingle of all its words. Items and texts without words, null or not,
-    match nothing. Other columns are ignored. Rows with equal doc_id and text, or equal item_id and text, give
+    ASCII; an item of fewer words is one shingle of all its words, as is such a text, and so is found in
+    texts of just these words and never inside longer ones. Items and texts without words, null or not, match
+    nothing. Documents are searched for the items' sketches; only the pairs found so have all their shingles
+    compared. Other columns are ignored. Rows with equal doc_id and text, or equal item_id and text, give
     one pair; rows that only share an id count as one with all their shingles. Empty tables give no rows.
     """
-    table = item_sketches(items).select(
-        "item_id", "n_shingles", "sketch", F.col("hash").alias("i_hash"), *(F.col(f"w{i}").alias(f"i{i}") for i in range(K)))
-    if table.count() <= BROADCAST_ROWS:
-        table = F.broadcast(table)
-    equal = F.col("hash") == F.col("i_hash")
-    for i in range(K):
-        equal = equal & F.col(f"w{i}").eqNullSafe(F.col(f"i{i}"))
-    # a hash stands for its five words, compared just before
-    met = shingles(docs, "doc_id").join(table, equal).groupBy("doc_id", "item_id", "n_shingles", "hash").agg(
-        F.max("sketch").alias("sketch"))
-    pairs = met.groupBy("doc_id", "item_id", "n_shingles").agg(
-        F.count(F.lit(1)).alias("n_shared"), F.max("sketch").alias("candidate"))
-    kept = F.col("candidate") & (F.col("n_shared") * 100 >= F.col("n_shingles") * LEAST_PERCENT)
-    return pairs.where(kept).select(
+    table = materialize(item_table(items))
+    found = materialize(candidates(docs, table))
+    same_doc = F.col("doc_id").eqNullSafe(F.col("c_doc"))
+    searched = docs.select("doc_id", "text").join(few(found.select("c_doc").distinct()), same_doc, "left_semi")
+    # a hash stands for its five words, compared in the join
+    met = meeting(searched, few(table)).select("doc_id", "item_id", "n_shingles", "hash").distinct()
+    pairs = met.groupBy("doc_id", "item_id", "n_shingles").agg(F.count(F.lit(1)).alias("n_shared"))
+    pairs = pairs.where(F.col("n_shared") * 100 >= F.col("n_shingles") * LEAST_PERCENT)
+    pairs = pairs.join(found, same_doc & F.col("item_id").eqNullSafe(F.col("c_item")), "left_semi")
+    return pairs.select(
         "doc_id", "item_id", F.col("n_shingles").cast("long"), F.col("n_shared").cast("long"),
         (F.col("n_shared") / F.col("n_shingles")).alias("containment"),
     )

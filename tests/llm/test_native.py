@@ -6,7 +6,7 @@ import re
 import pytest
 
 from llm_support import SF, docs, documents  # noqa: F401
-from gradeloom.llm.decontaminate import contained_items, without_items
+from gradeloom.llm.decontaminate import candidates, contained_items, item_table, without_items
 from gradeloom.llm.licenses import NOTICES, PHRASES, license_labels
 from gradeloom.llm.pii import personal_data_digest
 
@@ -135,3 +135,15 @@ def test_contained_items_of_the_table(spark):
     want = check_items({r.doc_id: r.text for r in table.collect()}, {r.item_id: r.text for r in bench.collect()},
                        contained_items(table, bench).collect())
     assert want
+
+
+def test_only_sketches_propose_pairs(spark, docs):
+    passage = [f"w{i}" for i in range(60)]
+    bench = items(spark, [" ".join(passage), "one two"])
+    table = item_table(bench)
+    marked = {tuple(r[f"i{j}"] for j in range(5)) for r in table.where("sketch").collect()}
+    assert 0 < len(marked) < table.count()
+    texts = [" ".join(passage[i:i + 5]) for i in range(56)] + ["one two", "one two three four five", " ".join(passage)]
+    got = {(r.c_doc, r.c_item) for r in candidates(docs(texts), table).collect()}
+    assert got == {(i, 0) for i in range(56) if tuple(passage[i:i + 5]) in marked} | {(56, 1), (58, 0)}
+    assert {(r.doc_id, r.item_id) for r in contained_items(docs(texts), bench).collect()} == {(56, 1), (58, 0)}
