@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from gradeloom.llm.sqltext import listed, places
 
 LOCAL = "A-Za-z0-9._%+-"
+#: Length of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: An account number of a country's length, and any other run that may be one, up to where such a number begins.
+KNOWN_IBAN = "|".join(
+    rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
+OTHER_IBAN = rf"[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!(?:{KNOWN_IBAN})(?![A-Za-z0-9])))?[A-Z0-9]){{11,30}}"
 #: A match can only begin where its run of characters begins or the match before ended; saying so keeps
 #: the search linear, and possessive loops keep it off the stack.
 PATTERNS = {
@@ -15,7 +26,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{KNOWN_IBAN}|{OTHER_IBAN})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 BASE = ["email", "ip", "card", "phone"]

@@ -66,6 +66,16 @@ def test_confirmed_spans_of_other_kinds(docs):
     assert [("iban" in rows[0].spans), ("iban" in rows[1].spans), ("ssn" in rows[2].spans), ("ssn" in rows[3].spans)] == [True, False, True, False]
 
 
+def test_account_numbers_before_other_words(docs):
+    short, long_ = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    texts = [f"IBAN {short} BIC COBADEFFXXX", f"IBAN: {long_} EUR 500", f"{long_} {short}", f"REF AB12 {short} GB82 WEST 1234 5698 7654 32 X",
+             f"IBAN {short}0", "IBAN NO93 8601 1117 947 KID 123"]
+    want = [[short], [long_], [long_, short], [short, "GB82 WEST 1234 5698 7654 32"], [], ["NO93 8601 1117 947"]]
+    for r in personal_data_digest(docs(texts)).collect():
+        got = [s.split(":") for s in r.spans.split(",") if s.startswith("iban")]
+        assert [texts[r.doc_id][int(a):int(b)] for _, a, b in got] == want[r.doc_id], (r, texts[r.doc_id])
+
+
 @pytest.mark.parametrize("source", ["odd", "table"])
 def test_licenses(spark, docs, source):
     table = docs(ODD + ODD) if source == "odd" else documents(spark)
