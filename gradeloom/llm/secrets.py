@@ -17,10 +17,16 @@ ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # as a run is taken whole, the same as dropping shorter runs
-#: A word that announces a secret, then at most so many characters, then the candidate.
+#: A word that announces a secret.
 SENSITIVE = re.compile(
-    r"(?:secret|token|credential|passw|passphrase|api.?key|access.?key|private.?key|auth|bearer|client.?id)"
-    r"[^\n]{0,24}?(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{16,})", re.I | re.A)
+    r"secret|token|credential|passw|passphrase|api.?key|access.?key|private.?key|auth|bearer|client.?id", re.I | re.A)
+#: Runs of characters that secrets are made of, joined by single dots, and what is left of a run from a place on.
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+RUNS = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
+REST = re.compile(r"[A-Za-z0-9+/_=-]*")
+#: Characters between the word that announces, or a string measured before, and the next one of the line to be
+#: measured; characters of such a string at least.
+REACH, LEAST_LENGTH = 24, 16
 #: Any of these in a text, in lower case, is needed for a match of ASSIGN or SENSITIVE.
 NEEDED = ("passw", "passphrase", "secret", "token", "key", "credential", "auth", "bearer", "client")
 #: Names that are ordinary in code and prose around secrets; the compressor knows them beforehand.
@@ -46,6 +52,20 @@ def novelty(compressor: zstandard.ZstdCompressor, around: bytes, candidate: byte
     return more / len(candidate)
 
 
+def announced(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the dotted runs behind announcing words, in order, each once."""
+    at = 0  # behind the last run looked at, or the one a word ends in
+    for m in SENSITIVE.finditer(text):
+        if m.end() > at:
+            at = REST.match(text, m.end()).end()
+        reach = max(m.end(), at) + REACH
+        while (run := RUNS.search(text, at)) and run.start() <= reach and text.find("\n", at, run.start()) < 0:
+            at = run.end()
+            if run.end() - run.start() >= LEAST_LENGTH:
+                reach = at + REACH
+                yield run.span()
+
+
 def secret_spans(text: str, compressor: zstandard.ZstdCompressor) -> list[tuple[int, int, int, float]]:
     """(start, end, kind, novelty) by start, then kind; 3 is the method's own kind, base kinds have novelty -1."""
     found = [(m.start(), m.end(), 2, -1.0) for m in HEX.finditer(text)]
@@ -55,18 +75,25 @@ def secret_spans(text: str, compressor: zstandard.ZstdCompressor) -> list[tuple[
     if any(word in low for word in NEEDED):
         found += [(m.start(), m.end(), 0, -1.0) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
         base = sorted(x[:2] for x in found)
-        for m in SENSITIVE.finditer(text):
-            start, end = m.span(1)
-            word = m[1]
-            if not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
-                continue
+
+        def measured(start: int, end: int) -> bool:
+            word = text[start:end]
+            if end - start < LEAST_LENGTH or not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
+                return False
             if any(a < end and start < b for a, b in base):
-                continue
+                return False
             # the candidate's own repeats nearby don't make it known
             around = text[max(0, start - SURROUNDINGS):start] + "\n" + text[end:end + SURROUNDINGS] + "\n"
             new = novelty(compressor, around.replace(word, "").encode("utf-8", "replace"), word.encode())
             if new >= LEAST_NOVELTY:
                 found.append((start, end, 3, new))
+            return new >= LEAST_NOVELTY
+
+        for start, end in announced(text):
+            # a secret may be all of a dotted name or one part of it
+            if not measured(start, end) and "." in text[start:end]:
+                for run in RUN.finditer(text, start, end):
+                    measured(*run.span())
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 

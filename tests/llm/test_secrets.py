@@ -57,3 +57,14 @@ def test_redaction(docs):  # noqa: F811
 
 def test_empty(docs):  # noqa: F811
     assert secrets_digest(docs([])).count() == 0
+
+
+def test_every_run_behind_a_sensitive_word_is_measured(docs):  # noqa: F811
+    jwt = "eyJhbGciOiJIUzI1NiJ9." + KEY + "." + KEY[::-1]
+    texts = [f"Authorization: Bearer {jwt} end", f"secret for production-environment: {KEY}", f"auth.{KEY}",
+             f"token in the configuration.environment.variable.{KEY}", f"auth\n{KEY}", f"auth is about {'so ' * 12}{KEY}"]
+    found = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.found] for r in find_secrets(docs(texts), ["doc_id"]).collect()}
+    assert found[0] == [("novel", jwt)]
+    assert found[1] == found[2] == [("novel", KEY)]
+    assert found[3] and found[3][0][1].endswith(KEY)
+    assert found[4] == found[5] == []
