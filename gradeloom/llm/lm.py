@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +23,14 @@ VOCABULARY, OWN, CLASSES, CROWDS, WIDTH = 49_408, 2_048, 64, 16, 16
 END = CLASSES - CROWDS - 1
 #: A window sees CONTEXT ids and scores the last STRIDE of them; windows begin STRIDE apart.
 CONTEXT, STRIDE = 32, 16
-#: The attention weights are fitted on at most so many documents, those with the smallest hash of doc_id, and
-#: at most so many windows of them. All counts come from all training documents.
+#: The attention weights begin with at most so many documents, those with the smallest hash of doc_id, and at
+#: most so many windows of them, so that all tasks start alike. Then they learn from all training documents.
 SAMPLE, WINDOWS = 1_000, 60_000
 BATCH, RATE = 64, 0.01
+#: Learning rates of the rounds over all training documents, each of which is in one round. In a round every task
+#: learns from its own documents, by batches of LOCAL_BATCH windows; then the weights are averaged, FAN at a time.
+ROUNDS = (0.004, 0.002)
+LOCAL_BATCH, FAN = 256, 64
 #: Frequent words whose counts every task holds (16 bytes each); the counts of all others are joined.
 FREQUENT = 1 << 19
 
@@ -134,11 +139,27 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.
     for name, d in (("q", dq), ("k", dk), ("v", dv)):
         g[name] = flat_(e).T @ flat_(d)
         de += d @ w[name].T
-    g["e"] = np.zeros_like(w["e"])
-    np.add.at(g["e"], x.ravel(), flat_(de))
+    cell = x.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+    g["e"] = np.bincount(cell.ravel(), weights=de.ravel(), minlength=w["e"].size).reshape(w["e"].shape).astype(w["e"].dtype)
     return loss, g
 
 
+class Adam:
+    """Changes weights in place by their gradients."""
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        self.w, self.steps = w, 0
+        self.mean = {k: np.zeros_like(v) for k, v in w.items()}
+        self.square = {k: np.zeros_like(v) for k, v in w.items()}
+
+    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        for name, d in g.items():
+            self.mean[name] += 0.1 * (d - self.mean[name])
+            self.square[name] += 0.01 * (d * d - self.square[name])
+            self.w[name] -= rate * (self.mean[name] / (1 - 0.9 ** self.steps)) / (np.sqrt(self.square[name] / (1 - 0.99 ** self.steps)) + 1e-8)
+
+
 def train(into: np.ndarray, class_: np.ndarray, counts: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
     """Weights by Adam over the windows of the given documents, each window once."""
     w = start_weights(seed)
@@ -146,17 +167,12 @@ def train(into: np.ndarray, class_: np.ndarray, counts: np.ndarray, seed: int =
     w["c"] = np.log(share / share.sum()).astype(np.float32)
     at, there, _ = windows(counts)
     order = np.random.default_rng(seed).permutation(len(at))[:WINDOWS]
-    mean = {k: np.zeros_like(v) for k, v in w.items()}
-    square = {k: np.zeros_like(v) for k, v in w.items()}
+    adam = Adam(w)
     steps = -(-len(order) // BATCH)
     for step in range(steps):
         part = order[step * BATCH:(step + 1) * BATCH]
         _, g = gradients(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
-        rate = RATE * (1 - step / steps)
-        for name, d in g.items():
-            mean[name] += 0.1 * (d - mean[name])
-            square[name] += 0.01 * (d * d - square[name])
-            w[name] -= rate * (mean[name] / (1 - 0.9 ** (step + 1))) / (np.sqrt(square[name] / (1 - 0.99 ** (step + 1))) + 1e-8)
+        adam.step(g, RATE * (1 - step / steps))
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
@@ -210,7 +226,7 @@ def counted(docs: DataFrame, path: str) -> DataFrame:
 
 
 def fitted(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.ndarray]:
-    """Attention weights from a bounded sample of the documents, learned in one task."""
+    """Attention weights to start from: learned from a bounded sample of the documents in one task."""
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64(F.col("doc_id"), F.lit("lm")), "doc_id").limit(SAMPLE)
     at = F.xxhash64(F.col("doc_id"), F.lit("lm")).alias("at")
     sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).select(at, "doc_id", "text")
@@ -233,6 +249,69 @@ def fitted(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.n
     return start | {r.name: np.frombuffer(r.weights, np.float32).reshape(start[r.name].shape) for r in rows}
 
 
+def covering(counts: np.ndarray) -> np.ndarray:
+    """Of the windows of such documents, every other one and a document's last: together they see all inputs."""
+    number = -(-counts // STRIDE)
+    step = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    return np.flatnonzero((step % 2 == 1) | (step == np.repeat(number, number) - 1))
+
+
+def averaged(group: pa.Table) -> pa.Table:
+    """Sums of the weights of some tasks, and of their numbers of inputs."""
+    group = group.sort_by("part")
+    total = np.sum([np.frombuffer(x.as_py(), np.float64) for x in group.column("weights")], axis=0)
+    n = sum(group.column("inputs").to_pylist())
+    return pa.table({"part": [group.column("part")[0].as_py() // FAN], "inputs": [n], "weights": [total.tobytes()]})
+
+
+def learned_from_all(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary, path: str) -> dict[str, np.ndarray]:
+    """The weights, having seen each input of all documents (row, text): rounds of a pass in each task, then the average.
+
+    A task counts by its number of inputs. Only sums of weights move, FAN of them in a task at a time.
+    """
+    spark = docs.sparkSession
+    schema = "part long, inputs long, weights binary"
+
+    def passed(model, rate: float):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokenizer, (vocabulary, start) = subwords(path), model.value
+            w = {k: v.copy() for k, v in start.items()}
+            adam, random, inputs = Adam(w), np.random.default_rng(11), 0
+            for batch in batches:
+                data, offsets = flat(batch.column(0))
+                for a, b in groups(offsets, 1 << 20):
+                    i, c = tokenizer.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                    into, class_, _ = sequences(i, c, vocabulary)
+                    at, there, _ = windows(c + 1)
+                    order = random.permutation(covering(c + 1))
+                    for first in range(0, len(order), LOCAL_BATCH):
+                        part = order[first:first + LOCAL_BATCH]
+                        _, g = gradients(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
+                        # a batch that is not full moves the weights less
+                        adam.step(g, rate * len(part) / LOCAL_BATCH)
+                    inputs += len(into)
+            if inputs:
+                flat_weights = np.concatenate([v.ravel() for v in w.values()]).astype(np.float64) * inputs
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([inputs], pa.int64()),
+                    pa.array([flat_weights.tobytes()], pa.binary())], names=["part", "inputs", "weights"])
+        return run
+
+    for number, rate in enumerate(ROUNDS):
+        model = spark.sparkContext.broadcast((vocabulary, weights))
+        own = docs.where(F.pmod(F.xxhash64("row", F.lit("round")), F.lit(len(ROUNDS))) == number)
+        sums = own.select("text").mapInArrow(passed(model, rate), schema)
+        for _ in range(2):
+            sums = sums.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(averaged, schema)
+        rows = sorted(sums.collect(), key=lambda r: r.part)
+        if not rows:
+            continue
+        total = np.sum([np.frombuffer(r.weights, np.float64) for r in rows], axis=0) / sum(r.inputs for r in rows)
+        cuts = np.cumsum([v.size for v in weights.values()])[:-1]
+        weights = {k: x.reshape(v.shape).astype(np.float32) for (k, v), x in zip(weights.items(), np.split(total, cuts), strict=True)}
+    return weights
+
+
 def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of the most frequent words: all with a count from some power of two on."""
     by_size = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("size")).agg(F.count(F.lit(1)).alias("words"))
@@ -254,8 +333,8 @@ def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     Takes doc_id and text; other columns are ignored. `held_out` is a condition on doc_id: documents for which
     it is true are not learned from. Tokens are the words between white space, A-Z lower-cased, and one end a
     document; base_score is the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))). `score` is the log10 probability
-    of the text's subword ids and end by the attention model, its class shares being counted over all training
-    documents. Null and empty texts are one end. Equal rows are scored one by one; no rows give no rows; if
+    of the text's subword ids and end by the attention model, which learns from all training documents, as do
+    its class shares. Null and empty texts are one end. Equal rows are scored one by one; no rows give no rows; if
     nothing may be learned from, counts are zero and the model's weights are the starting ones.
 
     Words are told apart by 64-bit hashes.
@@ -275,7 +354,7 @@ def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     for (_, key), n in told.items():
         ids[key] = n
     vocabulary = Vocabulary.of(ids)
-    weights = fitted(learned, vocabulary, path)
+    weights = learned_from_all(learned, fitted(learned, vocabulary, path), vocabulary, path)
     below = n_train + 0.5 * (distinct + 1)
     table = spark.sparkContext.broadcast(frequent(by_word, FREQUENT))
     model = spark.sparkContext.broadcast((vocabulary, weights))

@@ -121,3 +121,27 @@ def test_order_of_words_matters(spark, docs):  # noqa: F811
     spare = spark.createDataFrame([(d, mixed[d]) if d in held else (d, r.text) for d, r in ((r.doc_id, r) for r in both)], "doc_id long, text string")
     other = {r.doc_id: r for r in scores(spare)}
     assert np.mean([own[d].score > other[d].score for d in held]) > 0.9
+
+
+def test_weights_see_every_input():
+    counts = np.array([1, 15, 16, 17, 31, 32, 33, 100, 1])
+    at, there, _ = lm.windows(counts)
+    chosen = lm.covering(counts)
+    assert set(at[chosen][there[chosen]].tolist()) == set(range(counts.sum()))
+
+
+def test_documents_beyond_the_sample_teach_the_model(docs, monkeypatch):  # noqa: F811
+    """Scores of a held-out text rise with the documents that resemble it, all of them outside the sample."""
+    monkeypatch.setattr(lm, "SAMPLE", 4)
+    held = next(i for i in range(10 ** 6, 10 ** 6 + 100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    rng = random.Random(2)
+    bag = [w for _ in range(300) for w in ("red", "green", "blue", "house", "river", "stone")]
+    fixed = "red green blue house river stone " * 10
+    texts = lambda own: [own if i % 2 else " ".join(rng.sample(bag, 60)) for i in range(600)]
+    mixed = " ".join(rng.sample(fixed.split(), 60))
+    score = {}
+    # the same counts of ids either way: only the order of words in the documents differs
+    for name, own in (("same", fixed), ("other", mixed)):
+        table = docs(texts(own)).unionByName(docs([fixed], held))
+        score[name] = {r.doc_id: r.score for r in scores(table)}[held]
+    assert score["same"] > score["other"] + 5, score
