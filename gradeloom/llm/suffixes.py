@@ -4,7 +4,8 @@ Texts are cut into windows of SPAN bytes. A window is found again wherever its t
 begins at the window's anchor: the place in it whose next GRAM bytes have the smallest hash. Only these suffixes
 are sorted, about one for eighteen bytes. Suffixes whose first GRAM bytes stand in one document alone are known
 by an exchange of hashes and stay behind; those left are sorted within their chunk, front-coded, exchanged and
-merged by a loser tree that goes by common prefixes.
+merged by a loser tree that goes by common prefixes. A chunk sends each different suffix once and gets the smallest
+id of each of its windows back; which places they stand at it finds again by itself.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ PART_BYTES = 8 << 20
 #: Window starts looked at at a time; their numbers take the lower bits of a hash.
 BLOCK = 1 << 20
 NUMBER = np.uint64((1 << 22) - 1)
+#: Suffixes written out or answered for at a time.
+PLACES_AT_ONCE = 1 << 16
 NEVER = np.iinfo(np.int64).max
 
 
@@ -123,11 +126,40 @@ class Chunk:
             new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (np.diff(starts) != 1)]))
             last = np.append(new[1:], len(starts)) - 1
             at = anchor[new]
-            out.append((at + start, at - starts[new], starts[last] + SPAN - at, gram[at]))
+            out.append((at + start, (at - starts[new]).astype(np.uint8), (starts[last] + SPAN - at).astype(np.uint8), gram[at]))
         if not out:
             return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
+    def shared(self, replies: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of suffixes whose first bytes two documents have: place, distinct entries by part and order, their parts,
+        and each suffix's entry."""
+        at, before, behind, gram = self.suffixes()
+        key, inverse = keyed(gram, parts)
+        part = (key >> np.uint64(40)).astype(np.int64)
+        cuts = bounds(part)
+        bits = {r["part"]: r["bits"] for r in replies}
+        several = np.zeros(len(key), bool)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            several[a:b] = np.unpackbits(np.frombuffer(bits[int(part[a])], np.uint8), count=b - a)
+        kept = np.flatnonzero(several[inverse])
+        part = part[inverse[kept]]
+        # equal suffixes are one before the next are looked at, so that entries are never written out for all places
+        kind, found, to, count = f"S{4 + WIDTH}", [], [], 0
+        for a in range(0, len(kept), PLACES_AT_ONCE):
+            own = kept[a:a + PLACES_AT_ONCE]
+            rows = np.empty((len(own), 4 + WIDTH), np.uint8)
+            rows[:, :4] = part[a:a + len(own)].astype(">u4").view(np.uint8).reshape(-1, 4)
+            rows[:, 4:] = entries(self.text, at[own], before[own], behind[own])
+            distinct, entry = np.unique(rows.view(kind).ravel(), return_inverse=True)
+            found.append(distinct)
+            to.append(entry + count)
+            count += len(distinct)
+        distinct, entry = np.unique(np.concatenate([np.zeros(0, kind), *found]), return_inverse=True)
+        rows = distinct.view(np.uint8).reshape(-1, 4 + WIDTH)
+        row_part = np.ascontiguousarray(rows[:, :4]).view(">u4").ravel().astype(np.int64)
+        return at[kept], rows[:, 4:], row_part, entry[np.concatenate([np.zeros(0, np.int64), *to])]
+
     def owner(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets[1:], at, side="right")
 
@@ -196,48 +228,31 @@ def entries(text: np.ndarray, at: np.ndarray, before: np.ndarray, behind: np.nda
 
 
 def sorted_runs(held: DataFrame, parts: int) -> DataFrame:
-    """Per chunk and part, its sorted suffixes front-coded and where they stand: (part, chunk, run, places).
+    """Per chunk and part, its distinct suffixes, sorted and front-coded, and the smallest id of each: (part, chunk, run, first).
 
-    `held` has chunk, body and replies, an array of (part, bits).
+    `held` has chunk, body and replies, an array of (part, bits). Where the suffixes stand stays in the chunk.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 chunk = Chunk(body.as_py())
-                at, before, behind, gram = chunk.suffixes()
-                key, inverse = keyed(gram, parts)
-                part = (key >> np.uint64(40)).astype(np.int64)
-                cuts = bounds(part)
-                bits = {r["part"]: r["bits"] for r in replies.as_py()}
-                shared = np.zeros(len(key), bool)
-                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    shared[a:b] = np.unpackbits(np.frombuffer(bits[int(part[a])], np.uint8), count=b - a)
-                kept = np.flatnonzero(shared[inverse])
-                if not len(kept):
+                at, rows, part, entry = chunk.shared(replies.as_py(), parts)
+                if not len(at):
                     continue
-                at, before, behind, part = at[kept], before[kept], behind[kept], part[inverse[kept]]
-                rows = entries(chunk.text, at, before, behind)
-                order = np.argsort(rows.view(f"S{WIDTH}").ravel(), kind="stable")
-                order = order[np.argsort(part[order], kind="stable")]
-                rows, at, part = rows[order], at[order], part[order]
-                owner = chunk.owner(at)
-                place = at - chunk.offsets[owner]
+                first = np.full(len(rows), NEVER)
+                np.minimum.at(first, entry, chunk.ids[chunk.owner(at)])
                 out = []
                 cuts = bounds(part)
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                     same = common(rows[a:b])
-                    new = np.flatnonzero(same < WIDTH)
-                    own, same = rows[a:b][new], same[new]
-                    rest = own[np.arange(WIDTH) >= same[:, None]]
-                    times = np.diff(np.append(new, b - a))
-                    out.append((int(part[a]), squeeze(same.astype(np.uint8), rest),
-                                squeeze(times, chunk.ids[owner[a:b]], owner[a:b], place[a:b])))
+                    rest = rows[a:b][np.arange(WIDTH) >= same[:, None]]
+                    out.append((int(part[a]), squeeze(same.astype(np.uint8), rest), squeeze(first[a:b])))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([p for p, _, _ in out]), pa.array([number] * len(out), pa.int64()),
-                    pa.array([r for _, r, _ in out], pa.binary()), pa.array([p for _, _, p in out], pa.binary()),
-                ], names=["part", "chunk", "run", "places"])
+                    pa.array([r for _, r, _ in out], pa.binary()), pa.array([f for _, _, f in out], pa.binary()),
+                ], names=["part", "chunk", "run", "first"])
 
-    return held.select("chunk", "body", "replies").mapInArrow(run, "part long, chunk long, run binary, places binary")
+    return held.select("chunk", "body", "replies").mapInArrow(run, "part long, chunk long, run binary, first binary")
 
 
 def front_decoded(same: np.ndarray, rest: np.ndarray) -> np.ndarray:
@@ -309,12 +324,11 @@ def merge(run_rows: list[list[bytes]], run_same: list[list[int]]) -> tuple[list[
 
 
 def repeated(group: pa.Table) -> pa.Table:
-    """Of one part: for each chunk, the bytes that an earlier document has too (owner, start, end)."""
-    runs_, members = [], []
-    for blob, places in zip(group.column("run"), group.column("places"), strict=True):
+    """Of one part: for each chunk and entry it sent, the smallest id that has the window, by bytes before the anchor."""
+    runs_ = []
+    for blob in group.column("run"):
         same, rest = unsqueeze(blob.as_py(), np.uint8, np.uint8)
         runs_.append((front_decoded(same.astype(np.int64), rest), same))
-        members.append(unsqueeze(places.as_py(), np.int64, np.int64, np.int64, np.int64))
     source, prefix = merge([[bytes(r) for r in rows] for rows, _ in runs_], [same.tolist() for _, same in runs_])
     source, prefix = np.array(source, np.int64), np.array(prefix, np.int64)
     # entries in merged order: the i-th of run r is the i-th place that came from r
@@ -322,7 +336,7 @@ def repeated(group: pa.Table) -> pa.Table:
     rows = np.empty((len(source), WIDTH), np.uint8)
     rows[position] = np.concatenate([r for r, _ in runs_])
     first = np.empty(len(source), np.int64)
-    first[position] = np.concatenate([np.minimum.reduceat(ids, np.cumsum(times) - times) for times, ids, _, _ in members])
+    first[position] = np.concatenate([unsqueeze(x.as_py(), np.int64)[0] for x in group.column("first")])
     behind, before = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
     back = np.argsort(np.ascontiguousarray(rows[:, SPAN:SPAN + BEFORE]).view(f"S{BEFORE}").ravel(), kind="stable")
     back_same = common(rows[back, SPAN:SPAN + BEFORE])
@@ -340,43 +354,68 @@ def repeated(group: pa.Table) -> pa.Table:
         low = np.minimum.reduceat(first[has][order], cuts[:-1])
         earliest[has[order], j] = np.repeat(low, np.diff(cuts))
     out, start = [], 0
-    for times, ids, owner, place in members:
-        entry = np.repeat(position[start:start + len(times)], times)
-        start += len(times)
-        found = []
-        for a in range(0, len(entry), 1 << 16):
-            part = slice(a, a + (1 << 16))
-            twice = np.zeros((len(entry[part]), PLACES + 2), np.int8)
-            twice[:, 1:-1] = earliest[entry[part]] < ids[part, None]
-            change = np.diff(twice, axis=1)
-            who, low = np.nonzero(change == 1)
-            _, high = np.nonzero(change == -1)
-            found.append((owner[part][who], place[part][who] - high + 1, place[part][who] - low + SPAN))
-        out.append(squeeze(*(np.concatenate(x) for x in zip(*found, strict=True))))
-    return pa.table({"chunk": group.column("chunk"), "spans": pa.array(out, pa.binary())})
-
-
-def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each document of the chunks (chunk, body, all_spans)."""
-    for batch in batches:
-        for body, blobs in zip(batch.column(1), batch.column(2), strict=True):
-            chunk = Chunk(body.as_py())
-            change = np.zeros(len(chunk.text) + 1, np.int32)
-            for blob in blobs.as_py() or []:
-                owner, start, end = unsqueeze(blob, np.int64, np.int64, np.int64)
-                np.add.at(change, chunk.offsets[owner] + start, 1)
-                np.add.at(change, chunk.offsets[owner] + end, -1)
-            gone = np.cumsum(change[:-1]) > 0
-            count = len(chunk.ids)
-            removed = np.concatenate([[0], np.cumsum(gone)])[chunk.offsets]
-            spans = np.bincount(chunk.owner(runs(gone, chunk.offsets[1:-1])[0]), minlength=count)[:count] if len(gone) else np.zeros(count, np.int64)
-            left = chunk.text[~gone].tobytes()
-            kept = chunk.offsets - removed
-            texts = [left[a:b] for a, b in zip(kept[:-1].tolist(), kept[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(chunk.ids, mask=chunk.none), pa.array(np.diff(chunk.offsets)), pa.array(np.diff(removed)), pa.array(spans),
-                pa.array(texts, pa.binary()), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-            ], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+    for _, same in runs_:
+        out.append(steps(earliest[position[start:start + len(same)]]))
+        start += len(same)
+    return pa.table({"part": group.column("part"), "chunk": group.column("chunk"), "earliest": pa.array(out, pa.binary())})
+
+
+def steps(earliest: np.ndarray) -> bytes:
+    """Rows of PLACES numbers, each number written where it differs from the one before."""
+    new = np.ones(earliest.shape, bool)
+    new[:, 1:] = earliest[:, 1:] != earliest[:, :-1]
+    return squeeze(np.packbits(new, axis=1), earliest[new])
+
+
+def unsteps(blob: bytes) -> np.ndarray:
+    new, value = unsqueeze(blob, np.uint8, np.int64)
+    new = np.unpackbits(new.reshape(-1, -(-PLACES // 8)), axis=1, count=PLACES)
+    return value[np.cumsum(new.ravel(), dtype=np.int64) - 1].reshape(new.shape)
+
+
+def mark(chunk: Chunk, replies: list[dict], answers: list[dict], parts: int, change: np.ndarray) -> None:
+    """Add to `change` 1 where bytes begin that an earlier document has too, and take 1 where they end."""
+    at, _, part, entry = chunk.shared(replies, parts)
+    order = np.argsort(entry, kind="stable")
+    cuts = bounds(part)
+    ends = np.searchsorted(entry[order], cuts)
+    given = {r["part"]: r["earliest"] for r in answers}
+    for a, first, last in zip(cuts[:-1].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        earliest = unsteps(given[int(part[a])])
+        for start in range(first, last, PLACES_AT_ONCE):
+            own = order[start:min(start + PLACES_AT_ONCE, last)]
+            twice = np.zeros((len(own), PLACES + 2), np.int8)
+            twice[:, 1:-1] = earliest[entry[own] - a] < chunk.ids[chunk.owner(at[own])][:, None]
+            step = np.diff(twice, axis=1)
+            who, low = np.nonzero(step == 1)
+            _, high = np.nonzero(step == -1)
+            np.add.at(change, at[own][who] - high + 1, 1)
+            np.add.at(change, at[own][who] - low + SPAN, -1)
+
+
+def cut_out(held: DataFrame, parts: int) -> DataFrame:
+    """One row for each document of the chunks (chunk, body, replies, answers)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body, replies, answers in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
+                chunk = Chunk(body.as_py())
+                change = np.zeros(len(chunk.text) + 1, np.int32)
+                if answers.is_valid:
+                    mark(chunk, replies.as_py(), answers.as_py(), parts, change)
+                gone = np.cumsum(change[:-1]) > 0
+                count = len(chunk.ids)
+                removed = np.concatenate([[0], np.cumsum(gone)])[chunk.offsets]
+                spans = np.bincount(chunk.owner(runs(gone, chunk.offsets[1:-1])[0]), minlength=count)[:count] if len(gone) else np.zeros(count, np.int64)
+                left = chunk.text[~gone].tobytes()
+                kept = chunk.offsets - removed
+                texts = [left[a:b] for a, b in zip(kept[:-1].tolist(), kept[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(chunk.ids, mask=chunk.none), pa.array(np.diff(chunk.offsets)), pa.array(np.diff(removed)), pa.array(spans),
+                    pa.array(texts, pa.binary()), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                ], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+
+    return held.select("chunk", "body", "replies", "answers").mapInArrow(
+        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -396,9 +435,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     # the filter, true for all, makes both joins read one and the same exchange of the bodies
     bodies = held.select("chunk", "body").where("chunk is not null").repartition(max(1, size.n), "chunk")
     bits = first_bytes(held, parts).groupBy("part").applyInArrow(shared_bytes, "part long, chunk long, bits binary")
-    replies = bits.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("replies"))
+    replies = materialize(bits.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("replies")))
     runs_ = sorted_runs(bodies.join(replies, "chunk"), parts)
-    spans = runs_.groupBy("part").applyInArrow(repeated, "chunk long, spans binary")
-    spans = spans.groupBy("chunk").agg(F.collect_list("spans").alias("all_spans"))
-    done = bodies.join(spans, "chunk", "left").select("chunk", "body", "all_spans")
-    return done.mapInArrow(cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    answers = runs_.groupBy("part").applyInArrow(repeated, "part long, chunk long, earliest binary")
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("part", "earliest")).alias("answers"))
+    return cut_out(bodies.join(replies, "chunk", "left").join(answers, "chunk", "left"), parts)

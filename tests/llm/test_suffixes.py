@@ -90,3 +90,21 @@ def test_front_coding():
     rows = np.unique(rng.integers(0, 2, (200, suf.WIDTH)).astype(np.uint8), axis=0)
     same = suf.common(rows)
     assert (suf.front_decoded(same, rows[np.arange(suf.WIDTH) >= same[:, None]]) == rows).all()
+
+
+def test_steps():
+    rows = np.random.default_rng(2).integers(0, 2, (50, suf.PLACES)) * suf.NEVER
+    assert (suf.unsteps(suf.steps(rows)) == rows).all()
+
+
+def test_a_frequent_suffix_is_sent_once_a_chunk(docs, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(suf, "PLACES_AT_ONCE", 100)
+    r = random.Random(3)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(120))
+    table = docs(["=" * 5000, "ab" * 2000, *(f"{i} {passage} {i}" for i in range(300)), "=" * 4000, "ab" * 2500])
+    check(table)
+    body = suf.chunks(table.selectExpr("doc_id", "text").coalesce(1)).first().body
+    chunk = suf.Chunk(bytes(body))
+    key, _ = suf.keyed(chunk.suffixes()[3], 1)
+    at, rows, _, _ = chunk.shared([{"part": 0, "bits": np.packbits(np.ones(len(key), bool)).tobytes()}], 1)
+    assert len(at) > 9000 and len(rows) < len(at) / 8
