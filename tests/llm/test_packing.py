@@ -1,13 +1,14 @@
 """Packing: exact pieces, whole sequences, few of them."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 from llm_support import docs, documents  # noqa: F401
 from tokenizers import Tokenizer
 
+from gradeloom.llm import packing
 from gradeloom.llm.packing import pack, place
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -68,3 +69,15 @@ def test_placing_is_the_best_by_squares():
 
 def test_no_rows(docs):  # noqa: F811
     assert pack(docs([]), PATH).count() == 0
+
+
+def test_blocks_hold_no_full_pieces(docs, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 5)
+    table = docs(["w " * 2047, "w " * 60000, *("w " * (i + 3000) for i in range(20))])
+    check(table, 2048)
+    rows = pack(table, PATH).collect()
+    blocks = Counter(r.sequence_id >> 32 for r in rows if r.sequence_id < packing.FULL)
+    assert all((r.length == 2048) == (r.sequence_id >= packing.FULL) for r in rows)
+    assert sum(blocks.values()) == 21 and len(blocks) > 1
+    full = [r.sequence_id for r in rows if r.length == 2048]
+    assert len(set(full)) == len(full) == sum(r.length == 2048 for r in rows)
