@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from gradeloom.llm.packing import pack
 from gradeloom.llm.queries import table, tokenizer_path
 from gradeloom.llm.secrets import find_secrets
 from gradeloom.llm.toxicity import without_toxic
+from gradeloom.session import work_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REDACTED = "[SECRET]"
@@ -54,7 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Each stage's result is written to a new folder below the work folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder = f"{work_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs

@@ -96,3 +96,15 @@ def test_odd_documents_pass(spark, docs, tmp_path):  # noqa: F811
             rows = stage(spark, rows, SF)
             rows.write.mode("overwrite").parquet(str(tmp_path / name))
             rows = spark.read.parquet(str(tmp_path / name))
+
+
+def test_run_writes_and_rereads_each_stage(spark, monkeypatch):
+    read = []
+    def stage(s, table, _):
+        read.append(table.inputFiles())
+        return table.where("doc_id % 2 = 0") if len(read) == 1 else table.limit(5)
+    monkeypatch.setattr(pipeline, "STAGES", [("first", stage), ("second", stage)])
+    out = pipeline.run(spark, SF)
+    assert out.count() == 5 and all("/second/" in f for f in out.inputFiles())
+    assert all(f.startswith(f"file://{SF}") for f in read[0]) and read[1] and all("/first/" in f for f in read[1])
+    assert pipeline.run(spark, SF).inputFiles() != out.inputFiles()
