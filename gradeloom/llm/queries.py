@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gradeloom.llm.collocations import collocations
 from gradeloom.llm.decontaminate import contained_items
 from gradeloom.llm.jaccard import near_groups
 from gradeloom.llm.licenses import license_labels
@@ -68,9 +69,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_personal_data, op3_licenses, op4_secrets, op5_near_vectors, op6_toxicity,
     op7_language_scores, op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
+    op11_collocations,
 )}
 
 __all__ = ["QUERIES", "SQL", "table", "tokenizer_path"]

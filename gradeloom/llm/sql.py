@@ -96,9 +96,46 @@ select id as doc_id, (len(h) // 2)::bigint as n_bytes, n_removed::bigint as n_re
 from kept
 """
 
+COLLOCATIONS = r"""
+with words as (
+  select l, d, p, i, w from (
+    select l, d, p, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as i from (
+      select l, d, p, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as ws from (
+        select l, d, unnest(ps) as piece, unnest(range(1, len(ps) + 1)) as p from (
+          select coalesce(lang, 'und') as l, row_number() over () as d,
+            string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as ps
+          from documents))))),
+runs as (
+  select l, w as w1, lead(w) over t as w2, lead(w, 2) over t as w3 from words window t as (partition by d, p order by i)),
+ones as (select l, w1, count(*)::hugeint as f from runs group by all),
+twos as (select l, w1, w2, count(*)::hugeint as f from runs where w2 is not null group by all),
+threes as (select l, w1, w2, w3, count(*)::hugeint as f from runs where w3 is not null group by all having count(*) >= 10),
+longer as (
+  select l, w1, w2, max(f) as most from (
+    select l, w1, w2, f from threes union all select l, w2 as w1, w3 as w2, f from threes) group by all),
+cuts as (
+  select t.l, t.w1 || ' ' || t.w2 as phrase, t.f as a, x.f as lf, y.f as rf, 1 as k
+  from twos t join ones x on x.l = t.l and x.w1 = t.w1 join ones y on y.l = t.l and y.w1 = t.w2
+  left join longer m on m.l = t.l and m.w1 = t.w1 and m.w2 = t.w2
+  where t.f >= 10 and not coalesce(100 * m.most >= 50 * t.f, false)
+  union all
+  select t.l, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  from threes t join ones x on x.l = t.l and x.w1 = t.w1 join twos y on y.l = t.l and y.w1 = t.w2 and y.w2 = t.w3
+  union all
+  select t.l, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  from threes t join twos x on x.l = t.l and x.w1 = t.w1 and x.w2 = t.w2 join ones y on y.l = t.l and y.w1 = t.w3),
+scored as (select *, (1000000::hugeint * a * a) // (lf * rf) as score from cuts),
+worst as (select * from scored qualify row_number() over (partition by l, phrase order by score, k) = 1),
+ranked as (select *, row_number() over (partition by l order by score desc, a desc, encode(phrase)) as rank from worst),
+sizes as (select l, sum(f) as n from ones group by l)
+select l as lang, rank, phrase, a::bigint as a, lf::bigint as l, rf::bigint as r, n::bigint as n, score::bigint as score
+from ranked join sizes using (l) where rank <= 2000
+"""
+
 SQL = {
     "op3_licenses": LICENSES,
     "op8_suffix_dedup": REPEATS,
     "op9_jaccard_join": JACCARD,
     "op10_decontamination": CONTAINED,
+    "op11_collocations": COLLOCATIONS,
 }
