@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gradeloom.llm.chat import formatted_digest
 from gradeloom.llm.collocations import collocations
 from gradeloom.llm.decontaminate import contained_items
 from gradeloom.llm.jaccard import near_groups
@@ -73,10 +74,18 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts are made of control strings."""
+    steering = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", steering), (-1, 1, "assistant", steering)], "conv_id long, turn long, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return formatted_digest(given.unionByName(added))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_personal_data, op3_licenses, op4_secrets, op5_near_vectors, op6_toxicity,
     op7_language_scores, op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
-    op11_collocations,
+    op11_collocations, op12_chat_format,
 )}
 
 __all__ = ["QUERIES", "SQL", "table", "tokenizer_path"]

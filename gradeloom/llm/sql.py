@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from gradeloom.llm.chat import CLOSE, CONTROLS, OPEN
 from gradeloom.llm.licenses import K, LEAST_SHARE, NEAR, NOTICES, PHRASES
 
 #: Documents as numbered rows, as rows may repeat.
@@ -132,10 +133,32 @@ select l as lang, rank, phrase, a::bigint as a, lf::bigint as l, rf::bigint as r
 from ranked join sizes using (l) where rank <= 2000
 """
 
+
+
+def escaped(column: str) -> str:
+    out = f"replace({column}, '\\', '\\\\')"
+    for control in CONTROLS:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+CHAT = f"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as t from conversations
+  union all select * from (values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')))
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' order by turn nulls first, role, t)) as turns_sha256,
+  coalesce(sum(length(t)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(t, '' order by turn nulls first, t) filter (role = 'assistant'), '')) as loss_sha256,
+  sum({len(OPEN) + len(CLOSE) + 2} + length(replace({escaped('role')}, chr(10), chr(92) || chr(10))) + length({escaped('t')}))::bigint as formatted_chars
+from said group by conv_id
+"""
+
 SQL = {
     "op3_licenses": LICENSES,
     "op8_suffix_dedup": REPEATS,
     "op9_jaccard_join": JACCARD,
     "op10_decontamination": CONTAINED,
     "op11_collocations": COLLOCATIONS,
+    "op12_chat_format": CHAT,
 }
