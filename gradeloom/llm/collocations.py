@@ -21,7 +21,7 @@ LEAST = 10
 SUBSUMED = 50
 TOP = 2000
 #: Bytes of text counted at a time, and words whose stripes are merged in one part.
-CHUNK, PART = 1 << 23, 2_500_000
+CHUNK, PART = 1 << 22, 2_500_000
 #: A word pair of at least this share of all words is merged in all parts, by its third words. Fewer than 1 / COMMON
 #: such pairs exist; which are found decides where a stripe is merged, never what it counts.
 COMMON = 1e-5
@@ -52,7 +52,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
                 continue
             row = np.searchsorted(ends_of_rows, starts, side="right")
             ids = np.maximum(pair_hash(salts[first + row], hashes(low, starts, ends)[0]), np.uint64(1))
-            piece = np.cumsum(BREAK[low], dtype=np.int64)[starts] + row  # neither ever falls
+            piece = np.searchsorted(np.flatnonzero(BREAK[low]), starts) + row  # neither ever falls
             yield coded.slice(first, last - first).dictionary_decode(), low, ids, row, piece, starts, ends
 
 
