@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gradeloom.llm.chat import formatted_digest
 from gradeloom.llm.collocations import collocations
@@ -10,6 +11,7 @@ from gradeloom.llm.decontaminate import contained_items
 from gradeloom.llm.jaccard import near_groups
 from gradeloom.llm.licenses import license_labels
 from gradeloom.llm.lm import language_scores
+from gradeloom.llm.negatives import hard_negatives
 from gradeloom.llm.packing import pack
 from gradeloom.llm.pii import personal_data_digest
 from gradeloom.llm.secrets import secrets_digest
@@ -82,10 +84,17 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted_digest(given.unionByName(added))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth vector's; each seventh row is put under the next label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_personal_data, op3_licenses, op4_secrets, op5_near_vectors, op6_toxicity,
     op7_language_scores, op8_suffix_dedup, op9_jaccard_join, op10_decontamination,
-    op11_collocations, op12_chat_format,
+    op11_collocations, op12_chat_format, op13_hard_negatives,
 )}
 
 __all__ = ["QUERIES", "SQL", "table", "tokenizer_path"]

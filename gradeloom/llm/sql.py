@@ -154,6 +154,27 @@ select conv_id, count(*) as n_turns,
 from said group by conv_id
 """
 
+NEGATIVES = """
+with rows as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.r as a, a.vec_id as anchor_id, b.r as b, b.vec_id as id, a.label = b.label as same,
+    list_inner_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.r <> b.r where a.vec_id % 50 = 0),
+positives as (
+  select a, anchor_id, row_number() over (partition by a order by score desc, id) as place, id, score
+  from scores where same qualify place <= 5),
+negatives as (
+  select p.a, p.anchor_id, p.place, p.id as positive_id, p.score as positive_score, s.id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.a, p.place order by s.score desc, s.id) as rank
+  from positives p join scores s on s.a = p.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+"""
+
 SQL = {
     "op3_licenses": LICENSES,
     "op8_suffix_dedup": REPEATS,
@@ -161,4 +182,5 @@ SQL = {
     "op10_decontamination": CONTAINED,
     "op11_collocations": COLLOCATIONS,
     "op12_chat_format": CHAT,
+    "op13_hard_negatives": NEGATIVES,
 }
