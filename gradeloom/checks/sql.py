@@ -622,3 +622,38 @@ for _name in ("class_balance", "train_test_split", "fold_numbers", "oversampled"
     longs(_name, "target")
 longs("submitted_creations", "points_n")
 longs("predicted_class", "predicted")
+
+# -- leaf-wise trees: one split, gradients half a unit a row, fails weighted double, rate 0.8, l1 0.25, l2 1.5 --
+
+ONE_SPLIT = """
+sides as (
+  select count(*) filter (exams_sum <= 2) as low, count(*) filter (exams_sum > 2) as high from features),
+leaves as (
+  select low, high, -0.8 * greatest(0.5 * low - 0.25, 0) / (0.25 * low + 1.5) as low_value,
+    0.8 * greatest(high - 0.25, 0) / (0.5 * high + 1.5) as high_value from sides),
+split as (
+  select low_value, high_value, (low * low_value + 2 * high * high_value) / (low + 2 * high) as expected from leaves),
+margins as (
+  select row_id, learner_id, course_id, case when exams_sum > 2 then high_value else low_value end as margin, expected
+  from features, split)"""
+
+SQL |= {
+    "leafwise_probabilities": with_ctes(FEATURED + [ONE_SPLIT], f"select row_id, {KEYS}, {pin('1 / (1 + exp(-margin))', 'p')} from margins"),
+    "leafwise_classes": with_ctes(FEATURED, f"select row_id, {KEYS}, (exams_sum > 2 and step > 100)::int::bigint as predicted from features"),
+    "tree_attributions": with_ctes(FEATURED + [ONE_SPLIT], f"""
+select row_id, {KEYS}, {pin('margin', 'margin')}, {pin('expected', 'expected')}, {pin('margin - expected', 'exams_sum')}, {pin('0', 'others')}
+from margins"""),
+    "attributed_importance": with_ctes(FEATURED + [ONE_SPLIT, "names(feature) as (values " + ", ".join(f"('{f}')" for f in FEATURES) + ")"], f"""
+select row_number() over (order by feature <> 'exams_sum', feature) as place, feature,
+  {pin("case when feature = 'exams_sum' then (select avg(abs(margin - expected)) from margins) else 0 end", "importance")},
+  {pin("1", "running_share")} from names"""),
+    "forest_attributions": with_ctes(SPLIT, f"""
+select row_id, {KEYS}, 1::bigint as fits from ranked where rank <= 0.2::double * class_size"""),
+    "models_in_one_pass": with_ctes(FEATURED, """
+select 'past_' || n as run_id, count(*) filter (exams_sum > n and target = 1) as tp, count(*) filter (exams_sum > n and target = 0) as fp,
+  count(*) filter (exams_sum <= n and target = 1) as fn, count(*) filter (exams_sum <= n and target = 0) as tn
+from features, range(0, 3) t(n) group by n"""),
+    "warm_started_runs": """
+select * from (values ('first-0', 'random', 1::bigint), ('second-0', 'stored', 1::bigint), ('second-1', 'random', 1::bigint),
+  ('second-2', 'model', 1::bigint)) t(draw, origin, fits)""",
+}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-import random
 import time
 import uuid
 from collections.abc import Callable
@@ -17,11 +15,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from gradeloom.operators import parzen
+from gradeloom.operators.boost import fit_leafwise
 from gradeloom.operators.evaluate import (
     METRICS, auc, best_cutoff, confusion, evaluation, hard_auc, quality, ranked_importance,
 )
 from gradeloom.operators.ranks import hash_rank
 from gradeloom.operators.sample import FOLDS, SPLIT_SEED, balance, folds
+from gradeloom.operators.trees import TreeModel
 from gradeloom.schema import FEATURES
 from gradeloom.session import materialize
 
@@ -37,19 +38,20 @@ LOSS_LIMIT = -0.997
 LEAST_SCORE = 0.9
 SPARK_MAX_DEPTH = 30
 
-# Ranges the search draws from.
+# Ranges the search draws from. Boosted draws name their leaves, which asks for leaf-wise trees.
 SPACE = {
     FOREST: {
         "trees": ("int", 15, 125), "depth": ("int", 5, 90), "leaf_rows": ("int", 5, 150),
         "columns": ("choice", ["sqrt", "all"]), "impurity": ("choice", ["gini", "entropy"]),
     },
     BOOSTED_FINE: {
-        "trees": ("int", 15, 125), "depth": ("int", 5, 90), "leaf_rows": ("int", 5, 150),
-        "rate": ("log", 0.001, 0.3), "columns": ("real", 0.6, 1.0),
+        "trees": ("int", 15, 125), "depth": ("int", 5, 90), "leaf_rows": ("int", 5, 150), "leaves": ("int", 5, 90),
+        "rate": ("log", 0.001, 0.3), "columns": ("real", 0.6, 1.0), "drop": ("choice", [0.0, 0.1]),
     },
     BOOSTED_COARSE: {
-        "trees": ("int", 15, 100), "depth": ("int", 5, 80),
-        "rate": ("log", 0.005, 0.4), "columns": ("real", 0.6, 1.0),
+        "trees": ("int", 15, 100), "depth": ("int", 5, 80), "leaves": ("int", 5, 80),
+        "rate": ("log", 0.005, 0.4), "columns": ("real", 0.6, 1.0), "l1": ("log", 0.001, 5.0), "l2": ("log", 0.001, 5.0),
+        "drop": ("choice", [0.0, 0.1]), "objective": ("choice", ["logistic", "hinge"]),
     },
 }
 
@@ -77,15 +79,19 @@ def classifier(algorithm: str, params: dict, seed: int = SPLIT_SEED):
     raise ValueError(f"unknown algorithm {algorithm!r}, have {ALGORITHMS}")
 
 
-def fit(train: DataFrame, algorithm: str, params: dict, features: list[str] = FEATURES) -> PipelineModel:
-    """Fit on rows of features and target, fails weighted double."""
+def fit(train: DataFrame, algorithm: str, params: dict, features: list[str] = FEATURES) -> PipelineModel | TreeModel:
+    """Fit on rows of features and target, fails weighted double. Boosted trees with `leaves` are grown leaf by leaf."""
     weight = F.when(F.col("target") == 1, CLASS_WEIGHTS[1]).otherwise(CLASS_WEIGHTS[0])
+    if algorithm in (BOOSTED_FINE, BOOSTED_COARSE) and "leaves" in params:
+        return fit_leafwise(train.withColumn("weight", weight), features, params, SPLIT_SEED)
     stages = [VectorAssembler(inputCols=features, outputCol="features"), classifier(algorithm, params)]
     return Pipeline(stages=stages).fit(train.withColumn("weight", weight))
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score(model: PipelineModel | TreeModel, rows: DataFrame) -> DataFrame:
     """`rows` with the probability of a fail as `p`."""
+    if isinstance(model, TreeModel):
+        return model.score(rows)
     probability = vector_to_array("probability")[1]
     return model.transform(rows).withColumn("p", probability).select(*rows.columns, "p")
 
@@ -153,13 +159,14 @@ class Built:
     run_id: str
     algorithm: str
     params: dict
-    model: PipelineModel | None
+    model: PipelineModel | TreeModel | None
     cv_scores: list[float]
     cutoff: float = CUTOFF
     version: int = 1
     stage: str = "development"
     test: dict = field(default_factory=dict)
     search_end: str | None = None
+    origin: str | None = None  # where a search's draw came from
 
     @property
     def val_score(self) -> float:
@@ -169,7 +176,7 @@ class Built:
     def of(cls, run: Row, model: PipelineModel) -> Built:
         """A stored run with its model."""
         return cls(run["run_id"], run["algorithm"], dict(run["params"] or {}), model, list(run["cv_scores"] or []),
-                   run["cutoff"], run["version"], run["stage"], search_end=run["search_end"])
+                   run["cutoff"], run["version"], run["stage"], search_end=run["search_end"], origin=run["origin"])
 
     def record(self) -> dict:
         """The row for the runs table."""
@@ -177,7 +184,7 @@ class Built:
         return {
             "run_id": self.run_id, "version": self.version, "algorithm": self.algorithm,
             "stage": self.stage, "params": params, "cutoff": self.cutoff,
-            "cv_scores": self.cv_scores, "search_end": self.search_end, **self.test,
+            "cv_scores": self.cv_scores, "search_end": self.search_end, "origin": self.origin, **self.test,
         }
 
 
@@ -187,21 +194,6 @@ def build(prepared: Prepared, run_id: str, algorithm: str, params: dict, metric:
     return Built(run_id, algorithm, params, fit(prepared.whole, algorithm, params, prepared.features), scores)
 
 
-def draw(rng: random.Random, space: dict, depth_limit: int) -> dict:
-    out = {}
-    for name, (kind, *span) in space.items():
-        if kind == "int":
-            low, high = span
-            out[name] = rng.randint(low, min(high, depth_limit) if name == "depth" else high)
-        elif kind == "choice":
-            out[name] = rng.choice(span[0])
-        elif kind == "log":
-            out[name] = math.exp(rng.uniform(math.log(span[0]), math.log(span[1])))
-        else:
-            out[name] = rng.uniform(*span)
-    return out
-
-
 def search(
     train: DataFrame,
     features: list[str] = FEATURES,
@@ -218,8 +210,13 @@ def search(
     seed: int = SPLIT_SEED,
     search_id: str | None = None,
     on_kept: Callable[[Built], None] | None = None,
+    warm: tuple[str, dict] | None = None,
+    starts: int = parzen.STARTS,
 ) -> list[Built]:
-    """Seeded random draws over algorithms and parameters; the builds that reach `least_score`.
+    """Seeded draws over algorithms and parameters; the builds that reach `least_score`.
+
+    `warm`, algorithm and parameters of a stored run, is tried first. `starts` draws are random, the others follow
+    Parzen estimates of where past draws did well; which it was stands in each build's `origin`.
 
     Stops at the evaluation count, the time limit, or a loss (minus score) at `loss_limit`; which of them it
     was stands in each build's `search_end`. Run ids hold `search_id`, so that no two searches share one.
@@ -228,15 +225,16 @@ def search(
     """
     prepared = prepare(train, features, k, method)
     name = search_id or uuid.uuid4().hex[:12]
-    rng, start, kept, end = random.Random(seed), time.monotonic(), [], "evaluations"
+    draws = parzen.Search({a: space[a] for a in algorithms}, seed, warm, depth_limit, starts)
+    start, kept, end = time.monotonic(), [], "evaluations"
     for number in range(max_evals):
         if time.monotonic() - start > 60 * timeout_minutes:
             end = "time"
             break
-        algorithm = rng.choice(algorithms)
-        params = draw(rng, space[algorithm], depth_limit)
+        algorithm, params, origin = draws.next()
         built = Built(f"{algorithm}-{name}-{number}", algorithm, params, None,
-                      cross_validate(prepared, algorithm, params, metric))
+                      cross_validate(prepared, algorithm, params, metric), origin=origin)
+        draws.tell(algorithm, params, -built.val_score)
         if built.val_score >= least_score:
             built.model = fit(prepared.whole, algorithm, params, features)
             kept.append(built)
@@ -271,7 +269,7 @@ def update(
 
 
 def native_importance(model: PipelineModel, spark: SparkSession, features: list[str] = FEATURES) -> DataFrame:
-    """The trees' own feature importances, ranked."""
+    """The trees' own feature importances, ranked, of a model of Spark ML; `attributed_importance` takes any trees."""
     weights = model.stages[-1].featureImportances.toArray().tolist()
     pairs = spark.createDataFrame(list(zip(features, weights)), "feature string, importance double")
     return ranked_importance(pairs)
@@ -300,8 +298,16 @@ def permuted_importance(
 
 def save_model(built: Built, path: str) -> None:
     """The fitted pipeline below `path`, by run and version. One that is there already is never overwritten."""
-    built.model.write().save(f"{path}/{built.run_id}/version={built.version}")
+    target = f"{path}/{built.run_id}/version={built.version}"
+    if isinstance(built.model, TreeModel):
+        built.model.save(SparkSession.active(), target)
+    else:
+        built.model.write().save(target)
 
 
-def load_model(path: str, run_id: str, version: int) -> PipelineModel:
-    return PipelineModel.load(f"{path}/{run_id}/version={version}")
+def load_model(path: str, run_id: str, version: int) -> PipelineModel | TreeModel:
+    spark, source = SparkSession.active(), f"{path}/{run_id}/version={version}"
+    pipeline = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/metadata")
+    if pipeline.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pipeline):
+        return PipelineModel.load(source)
+    return TreeModel.load(spark, source)

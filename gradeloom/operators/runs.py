@@ -20,6 +20,7 @@ RUNS = T.StructType([
     T.StructField("val_score", T.DoubleType()),
     T.StructField("test_score", T.DoubleType()),
     T.StructField("search_end", T.StringType()),
+    T.StructField("origin", T.StringType()),
 ])
 
 DEVELOPMENT, STAGING, PRODUCTION = "development", "staging", "production"

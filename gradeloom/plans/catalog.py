@@ -11,6 +11,7 @@ from gradeloom.operators.ranks import class_shares
 from gradeloom.operators.repair import malformed_terms, repair
 from gradeloom.operators.sample import folds, oversample, split, undersample
 from gradeloom.operators.smote import smote
+from gradeloom.operators.trees import attributed_importance as attributed, score_all, tree_attributions as attributions
 from gradeloom.plans.gradebook import EXAMS, gradebook
 from gradeloom.plans.process import HOT_LIMIT, clean_log, exam_history, feature_table, sorted_log
 from gradeloom.plans.train import batch_score, promote, score_with_champion, train_models
@@ -693,4 +694,85 @@ def champion_scores(spark, sf_dir):
     return scored_rows.select(*KEYS, "course_name", "step", fits.alias("fits"))
 
 
+# -- leaf-wise trees, attributions, many models -------------------------------------------------------------
+
+# one split, so that every number follows from how many rows lie on either side
+ONE_SPLIT = {"trees": 1, "leaves": 2, "rate": 0.8, "l1": 0.25, "l2": 1.5}
+
+
+def past_exams(rows: DataFrame, count: int) -> DataFrame:
+    return rows.withColumn("target", (F.col("exams_sum") > count).cast("int"))
+
+
+@query
+def leafwise_probabilities(spark, sf_dir):
+    """One leaf-wise split on a target that is a threshold on one feature: its probabilities are known."""
+    rows = past_exams(split_features(spark, sf_dir), 2)
+    return M.score(M.fit(rows, M.BOOSTED_COARSE, ONE_SPLIT), rows).select("row_id", *KEYS, "p")
+
+
+@query
+def leafwise_classes(spark, sf_dir):
+    """Some leaf-wise trees on a target that asks for two features: exact classes on the rows learned from."""
+    late = (F.col("exams_sum") > 2) & (F.col("step") > 100)
+    rows = split_features(spark, sf_dir).withColumn("target", late.cast("int"))
+    model = M.fit(rows, M.BOOSTED_FINE, {"trees": 6, "leaves": 8, "rate": 0.9, "bins": 255})
+    return M.score(model, rows).select("row_id", *KEYS, E.predicted("p", M.CUTOFF).alias("predicted"))
+
+
+@query
+def tree_attributions(spark, sf_dir):
+    """What each feature adds to a row's margin, for one split: all of it is the split feature's."""
+    rows = past_exams(split_features(spark, sf_dir), 2)
+    model = M.fit(rows, M.BOOSTED_COARSE, ONE_SPLIT)
+    added = attributions(model, rows, keep=["row_id", *KEYS])
+    others = sum((F.abs(F.col(f)) for f in FEATURES if f != "exams_sum"), F.lit(0.0))
+    return added.select("row_id", *KEYS, "margin", "expected", "exams_sum", others.alias("others"))
+
+
+@query
+def attributed_importance(spark, sf_dir):
+    """Features by the mean size of what they add, of the same split."""
+    rows = past_exams(split_features(spark, sf_dir), 2)
+    return attributed(M.fit(rows, M.BOOSTED_COARSE, ONE_SPLIT), rows)
+
+
+@query
+def forest_attributions(spark, sf_dir):
+    """A random forest's attributions add up to the probability that it gives a row, less the expected one."""
+    splits = split_features(spark, sf_dir)
+    test = part_of(splits, "test")
+    model = M.fit(part_of(splits, "train"), M.FOREST, {"trees": 5, "depth": 4})
+    added = attributions(model, test).withColumn("all", sum((F.col(f) for f in FEATURES), F.lit(0.0)))
+    scored_rows = M.score(model, test).select(F.col("row_id").alias("r"), *KEYS, "p")
+    both = added.join(scored_rows, F.col("row_id") == F.col("r"))
+    fits = (F.abs(F.col("all") + F.col("expected") - F.col("margin")) < 1e-9) & (F.abs(F.col("margin") - F.col("p")) < 1e-9)
+    return both.select("row_id", *KEYS, fits.alias("fits"))
+
+
+@query
+def models_in_one_pass(spark, sf_dir):
+    """Three models score all rows in one pass; each one's hits and misses on the real target."""
+    rows = split_features(spark, sf_dir)
+    models = {f"past_{n}": M.fit(past_exams(rows, n), M.BOOSTED_COARSE, ONE_SPLIT) for n in (0, 1, 2)}
+    return E.confusion(score_all(models, rows), M.CUTOFF, ["run_id"])
+
+
+@query
+def warm_started_runs(spark, sf_dir):
+    """A second search over the stored runs of a first: where each of its draws came from."""
+    splits = split_features(spark, sf_dir)
+    runs, models = fresh_folder(spark, "runs"), fresh_folder(spark, "models")
+    options = {"space": SMALL_SPACE, "method": "under", "k": 2, "least_score": 0.0, "starts": 2}
+    first = train_models(splits, runs, models, 1, [M.FOREST], max_evals=1, search_id="first", **options)
+    train_models(splits, runs, models, 1, [M.FOREST], max_evals=3, search_id="second", **options)
+    known = {k: str(v) for k, v in first[0].params.items()}
+    same = F.lit(True)
+    for name, value in known.items():
+        same = same & (F.col("params")[name] == value)
+    return U.load_runs(spark, runs).select(
+        F.regexp_extract("run_id", "(first|second)-[0-9]+$", 0).alias("draw"), "origin",
+        (same | (F.col("origin") != "stored")).alias("fits"))
+
+
 __all__ = ["QUERIES"]

@@ -12,7 +12,8 @@ from gradeloom.operators.model import (
 from gradeloom.operators.prefix import latest
 from gradeloom.operators.report import prediction_folders
 from gradeloom.operators.runs import (
-    champion, hold_best, last_versions, load_runs, log_runs, new_runs, promoted, save_runs, top_per_algorithm,
+    champion, hold_best, last_snapshot, last_versions, load_runs, log_runs, new_runs, promoted, query_runs, save_runs,
+    top_per_algorithm,
 )
 from gradeloom.operators.sample import SPLIT_SEED, TEST_RATIO, balance, split
 from gradeloom.plans.process import HOT_LIMIT, feature_table
@@ -48,10 +49,20 @@ def swept_cutoff(train: DataFrame, built: Built, method: str, ratio: float = TES
     return update(trial, held, sweep_on=held).cutoff
 
 
+def best_stored(spark, runs_path: str, algorithms: list[str]) -> tuple[str, dict] | None:
+    """Algorithm and parameters of the stored run with the best validation score, whatever its stage."""
+    if last_snapshot(spark, runs_path) == 0:
+        return None
+    best = query_runs(load_runs(spark, runs_path).where("val_score is not null"), "val_score", algorithm=list(algorithms)).first()
+    return None if best is None else (best["algorithm"], dict(best["params"] or {}))
+
+
 def train_models(splits: DataFrame, runs_path: str, models_path: str, candidates: int = CANDIDATES,
-                 algorithms: list[str] = ALGORITHMS, method: str = "over", **options) -> list[Built]:
+                 algorithms: list[str] = ALGORITHMS, method: str = "over", warm_start: bool = True, **options) -> list[Built]:
     """Search, save and log every build that reaches the least score, test the best of each algorithm.
 
+    With `warm_start` the search tries the best stored run's parameters first, if there is one.
+
     Models are saved as they are made and not held. The best get a cutoff swept on a share of the training
     rows and their scores on the test rows. Returns the tested builds.
     """
@@ -61,6 +72,8 @@ def train_models(splits: DataFrame, runs_path: str, models_path: str, candidates
         save_model(built, models_path)
         built.model = None
 
+    if warm_start:
+        options.setdefault("warm", best_stored(spark, runs_path, algorithms))
     found = search(train, algorithms=algorithms, method=method, on_kept=save, **options)
     if not found:
         return []
