@@ -592,17 +592,6 @@ select {KEYS}, case when (select count(distinct course_name) from activity) > 1
   else (select min(course_name) from activity) end as course_name,
   {pin("(select max(step) from activity)", "step")}, 1::bigint as fits
 from (select distinct {KEYS} from features)"""),
-    "smote_features": with_ctes(FEATURED + ["""
-sizes as (
-  select target as small, count(*) as have, max(count(*)) over () - count(*) as lack from features group by target
-  order by have, target limit 1),
-minority as (
-  select row_id, target, row_number() over (order by md5(row_id || ':0'), row_id) as rank
-  from features where target = (select small from sizes)),
-draws as (
-  select row_id, target, rank, unnest(range(1, (lack // have + case when rank <= lack % have then 1 else 0 end + 1)::bigint)) as turn
-  from minority, sizes)"""], """
-select row_id as base_id, turn, (rank + turn) % 5 + 1 as number, target::bigint as target from draws"""),
 }
 
 
@@ -623,6 +612,32 @@ for _name in ("class_balance", "train_test_split", "fold_numbers", "oversampled"
 longs("submitted_creations", "points_n")
 longs("predicted_class", "predicted")
 
+# -- synthetic rows on all features, in whole thousandths --
+
+_thousandths = ", ".join(f"floor({f} * 1000.0::double + 0.50003::double) as {f}" for f in FEATURES)
+_gap = " + ".join(f"(x.{f} - y.{f}) * (x.{f} - y.{f})" for f in FEATURES)
+DRAWN = FEATURED + [f"whole as (select row_id, target, {_thousandths} from features)", f"""
+sizes as (
+  select target as small, count(*) as have, max(count(*)) over () - count(*) as lack from whole group by target
+  order by have, target limit 1),
+minority as (
+  select *, row_number() over (order by md5(row_id || ':0'), row_id) as rank, min(row_id) over (partition by {', '.join(FEATURES)}) as vid
+  from whole where target = (select small from sizes)),
+draws as (
+  select row_id, vid, target, rank, unnest(range(1, (lack // have + case when rank <= lack % have then 1 else 0 end + 1)::bigint)) as turn
+  from minority, sizes),
+placed as (select *, (rank + turn) % 5 + 1 as number from draws)"""]
+
+SQL |= {
+    "smote_features": with_ctes(DRAWN + [f"""
+pairs as (
+  select x.row_id, y.vid as nid, x.vid <> y.vid as apart, {_gap} as gap, y.row_id as other
+  from minority x join minority y on x.row_id <> y.row_id where x.row_id in (select row_id from draws)),
+near as (select row_id, nid, row_number() over (partition by row_id order by apart, gap, nid, other) as number from pairs)"""], """
+select row_id as base_id, turn, number, nid as neighbour_id, target::bigint as target from placed join near using (row_id, number)"""),
+    "smote_graph_features": with_ctes(DRAWN, "select row_id as base_id, turn, number, target::bigint as target, 1::bigint as fits from placed"),
+}
+
 # -- leaf-wise trees: one split, gradients half a unit a row, fails weighted double, rate 0.8, l1 0.25, l2 1.5 --
 
 ONE_SPLIT = """

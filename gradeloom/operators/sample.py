@@ -53,14 +53,14 @@ def undersample(df: DataFrame, seed: int = 0, target: str = "target") -> DataFra
 
 
 def balance(df: DataFrame, method: str, features: list[str], seed: int = 0, target: str = "target") -> DataFrame:
-    """Training rows with equal classes: `smote`, `over`, `under`, or `none`."""
+    """Training rows with equal classes: `smote`, `smote_graph` (neighbours nearly exact, any size), `over`, `under`, or `none`."""
     if method == "none":
         return df.select(*features, target)
     if method == "over":
         return oversample(df, seed, target).select(*features, target)
     if method == "under":
         return undersample(df, seed, target).select(*features, target)
-    if method == "smote":
-        made = smote(df, features, seed=seed, target=target)
+    if method in ("smote", "smote_graph"):
+        made = smote(df, features, seed=seed, target=target, graph=None if method == "smote" else {})
         return df.select(*features, target).unionByName(made.select(*features, target))
     raise ValueError(f"unknown balance method {method!r}")

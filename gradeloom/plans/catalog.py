@@ -440,12 +440,31 @@ def undersampled(spark, sf_dir):
     return undersample(labelled(spark, sf_dir)).select("row_id", "target")
 
 
+def whole_features(spark, sf_dir) -> DataFrame:
+    """The feature table in thousandths, whole numbers whose squared distances are exact in any engine."""
+    rows = feature_table(gradebook(spark, sf_dir), EXAMS)
+    rows = rows.withColumns({f: F.floor(F.col(f) * 1000 + 0.50003).cast("double") for f in FEATURES})
+    return materialize(rows.select("row_id", *FEATURES, "target"))
+
+
 @query
 def smote_features(spark, sf_dir):
     """All features of the feature table; the synthetic rows' bases, turns and neighbours."""
-    rows = feature_table(gradebook(spark, sf_dir), EXAMS).withColumns({f: F.round(f, 3) for f in FEATURES})
-    made = smote(materialize(rows.select("row_id", *FEATURES, "target")), FEATURES)
-    return made.select("base_id", "turn", "number", "target")
+    return smote(whole_features(spark, sf_dir), FEATURES).select("base_id", "turn", "number", "neighbour_id", "target")
+
+
+@query
+def smote_graph_features(spark, sf_dir):
+    """The same by the neighbour graph: bases and turns, and whether each row lies between its base and neighbour."""
+    rows = whole_features(spark, sf_dir)
+    made = smote(rows, FEATURES, graph={})
+    ends = rows.select(F.col("row_id").alias("i"), *[F.col(f).alias(f"{f} end") for f in FEATURES])
+    fits = F.col("neighbour_id").isNotNull() & F.col("u").between(0, 1)
+    for f in FEATURES:
+        fits = fits & (F.abs(F.col(f) - (1 - F.col("u")) * F.col(f"{f} start") - F.col("u") * F.col(f"{f} end")) < 1e-3)
+    starts = rows.select(F.col("row_id").alias("j"), *[F.col(f).alias(f"{f} start") for f in FEATURES])
+    both = made.join(ends, F.col("neighbour_id") == F.col("i")).join(starts, F.col("base_id") == F.col("j"))
+    return both.select("base_id", "turn", "number", "target", fits.alias("fits"))
 
 
 @query
