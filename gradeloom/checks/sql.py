@@ -630,14 +630,32 @@ placed as (select *, (rank + turn) % 5 + 1 as number from draws)"""]
 
 SQL |= {
     "smote_features": with_ctes(DRAWN + [f"""
-pairs as (
+met as (
   select x.row_id, y.vid as nid, x.vid <> y.vid as apart, {_gap} as gap, y.row_id as other
   from minority x join minority y on x.row_id <> y.row_id where x.row_id in (select row_id from draws)),
-near as (select row_id, nid, row_number() over (partition by row_id order by apart, gap, nid, other) as number from pairs)"""], """
+near as (select row_id, nid, row_number() over (partition by row_id order by apart, gap, nid, other) as number from met)"""], """
 select row_id as base_id, turn, number, nid as neighbour_id, target::bigint as target from placed join near using (row_id, number)"""),
     "smote_graph_features": with_ctes(DRAWN, "select row_id as base_id, turn, number, target::bigint as target, 1::bigint as fits from placed"),
 }
 
+SQL["carried_features"] = SQL["prefix_features"]
+
+# -- an export with bad numbers: lines are numbered in the order of events --
+
+LINES = BASE + ["""
+lines as (
+  select * replace (row_number() over (order by row_id) - 1 as row_id), row_id % 31 = 0 and exam_grade is not null as bad_grade,
+    row_id % 37 = 0 as bad_step from activity)"""]
+
+SQL |= {
+    "held_lines": with_ctes(LINES, """
+select row_id, 'exam_grade' as column, 'seven' as text from lines where bad_grade
+union all select row_id, 'step' as column, 'soon' as text from lines where bad_step"""),
+    "released_rows": with_ctes(LINES, f"""
+select row_id, {KEYS}, {pin("case when bad_step then 2 else step end", "step")},
+  {pin("case when bad_grade then 7 else exam_grade end", "exam_grade")}, task_name, {pins(["sub_score"])} from lines"""),
+}
+
 # -- leaf-wise trees: one split, gradients half a unit a row, fails weighted double, rate 0.8, l1 0.25, l2 1.5 --
 
 ONE_SPLIT = """

@@ -39,6 +39,41 @@ def running(rows: DataFrame, counters: dict = COUNTERS, measures: list[str] = ME
     )
 
 
+# a part is null where a block, or all before it, has no value
+MEET = {
+    "min": "least({0}, {0}_before)", "max": "greatest({0}, {0}_before)",
+    "sum": "coalesce({0}, 0) + coalesce({0}_before, 0)",
+}
+
+
+def part_calls(counters: dict, measures: list[str]) -> tuple[dict, dict]:
+    """How each part is taken over some rows, and how parts of earlier and later rows are put together."""
+    parts, fold = {"step_part": "max(step)"}, {"step_part": "max"}
+    for out, flag in counters.items():
+        parts[f"{out}_part"], fold[f"{out}_part"] = f"sum({flag})", "sum"
+    for m in measures:
+        for part, call, how in (
+            ("min", f"min({m})", "min"), ("max", f"max({m})", "max"), ("n", f"count({m})", "sum"),
+            ("dev", f"sum({m}_dev)", "sum"), ("sq", f"sum({m}_dev * {m}_dev)", "sum"),
+        ):
+            parts[f"{m}_{part}_part"], fold[f"{m}_{part}_part"] = call, how
+    return parts, fold
+
+
+def features_of_parts(counters: dict, measures: list[str]) -> list[str]:
+    """The running features as expressions of the parts and centres."""
+    stats = []
+    for m in measures:
+        n, dev, sq = (f"{m}_{p}_part" for p in ("n", "dev", "sq"))
+        stats += [
+            f"{m}_min_part as {m}_min",
+            f"{m}_max_part as {m}_max",
+            f"if({n} > 0, {m}_centre + {dev} / {n}, null) as {m}_mean",
+            f"if({n} > 1, sqrt(greatest({sq} - {dev} * {dev} / {n}, 0.0D) / ({n} - 1)), null) as {m}_std",
+        ]
+    return ["step_part as step", *[f"cast({out}_part as double) as {out}" for out in counters], *stats]
+
+
 def running_in_blocks(
     rows: DataFrame,
     counters: dict = COUNTERS,
@@ -57,17 +92,7 @@ def running_in_blocks(
     )
     cut = cut.drop("target").join(group, KEYS).selectExpr("*", *[f"{m} - {m}_centre as {m}_dev" for m in measures])
 
-    # how each part is taken inside a block, and how parts of blocks are put together
-    parts, fold = {"step_part": "max(step)"}, {"step_part": "max"}
-    for out, flag in counters.items():
-        parts[f"{out}_part"], fold[f"{out}_part"] = f"sum({flag})", "sum"
-    for m in measures:
-        for part, call, how in (
-            ("min", f"min({m})", "min"), ("max", f"max({m})", "max"), ("n", f"count({m})", "sum"),
-            ("dev", f"sum({m}_dev)", "sum"), ("sq", f"sum({m}_dev * {m}_dev)", "sum"),
-        ):
-            parts[f"{m}_{part}_part"], fold[f"{m}_{part}_part"] = call, how
-
+    parts, fold = part_calls(counters, measures)
     totals = cut.groupBy(*KEYS, "block").agg(*[F.expr(f"{call} as {n}") for n, call in parts.items()])
     earlier = before_block(totals, KEYS, {f"{n}_before": f"{how}({n})" for n, how in fold.items()})
     w = frame([*KEYS, "block"])
@@ -77,29 +102,12 @@ def running_in_blocks(
         *[f"{call} over {w} as {n}" for n, call in parts.items()],
     ).join(earlier, [*KEYS, "block"])
 
-    # a part is null where a block, or all before it, has no value
-    meet = {
-        "min": "least({0}, {0}_before)", "max": "greatest({0}, {0}_before)",
-        "sum": "coalesce({0}, 0) + coalesce({0}_before, 0)",
-    }
     whole = here.selectExpr(
         *KEYS, "row_id", "tie_rank", "tie_name", "target_first", *[f"{m}_centre" for m in measures],
-        *[f"{meet[how].format(n)} as {n}" for n, how in fold.items()],
+        *[f"{MEET[how].format(n)} as {n}" for n, how in fold.items()],
     )
-    stats = []
-    for m in measures:
-        n, dev, sq = (f"{m}_{p}_part" for p in ("n", "dev", "sq"))
-        stats += [
-            f"{m}_min_part as {m}_min",
-            f"{m}_max_part as {m}_max",
-            f"if({n} > 0, {m}_centre + {dev} / {n}, null) as {m}_mean",
-            f"if({n} > 1, sqrt(greatest({sq} - {dev} * {dev} / {n}, 0.0D) / ({n} - 1)), null) as {m}_std",
-        ]
     return whole.selectExpr(
-        *KEYS, "row_id", "tie_rank", "tie_name", "target_first as target", "step_part as step",
-        *[f"cast({out}_part as double) as {out}" for out in counters],
-        *stats,
-    )
+        *KEYS, "row_id", "tie_rank", "tie_name", "target_first as target", *features_of_parts(counters, measures))
 
 
 def useful(features: DataFrame) -> DataFrame:

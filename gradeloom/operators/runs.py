@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 RUNS = T.StructType([
@@ -38,31 +44,112 @@ def new_runs(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(filled, RUNS).withColumn("val_score", mean_cv())
 
 
+LOG = "_log"
+#: Times that a change is worked out anew when another writer was faster.
+RETRIES = 20
+
+
+class Conflict(Exception):
+    """Another writer has put the commit that this one was to be."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The path, its file system, and the context whose rename refuses a target that is there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    return root, fs, jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(root).toUri(), conf)
+
+
+def commits(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the commits in the log of the table at `path`, in order."""
+    _, fs, _ = _hadoop(spark, path)
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{LOG}")
+    names = [s.getPath().getName() for s in fs.listStatus(log)] if fs.exists(log) else []
+    return sorted(int(n[:20]) for n in names if len(n) == 25 and n[:20].isdigit() and n.endswith(".json"))
+
+
 def last_snapshot(spark: SparkSession, path: str) -> int:
-    """Number of the newest snapshot, 0 if there is none."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    done = [
-        int(n.split("=")[1]) for n in names
-        if n.startswith("snapshot=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-    ]
-    return max(done, default=0)
+    """Number of the newest commit, 0 if there is none."""
+    return max(commits(spark, path), default=0)
 
 
-def load_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(f"{path}/snapshot={last_snapshot(spark, path)}")
+def _commit_file(path: str, number: int) -> str:
+    return f"{path}/{LOG}/{number:020d}.json"
 
 
-def save_runs(runs: DataFrame, path: str) -> None:
-    """Write the whole table as a new snapshot; readers see the newest finished one.
+def data_of(spark: SparkSession, path: str, number: int) -> str:
+    """The folder that a commit names."""
+    text = spark.sparkContext.wholeTextFiles(_commit_file(path, number), 1).values().first()
+    return f"{path}/{json.loads(text)['data']}"
 
-    A snapshot is never written into: of two writers that pick the same number one fails.
+
+def put_commit(spark: SparkSession, path: str, number: int, data: str) -> None:
+    """Put commit `number`, which makes the folder `data` the table, unless it is there.
+
+    The file is written aside and moved into place whole; the move is refused if the place is taken, so of two
+    writers one gets a `Conflict`. A writer that dies before leaves files that nothing names.
+    """
+    jvm = spark._jvm
+    _, fs, context = _hadoop(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}/{LOG}/.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
+    out.write(bytearray(json.dumps({"number": number, "data": data}).encode()))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        context.rename(aside, jvm.org.apache.hadoop.fs.Path(_commit_file(path, number)), options)
+    except Py4JJavaError as error:
+        fs.delete(aside, False)
+        if "FileAlreadyExistsException" in str(error.java_exception.toString()):
+            raise Conflict(f"commit {number} of {path} is there already") from None
+        raise
+
+
+def load_runs(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The table as of commit `number`, or of the newest. What another writer commits meanwhile changes nothing."""
+    number = last_snapshot(spark, path) if number is None else number
+    if number == 0:
+        raise FileNotFoundError(f"no runs at {path}")
+    return spark.read.schema(RUNS).parquet(data_of(spark, path, number))
+
+
+def change_runs(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Commit what `change` makes of the newest table (an empty one at first), and return the table committed.
+
+    Data is written to a folder of its own first, then the commit that follows the one read is put. If another
+    writer was faster, the change is worked out anew from that writer's table, so no change is lost.
     """
-    number = last_snapshot(runs.sparkSession, path) + 1
-    runs.select(*RUNS.names).write.mode("error").parquet(f"{path}/snapshot={number}")
+    for _ in range(RETRIES):
+        number = last_snapshot(spark, path)
+        old = load_runs(spark, path, number) if number else spark.createDataFrame([], RUNS)
+        data = f"data-{uuid.uuid4().hex}"
+        change(old).select(*RUNS.names).write.mode("error").parquet(f"{path}/{data}")
+        try:
+            put_commit(spark, path, number + 1, data)
+        except Conflict:
+            continue
+        return load_runs(spark, path, number + 1)
+    raise Conflict(f"{path} changed {RETRIES} times meanwhile")
+
+
+def save_runs(runs: DataFrame, path: str) -> None:
+    """Make `runs` the whole table, whatever it was."""
+    change_runs(runs.sparkSession, path, lambda old: runs)
+
+
+def vacuum_runs(spark: SparkSession, path: str, keep: int = 10, older_than_hours: float = 24.0) -> int:
+    """Remove data folders that none of the last `keep` commits names; younger ones may be a writer's at work."""
+    root, fs, _ = _hadoop(spark, path)
+    held = {data_of(spark, path, n).rsplit("/", 1)[1] for n in commits(spark, path)[-keep:]}
+    before = 1000 * (time.time() - 3600 * older_than_hours)
+    gone = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("data-")
+            and s.getPath().getName() not in held and s.getModificationTime() <= before]
+    for folder in gone:
+        fs.delete(folder, True)
+    return len(gone)
 
 
 def last_versions(spark: SparkSession, path: str) -> dict[str, int]:
@@ -74,20 +161,17 @@ def last_versions(spark: SparkSession, path: str) -> dict[str, int]:
 
 
 def log_runs(runs: DataFrame, path: str) -> None:
-    """Add records in a new snapshot. A record without version gets the next one of its run."""
-    spark = runs.sparkSession
-    if last_snapshot(spark, path) == 0:
-        save_runs(runs.fillna(1, ["version"]), path)
-        return
-    old = load_runs(spark, path)
-    known = old.groupBy("run_id").agg(F.max("version").alias("last"))
-    given = runs.join(known, "run_id", "left").withColumn(
-        "version", F.coalesce(F.col("version"), F.col("last") + 1, F.lit(1))
-    )
-    taken = given.where(F.col("version") <= F.col("last")).select("run_id").first()
-    if taken is not None:
-        raise ValueError(f"run {taken['run_id']} has this or a later version already")
-    save_runs(old.unionByName(given.select(*RUNS.names)), path)
+    """Add records. A record without version gets the next one of its run."""
+    def add(old: DataFrame) -> DataFrame:
+        known = old.groupBy("run_id").agg(F.max("version").alias("last"))
+        given = runs.join(known, "run_id", "left").withColumn(
+            "version", F.coalesce(F.col("version"), F.col("last") + 1, F.lit(1)))
+        taken = given.where(F.col("version") <= F.col("last")).select("run_id").first()
+        if taken is not None:
+            raise ValueError(f"run {taken['run_id']} has this or a later version already")
+        return old.unionByName(given.select(*RUNS.names))
+
+    change_runs(runs.sparkSession, path, add)
 
 
 def current(runs: DataFrame) -> DataFrame:

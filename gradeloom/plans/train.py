@@ -12,7 +12,7 @@ from gradeloom.operators.model import (
 from gradeloom.operators.prefix import latest
 from gradeloom.operators.report import prediction_folders
 from gradeloom.operators.runs import (
-    champion, hold_best, last_snapshot, last_versions, load_runs, log_runs, new_runs, promoted, query_runs, save_runs,
+    champion, change_runs, hold_best, last_snapshot, last_versions, load_runs, log_runs, new_runs, promoted, query_runs,
     top_per_algorithm,
 )
 from gradeloom.operators.sample import SPLIT_SEED, TEST_RATIO, balance, split
@@ -90,9 +90,8 @@ def train_models(splits: DataFrame, runs_path: str, models_path: str, candidates
 
 def promote(spark, runs_path: str, candidates: int = CANDIDATES, algorithms: list[str] = ALGORITHMS,
             update_champion: bool = True) -> DataFrame:
-    """Hold the best of each algorithm, assign stages anew, write the next snapshot without all others."""
-    save_runs(promoted(load_runs(spark, runs_path), candidates, algorithms, update_champion), runs_path)
-    return load_runs(spark, runs_path)
+    """Hold the best of each algorithm, assign stages anew, commit the table without all others."""
+    return change_runs(spark, runs_path, lambda old: promoted(old, candidates, algorithms, update_champion))
 
 
 def update_models(splits: DataFrame, runs_path: str, models_path: str, candidates: int = CANDIDATES,
@@ -102,10 +101,12 @@ def update_models(splits: DataFrame, runs_path: str, models_path: str, candidate
 
     Each is loaded, fitted again as a new version (`refit`), given a cutoff anew (`sweep`) and tested again. A
     new version takes its run's stage; the version before it loses its own, so the next table has one row a
-    run. Runs are at most `candidates` and a champion after retention.
+    run. Runs are at most `candidates` and a champion after retention. Renewed rows and stages are one commit.
     """
     spark, train, test = splits.sparkSession, part(splits, "train"), part(splits, "test")
-    rows = hold_best(load_runs(spark, runs_path), candidates, algorithms).where(F.col("stage").isNotNull()).collect()
+    table = load_runs(spark, runs_path)
+    known = table.select("run_id", "version").collect()  # candidates and what was logged since the last promotion
+    rows = hold_best(table, candidates, algorithms).where(F.col("stage").isNotNull()).collect()
     whole = materialize(balance(train, method, FEATURES)) if refit else None
     last, renewed = last_versions(spark, runs_path), []
     for run in rows:
@@ -120,8 +121,15 @@ def update_models(splits: DataFrame, runs_path: str, models_path: str, candidate
             save_model(built, models_path)
         built.model = None
         renewed.append(built)
-    save_runs(new_runs(spark, [b.record() for b in renewed]), runs_path)
-    return promote(spark, runs_path, candidates, algorithms)
+    ours = new_runs(spark, [b.record() for b in renewed])
+    seen = spark.createDataFrame([(r["run_id"], r["version"]) for r in known], "run_id string, version int")
+
+    def renew(old: DataFrame) -> DataFrame:
+        # what was logged while models were fitted stays in the competition
+        later = old.join(seen, ["run_id", "version"], "left_anti")
+        return promoted(ours.unionByName(later.select(*ours.columns)), candidates, algorithms)
+
+    return change_runs(spark, runs_path, renew)
 
 
 def batch_score(model: PipelineModel, activity: DataFrame, groups: dict = EXAM_GROUPS,
@@ -132,10 +140,12 @@ def batch_score(model: PipelineModel, activity: DataFrame, groups: dict = EXAM_G
 
 
 def score_with_champion(activity: DataFrame, runs_path: str, models_path: str, out_path: str | None = None,
-                        groups: dict = EXAM_GROUPS, hot_limit: int | None = HOT_LIMIT) -> DataFrame:
+                        groups: dict = EXAM_GROUPS, hot_limit: int | None = HOT_LIMIT,
+                        scoring_id: str | None = None) -> DataFrame:
     """Probabilities and classes by the stored champion and its own cutoff, with the time of scoring.
 
-    With `out_path` they are appended to the prediction sink; the time tells scorings apart.
+    With `out_path` they are put into the prediction sink under `scoring_id`, in place of what the same scoring put
+    there before: by default the scoring of a course up to a step by a version of a run.
     """
     spark = activity.sparkSession
     run = champion(load_runs(spark, runs_path)).first()
@@ -148,7 +158,10 @@ def score_with_champion(activity: DataFrame, runs_path: str, models_path: str, o
         F.current_timestamp().alias("scored_at"))
     scored = prediction_folders(scored, activity)
     if out_path is not None:
-        write_predictions(scored, out_path)
+        if scoring_id is None:
+            slice_ = scored.select("course_name", "step").first()  # the same in all rows
+            scoring_id = f"{run['run_id']}-v{run['version']}" + (f"-{slice_['course_name']}-{slice_['step']}" if slice_ else "")
+        write_predictions(scored, out_path, scoring_id=scoring_id)
     return scored
 
 

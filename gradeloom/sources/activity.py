@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gradeloom.functions.scalars import real, repaired_term
 from gradeloom.operators.blocks import numbered
 from gradeloom.schema import ACTIVITY, EXPORT_COLUMNS
+from gradeloom.session import materialize
 
 
 # Words of a text table that stand for a missing value.
@@ -57,24 +61,103 @@ def read_activity(spark: SparkSession, path: str, format: str = "parquet", multi
     return conform(filter_activity(spark.read.format(format).load(path), **filters))
 
 
-def ingest_export(spark: SparkSession, csv_path: str, out_path: str, multiline: bool = False) -> DataFrame:
-    """Turn a gradebook export (CSV with `;`, its own column names) into the activity table, once.
+#: Rows are laid out by these, so that a filter on either finds few files and row groups.
+LAYOUT = ["course_name", "learner_id"]
+#: Columns with a Bloom filter in each row group, for values that lie within its range but are not there.
+BLOOMED = ["learner_id", "learner_no"]
+
+
+def write_log(df: DataFrame, path: str, layout: list[str] = LAYOUT, bloomed: list[str] = BLOOMED, row_group_bytes: int | None = None,
+              files: int | None = None) -> None:
+    """Write a log whose files and row groups can be skipped.
+
+    Rows are dealt to files by ranges of `layout` and lie in that order, then by step, so a row group holds few
+    courses and learners; its least and greatest values rule out most filters on them. `bloomed` columns that the log
+    has get a Bloom filter a row group, which rules out a learner that is between two others. `files` is Spark's
+    number of shuffle partitions if not given; smaller `row_group_bytes` skip more and read slower in full.
+    """
+    order = [c for c in [*layout, "step"] if c in df.columns]
+    spread = df.repartitionByRange(*([files] if files else []), *[c for c in layout if c in df.columns], "row_id")
+    writer = spread.sortWithinPartitions(*order).write.mode("overwrite")
+    for c in bloomed:
+        if c in df.columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
 
-    The order of lines in the export matters, so each row gets its number in it. Words for a missing value
-    and numbers that are none become null, see `rejected`. Rows lie by course and step within their files, so
-    that filters on them skip most. Later jobs read the Parquet table.
+
+HELD = "row_id long, file string, record string, faults array<struct<column:string,text:string>>"
+
+
+def sorted_out(raw: DataFrame, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Numbered text rows parted into those that conform and those that are held: (rows, held).
+
+    `raw` has the columns of `names` (of the export: ours), row_id, file and, where a line has not as many fields as the
+    header, its text as `broken`. A row is held if it is broken or a text is there that is no value of its column's type.
+    `record` is the line, put together again where it isn't broken; `faults` names the columns and their texts.
     """
-    raw = spark.read.csv(csv_path, sep=";", header=True, multiLine=multiline, escape='"')
+    ours = raw.select("row_id", "file", "broken", *[F.col(theirs).alias(name) for theirs, name in names.items()])
+    ready = worded(ours)
+    fields = [f for f in ACTIVITY if f.name in names.values()]
+    bad = [F.when(F.col(f.name).isNotNull() & typed(ready, f).isNull(), F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("text")))
+           for f in fields]
+    line = F.to_csv(F.struct(*[F.col(n) for n in names.values()]), {"sep": ";", "quote": '"', "escape": '"', "nullValue": ""})
+    broken = F.array(F.struct(F.lit("").alias("column"), F.col("broken").alias("text")))
+    ready = ready.withColumn("faults", F.when(F.col("broken").isNotNull(), broken).otherwise(F.array_compact(F.array(*bad))))
+    held = ready.where(F.size("faults") > 0).select("row_id", "file", F.coalesce("broken", line).alias("record"), "faults")
+    return conform(ready.where(F.size("faults") == 0)), held
+
+
+def read_export(spark: SparkSession, csv_path: str, multiline: bool = False) -> DataFrame:
+    """The export's lines as text columns with row_id, their number in the order of files and lines, file and broken."""
+    header = spark.read.csv(csv_path, sep=";", header=True, escape='"').columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "broken"]])
+    raw = spark.read.csv(csv_path, sep=";", header=True, multiLine=multiline, escape='"', schema=schema,
+                         mode="PERMISSIVE", columnNameOfCorruptRecord="broken")
     place = ["file_path", "file_block_start", "line"]
-    raw = raw.select(
-        *[F.col(theirs).alias(ours) for theirs, ours in EXPORT_COLUMNS.items()],
-        "_metadata.file_path", "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("line"),
-    )
-    conform(numbered(raw, place)).sortWithinPartitions("course_name", "step").write.mode("overwrite").parquet(out_path)
+    raw = raw.select(*[F.col(c) for c in header], "broken", "_metadata.file_path", "_metadata.file_block_start",
+                     F.monotonically_increasing_id().alias("line"))
+    return numbered(raw, place).withColumnRenamed("file_path", "file").drop("file_block_start", "line")
+
+
+def ingest_export(spark: SparkSession, csv_path: str, out_path: str, multiline: bool = False, held_path: str | None = None) -> DataFrame:
+    """Turn a gradebook export (CSV with `;`, its own column names) into the activity table, once.
+
+    The order of lines in the export matters, so each row gets its number in it. Words for a missing value become null.
+    Numbers that are none become null too, see `rejected`; with `held_path` lines with such texts, or with too few or
+    too many fields, are held instead: written there with file, number, text and what is wrong, see `release`. Every line
+    is then in one of the two tables. The table is laid out by `write_log`. Later jobs read it, not the export.
+    """
+    if held_path is None:
+        raw = spark.read.csv(csv_path, sep=";", header=True, multiLine=multiline, escape='"')
+        place = ["file_path", "file_block_start", "line"]
+        raw = raw.select(
+            *[F.col(theirs).alias(ours) for theirs, ours in EXPORT_COLUMNS.items()],
+            "_metadata.file_path", "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("line"),
+        )
+        write_log(conform(numbered(raw, place)), out_path)
+        return spark.read.parquet(out_path)
+    lines = materialize(read_export(spark, csv_path, multiline))  # numbered once, so that both tables agree
+    rows, held = sorted_out(lines, EXPORT_COLUMNS)
+    write_log(rows, out_path)
+    held.write.mode("overwrite").parquet(held_path)
     return spark.read.parquet(out_path)
 
 
+def release(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Held lines, their `record` put right by hand or rule, as activity rows; and those that still don't conform.
+
+    A record has the activity's columns as `sorted_out` writes them. Numbers of lines stay, so rows go back to their places.
+    """
+    ours = list(EXPORT_COLUMNS.values())
+    fields = F.from_csv("record", ", ".join(f"`{c}` string" for c in ours) + ", broken string",
+                        {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    raw = held.select("row_id", "file", fields.alias("r")).select("row_id", "file", "r.*")
+    return sorted_out(raw, {c: c for c in ours})
+
+
 def filter_activity(
     df: DataFrame,
     course_name: str | None = None,
@@ -142,9 +225,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_predictions(df: DataFrame, path: str, format: str = "json") -> None:
-    """Append predictions, as JSON below course and step folders or as CSV with a header."""
+def write_predictions(df: DataFrame, path: str, format: str = "json", scoring_id: str | None = None) -> None:
+    """Put predictions into the sink, as JSON below course and step folders or as CSV with a header.
+
+    With `scoring_id` they lie below a folder of that name and replace what a scoring of the same name left there: rows
+    are written aside, whole, and the folder is then put in place of the old one. So a job can be run again, and one
+    that dies leaves the old rows or, between two moves, none, never half or double ones. Without, rows are appended.
+    """
+    if scoring_id is None:
+        target, mode = path, "append"
+    else:
+        target, mode = f"{path}/.writing-{uuid.uuid4().hex}", "error"
     if format == "csv":
-        df.write.mode("append").option("header", True).csv(path)
+        df.write.mode(mode).option("header", True).csv(target)
     else:
-        df.write.mode("append").partitionBy("course_name", "step").json(path)
+        df.write.mode(mode).partitionBy("course_name", "step").json(target)
+    if scoring_id is not None:
+        jvm = df.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(f"{path}/scoring_id={quote(scoring_id, safe='')}")
+        fs = place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+        fs.delete(place, True)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(target), place):
+            raise OSError(f"{place.toString()} could not be put in place")
