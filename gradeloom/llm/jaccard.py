@@ -29,6 +29,12 @@ FANOUT = 16
 TURNS = 1
 #: Sets that one task takes of one candidate group; larger groups are cut into such parts.
 PART = 1024
+#: Bits of the table by which documents are picked.
+BITS = 24
+#: A set with at most so many meetings takes their list along, by which a pair is put out at one of them alone.
+LISTED = 64
+#: Texts unpacked at a time.
+UNPACKED = 128
 
 
 def rare_first(docs: DataFrame) -> np.ndarray:
@@ -106,15 +112,17 @@ def least_overlap(n, m):
 
 
 def sizes(docs: DataFrame, level) -> DataFrame:
-    """(id, signature, n) of every document."""
+    """(id, signature, n, point) of every document; a point holds the counts of the groups, and is null for no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sign, n = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            sign, n, point = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
             for i, keys in sets_of(batch.column(1), level.value):
                 sign[i], n[i] = signature(keys), len(keys)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sign), pa.array(n)], names=["id", "signature", "n"])
+                point[i] = packed_point(keys) if len(keys) else None
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sign), pa.array(n), pa.array(point, pa.binary())], names=["id", "signature", "n", "point"])
 
-    return docs.mapInArrow(run, "id long, signature long, n long")
+    return docs.mapInArrow(run, "id long, signature long, n long, point binary")
 
 
 def postings(docs: DataFrame, level) -> DataFrame:
@@ -138,23 +146,56 @@ def postings(docs: DataFrame, level) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, signature long, n int")
 
 
-def members(docs: DataFrame, level) -> DataFrame:
-    """(signature, n, point, text) of the given documents; a point holds the counts of the groups, text is packed."""
+def wanted_bits(ids: DataFrame) -> np.ndarray:
+    """A bit for each value of 24 bits that an id of the table hashes to; a fixed 2 MB, however many ids there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
+        bits = np.zeros(1 << BITS, bool)
         for batch in batches:
-            sign, n, point, text = [], [], [], []
-            for i, keys in sets_of(batch.column(1), level.value):
-                if len(keys):
-                    sign.append(signature(keys))
-                    n.append(len(keys))
-                    point.append(packed_point(keys))
+            bits[id_bit(batch.column(0).to_numpy())] = True
+        press = zstandard.ZstdCompressor(level=1)
+        parts = [press.compress(np.packbits(p).tobytes()) for p in bits.reshape(SLICES, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array(parts)], names=["slice", "bits"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, bits in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                total[at] = total.get(at, 0) | np.frombuffer(zstandard.ZstdDecompressor().decompress(bits.as_py()), np.uint8)
+        if total:
+            press = zstandard.ZstdCompressor(level=1)
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([press.compress(x.tobytes()) for x in total.values()])], names=["slice", "bits"])
+
+    out = np.zeros((SLICES, (1 << BITS) // SLICES), bool)
+    for r in ids.mapInArrow(run, "slice long, bits binary").repartition(SLICES, "slice").mapInArrow(join, "slice long, bits binary").collect():
+        out[r.slice] = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.bits)), np.uint8)).astype(bool)
+    return out.ravel()
+
+
+def id_bit(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def packed_texts(docs: DataFrame, ids: DataFrame, level) -> DataFrame:
+    """(signature, text) of the documents of these ids, once a signature; a few others, whose bit is the same, too.
+
+    Documents are picked where they lie, by a bit, so that only their texts travel, packed.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(wanted_bits(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press, seen = zstandard.ZstdCompressor(level=3), set()
+        for batch in batches:
+            batch = batch.filter(pa.array(bits.value[id_bit(batch.column(0).to_numpy())]))
+            sign, text = [], []
+            for i, keys in sets_of(batch.column(1), level.value) if batch.num_rows else ():
+                if len(keys) and (s := signature(keys)) not in seen:
+                    seen.add(s)
+                    sign.append(s)
                     text.append(press.compress(batch.column(1)[i].as_buffer()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sign, pa.int64()), pa.array(n, pa.int32()), pa.array(point, pa.binary()), pa.array(text, pa.binary())],
-                names=["signature", "n", "point", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(sign, pa.int64()), pa.array(text, pa.binary())], names=["signature", "text"])
 
-    return docs.mapInArrow(run, "signature long, n int, point binary, text binary")
+    # rows of one signature are the same set; one of them goes on
+    return docs.mapInArrow(run, "signature long, text binary").groupBy("signature").agg(F.first("text").alias("text"))
 
 
 def packed_point(keys: np.ndarray) -> bytes:
@@ -237,42 +278,49 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "n", "point", "m", "other").mapInArrow(can_link, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, level) -> DataFrame:
-    """Those of the distinct pairs (a, b) that link. A set that leads very many pairs is dealt over many cells."""
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, level) -> DataFrame:
+    """Those of the distinct pairs (a, b) that link, by the texts of their sets' first documents. A set that leads very many pairs is dealt over many cells."""
     def star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links of each cell's first set with the others: rows (cell, rank, signature, text) by cell and rank."""
         press = zstandard.ZstdDecompressor()
         cell = lead = lead_keys = None
-        for batch in batches:
-            texts = pa.array([press.decompress(x) for x in batch.column(3).to_pylist()], pa.binary()).cast(pa.string())
-            found = []
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), sets_of(texts, level.value), strict=True)
-            for own, rank, sign, (_, keys) in rows:
-                if rank == 0:
-                    cell, lead, lead_keys = own, sign, keys
-                elif own == cell and overlap(keys, lead_keys) >= least_overlap(len(keys), len(lead_keys)):
-                    found.append((lead, sign))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, UNPACKED):
+                batch = whole.slice(at, UNPACKED)
+                texts = pa.array([press.decompress(x) for x in batch.column(3).to_pylist()], pa.binary()).cast(pa.string())
+                found = []
+                rows = zip(*(batch.column(i).to_pylist() for i in range(3)), sets_of(texts, level.value), strict=True)
+                for own, rank, sign, (_, keys) in rows:
+                    if rank == 0:
+                        cell, lead, lead_keys = own, sign, keys
+                    elif own == cell and overlap(keys, lead_keys) >= least_overlap(len(keys), len(lead_keys)):
+                        found.append((lead, sign))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     wide = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("cells")).withColumnRenamed("a", "lead")
     followers = pairs.join(wide, F.col("a") == F.col("lead")).select(
         F.xxhash64("a", F.pmod(F.xxhash64("b", F.lit("cell")), "cells")).alias("cell"), F.lit(1).alias("rank"), F.col("b").alias("s"))
     leaders = wide.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - F.lit(1).cast("long"))).alias("at")).select(
         F.xxhash64("lead", "at").alias("cell"), F.lit(0).alias("rank"), F.col("lead").alias("s"))
-    rows = leaders.unionAll(followers).join(sets.select("signature", "text"), F.col("s") == F.col("signature"))
+    asked = pairs.select(F.col("a").alias("s")).unionAll(pairs.select("b")).distinct()
+    ids = sets.join(asked, F.col("signature") == F.col("s"), "left_semi").select("first")
+    rows = leaders.unionAll(followers).join(packed_texts(docs, ids, level), F.col("s") == F.col("signature"))
     rows = rows.select("cell", "rank", "signature", "text").repartition("cell").sortWithinPartitions("cell", "rank")
     return rows.mapInArrow(star_links, "a long, b long")
 
 
 def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that an R-tree over each cell leaves: rows (cell, side, signature, n, component, point).
+    """Pairs that an R-tree over each cell leaves: rows (cell, side, signature, n, component, point, shingle, meetings).
 
-    A cell holds one part of a candidate group, or two to be joined. Only sets of different components are paired.
+    A cell holds one part of a candidate group, or two to be joined. Only sets of different components are paired, and
+    two sets with known meetings at the first they share alone.
     """
     for group in whole_groups(batches):
         cell, both, sign, n, component = (group.column(i).to_numpy() for i in range(5))
         points = points_of(group.column(5))
+        here, meetings = group.column(6).to_numpy(), group.column(7).to_pylist()
+        known = [None if m is None else set(m) for m in meetings]
         n = n.astype(np.int64)
         cuts, out_a, out_b = bounds(cell), [], []
         for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -282,9 +330,14 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             a, b = RTree(points[right], n[right]).near(points[left], n[left])
             a, b = left[a], right[b]
-            apart = component[a] != component[b]
-            out_a.append(np.minimum(sign[a], sign[b])[apart])
-            out_b.append(np.maximum(sign[a], sign[b])[apart])
+            apart = (component[a] != component[b]) & ((sign[a] < sign[b]) | (side.min() != side.max()))
+            a, b = a[apart], b[apart]
+            own = int(here[first])
+            new = np.array([known[i] is None or known[j] is None or own == min(known[i] & known[j])
+                            for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+            a, b = a[new], b[new]
+            out_a.append(np.minimum(sign[a], sign[b]))
+            out_b.append(np.maximum(sign[a], sign[b]))
         if out_a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
@@ -293,9 +346,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id): documents linked by shingle sets of similarity 0.75 or more.
 
     Words lie between white space, A-Z lower-cased; a set holds the runs of five words, or all words as one
-    run if there are fewer. Texts without words, null or empty, link with nothing; rows that share a doc_id
-    share its links; a null doc_id takes no part and keeps a null component. Other columns are ignored. No
-    rows give no rows. component_id is the smallest doc_id reachable.
+    run if there are fewer. Texts without words, null or empty, link with nothing. Repeated rows are answered one by
+    one; texts that share a doc_id are connected, each row with its own n_shingles. A null doc_id takes no part and
+    keeps a null component. Other columns are ignored. No rows give no rows. component_id is the smallest doc_id reachable.
 
     Equal sets are one set with one signature. Sets meet if the rarest quarter of their shingles has one in
     common, which similar sets always have. Sets that meet at a shingle are first linked with a few of their
@@ -314,17 +367,18 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     meet = meet.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int"))
     meet = meet.select("shingle", "signature", "n", "size", F.lag("signature").over(at).alias("before"), F.lead("signature").over(at).alias("after"))
     meet = meet.where("(before is not null and before <> signature) or (after is not null and after <> signature)")
-    meet = meet.select("shingle", "signature", "n", "size").distinct()
+    # written once, as the postings of all documents are its input and two plans go on from it
+    meet = materialize(meet.select("shingle", "signature", "n", "size").distinct())
     # shingles at which the same sets meet are as good as one
     who = meet.groupBy("shingle").agg(
         F.bit_xor(F.xxhash64("signature")).alias("x"), F.bit_xor(F.xxhash64("signature", F.lit("y"))).alias("y"), F.count(F.lit(1)).alias("c"))
     one = who.groupBy("x", "y", "c").agg(F.min("shingle").alias("m"))
     meet = materialize(meet.join(one, F.col("shingle") == F.col("m"), "left_semi"))
-    # one set for every signature that meets another, from its smallest document
+    # one set for every signature that meets another, with its smallest document; a doc_id may have several texts
     first = signed.where("id is not null and n > 0").groupBy("signature").agg(F.min("id").alias("first"))
-    wanted = meet.select("signature").distinct().join(first, "signature").select("first")
-    sets = members(named.join(wanted, F.col("id") == F.col("first"), "left_semi"), level)
-    sets = materialize(sets)
+    points_ = signed.where("id is not null and n > 0").groupBy("signature").agg(
+        F.min("id").alias("first"), F.first("n").cast("int").alias("n"), F.first("point").alias("point"))
+    sets = materialize(points_.join(meet.select("signature").distinct(), "signature", "left_semi"))
 
     links = tried = None
     left = meet.withColumn("component", F.col("signature"))
@@ -335,7 +389,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
             F.col("lead.signature").alias("a"), F.col("signature").alias("b")).distinct()
         stars = materialize(bounded(stars, sets))
         tried = stars if tried is None else tried.unionAll(stars)
-        found = materialize(verified(stars, sets, level))
+        found = materialize(verified(stars, sets, named, level))
         links = found if links is None else links.unionAll(found)
         known = components(links).withColumnRenamed("node", "k")
         left = meet.join(known, F.col("signature") == F.col("k"), "left").select(
@@ -346,16 +400,23 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     # two sets of one size class have met as leader and follower
     several = several.where("low <> high and (count > 2 or small <> large)").select(F.col("shingle").alias("m"), "parts")
     own = F.pmod(F.xxhash64("signature", F.lit("part")), F.col("parts")).cast("int")
-    cells = left.join(several, F.col("shingle") == F.col("m")).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = left.join(several, F.col("shingle") == F.col("m"))
+    counts = met.groupBy("signature").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= LISTED).select(F.col("signature").alias("k"))
+    lists = met.join(counts, F.col("signature") == F.col("k")).groupBy("k").agg(F.collect_list("shingle").alias("meetings"))
+    points = sets.select("signature", "point").join(lists, F.col("signature") == F.col("k"), "left").select(
+        F.col("signature").alias("s"), "point", "meetings")
+    cells = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "own",
-                         F.col("signature").alias("s"), "n", "component")
-    points = sets.select("signature", "point")
-    cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point")
+                         "signature", "n", "component", "shingle")
+    cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point", "shingle", "meetings")
     pairs = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(tree_pairs, "a long, b long").distinct()
     pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.unionAll(materialize(verified(materialize(pairs), sets, level)))
+    links = links.unionAll(materialize(verified(materialize(pairs), sets, named, level)))
 
+    # texts of one doc_id are one node
+    own = signed.where("id is not null and n > 0").groupBy("id").agg(F.min("signature").alias("a"), F.max("signature").alias("z"))
+    own = own.where("a <> z").withColumnRenamed("id", "i")
+    links = links.unionAll(signed.where("n > 0").join(own, F.col("id") == F.col("i")).where("signature <> a").select("a", F.col("signature").alias("b")))
     linked = components(links).withColumnRenamed("node", "k")
     firsts = first.join(linked, F.col("signature") == F.col("k"), "left").withColumn("component", F.coalesce("component", "signature"))
     smallest = firsts.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -365,6 +426,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that stand for their group of near copies: those whose doc_id is the smallest in it."""
+    """The documents that stand for their group of near copies: those whose doc_id is the smallest in it.
+
+    Documents without doc_id or without words stay; so does every row of a doc_id that stays, repeated ones too. All
+    columns are kept. No rows give no rows.
+    """
     kept = near_groups(docs).where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")

@@ -127,12 +127,13 @@ def score(docs: DataFrame, weights: dict[int, float], columns: list[str]) -> Dat
     bias = weights.get(-1, 0.0)
     places = np.array(sorted(b for b in weights if b >= 0), np.int32)
     values = np.array([weights[b] for b in places.tolist()])
+    sent = columns if "text" in columns else [*columns, "text"]  # the text travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.zeros(1 << BITS, bool)
         known[places] = True
         for batch in batches:
-            data, offsets = flat(batch.column(batch.num_columns - 1))
+            data, offsets = flat(batch.column(sent.index("text")))
             total = np.full(batch.num_rows, bias)
             for a, b in groups(offsets):
                 bucket, row = features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
@@ -143,7 +144,7 @@ def score(docs: DataFrame, weights: dict[int, float], columns: list[str]) -> Dat
                 [*(batch.column(i) for i in range(len(columns))), pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))], names=[*columns, "score"])
 
     ddl = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*columns, docs["text"].alias("_text")).mapInArrow(run, f"{ddl}, score double")
+    return docs.select(*sent).mapInArrow(run, f"{ddl}, score double")
 
 
 def remainder(doc_id: str, by: int) -> Column:
@@ -152,13 +153,21 @@ def remainder(doc_id: str, by: int) -> Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document; a third of the ids is held out of the learning."""
+    """doc_id, held_out, score and predicted of every document; a third of the ids is held out of the learning.
+
+    Null and empty texts have the score of the constant alone, a null doc_id is hashed as the empty text. Repeated rows
+    are answered one by one; other columns are ignored. No rows give no rows.
+    """
     weights = fit(docs, labels, remainder("doc_id", 3) != 1)
     return score(docs, weights, ["doc_id"]).select(
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
-    """`columns` of the documents that score below the limit, learned from all labelled ones among them."""
+    """`columns` of the documents that score below the limit, learned from all labelled ones among them.
+
+    Null and empty texts have the score of the constant alone; rows without doc_id are judged, but not learned from;
+    repeated rows all stay or all go. Without labels everything stays. No rows give no rows.
+    """
     weights = fit(docs, labels)
     return score(docs, weights, columns).where(F.col("score") < LEAST_SCORE).select(*columns)

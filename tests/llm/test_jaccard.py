@@ -91,3 +91,20 @@ def test_tree_loses_nothing():
     shared = np.minimum(points[:, None], points[None]).sum(axis=2)
     able = set(zip(*np.nonzero(shared >= jac.least_overlap(sizes[:, None], sizes[None])), strict=True))
     assert set(zip(*tree.near(points, sizes), strict=True)) == able and len(able) > 400
+
+
+def test_shared_ids_and_repeated_rows(spark, monkeypatch):
+    asked = []
+    kept = jac.bounded
+    monkeypatch.setattr(jac, "bounded", lambda pairs, sets: asked.append(sets.count()) or kept(pairs, sets))
+    a, b, c, d = ("a b c d e f g h", "one two three four five six seven eight", "n " * 9, "u v w x y z u w")
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join([*words[:-1], "other"])]
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, d), (5, None), (5, d), (None, a)] + [(100 + i, near[i % 2]) for i in range(200)]
+    got = {}
+    for r in jac.near_groups(spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.component_id)
+    assert {k: got[k] for k in (None, 1, 2, 3, 4, 5)} == {None: {None}, 1: {1}, 2: {1}, 3: {1}, 4: {4}, 5: {4, 5}}
+    assert all(got[i] == {100} for i in range(100, 300))
+    # a row without words keeps its own id
+    assert asked and max(asked) == 2  # two texts two hundred times over are two sets
