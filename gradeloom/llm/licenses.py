@@ -53,6 +53,8 @@ def templates(spark: SparkSession) -> DataFrame:
         parts = re.findall(r"[a-z0-9]+", text.lower())
         rows += [(number, label, exact, place, len(parts) - K + 1, *parts[place:place + K])
                  for place in range(len(parts) - K + 1)]
+    if any(grams > 64 for *_, grams, _, _ in rows):
+        raise ValueError("a wording of more than 65 words has more places than a vote has bits")
     pairs = spark.createDataFrame(
         rows, "template int, label string, exact boolean, place int, grams int, t0 string, t1 string")
     return pairs.withColumn("gram", F.xxhash64("t0", "t1"))

@@ -76,7 +76,7 @@ VALID = {
 
 
 def rated(kind: str):
-    return lambda match, around: F.lit(START[kind]) + F.when(around.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
+    return lambda match, around: F.least(F.lit(1.0), F.lit(START[kind]) + F.when(around.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

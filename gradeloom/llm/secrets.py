@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -75,12 +77,14 @@ def secret_spans(text: str, compressor: zstandard.ZstdCompressor) -> list[tuple[
     if any(word in low for word in NEEDED):
         found += [(m.start(), m.end(), 0, -1.0) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
         base = sorted(x[:2] for x in found)
+        starts, reach = [a for a, _ in base], list(accumulate((b for _, b in base), max))
 
         def measured(start: int, end: int) -> bool:
             word = text[start:end]
             if end - start < LEAST_LENGTH or not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
                 return False
-            if any(a < end and start < b for a, b in base):
+            before = bisect_left(starts, end)  # spans that start before the end
+            if before and reach[before - 1] > start:
                 return False
             # the candidate's own repeats nearby don't make it known
             around = text[max(0, start - SURROUNDINGS):start] + "\n" + text[end:end + SURROUNDINGS] + "\n"

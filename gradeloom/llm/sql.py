@@ -54,10 +54,15 @@ doc_runs as (
 item_runs as (
   select distinct id, array_to_string(w[i:i + 4], ' ') as run
   from (select id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from items where len(w) > 0)),
+doc_phrases as (
+  select distinct id, array_to_string(w[i:i + k - 1], ' ') as run
+  from (select id, w, k, unnest(range(1, len(w) - k + 2)) as i
+    from docs, (select distinct len(w) as k from items where len(w) between 1 and 4) where len(w) >= k)),
+all_runs as (select * from doc_runs union select * from doc_phrases),
 sizes as (select id, count(*) as n from item_runs group by id)
 select d.id as doc_id, i.id as item_id, any_value(n) as n_shingles, count(*) as n_shared,
   count(*) / any_value(n)::double as containment
-from item_runs i join doc_runs d using (run) join sizes s on s.id = i.id
+from item_runs i join all_runs d using (run) join sizes s on s.id = i.id
 group by d.id, i.id having 100 * count(*) >= 75 * any_value(n)
 """
 

@@ -50,6 +50,10 @@ def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
+    largest = np.abs(rows).max(axis=1, initial=0, keepdims=True)
+    # only where squares would leave double precision, so that ordinary vectors keep their last bits
+    extreme = (largest > 1e100) | (largest < 1e-100)
+    rows = np.where(extreme, rows / np.where(extreme & (largest > 0), largest, 1), rows)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 

@@ -119,9 +119,10 @@ def runs(text):
 def check_items(texts, item_texts, rows):
     want = {}
     for d, t in texts.items():
-        own = runs(t)
         for i, it in item_texts.items():
-            s = runs(it)
+            s, k = runs(it), len(split(it)) if it else 0
+            w = split(t) if t else []
+            own = runs(t) if k >= 5 else {tuple(w[j:j + k]) for j in range(len(w) - k + 1)}
             if s and 100 * len(s & own) >= 75 * len(s):
                 want[d, i] = (len(s), len(s & own))
     assert {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in rows} == want
@@ -154,6 +155,21 @@ def test_only_sketches_propose_pairs(spark, docs):
     marked = {tuple(r[f"i{j}"] for j in range(5)) for r in table.where("sketch").collect()}
     assert 0 < len(marked) < table.count()
     texts = [" ".join(passage[i:i + 5]) for i in range(56)] + ["one two", "one two three four five", " ".join(passage)]
-    got = {(r.c_doc, r.c_item) for r in candidates(docs(texts), table).collect()}
-    assert got == {(i, 0) for i in range(56) if tuple(passage[i:i + 5]) in marked} | {(56, 1), (58, 0)}
-    assert {(r.doc_id, r.item_id) for r in contained_items(docs(texts), bench).collect()} == {(56, 1), (58, 0)}
+    got = {(r.c_doc, r.c_item) for r in candidates(docs(texts), table, [2]).collect()}
+    assert got == {(i, 0) for i in range(56) if tuple(passage[i:i + 5]) in marked} | {(56, 1), (57, 1), (58, 0)}
+    assert {(r.doc_id, r.item_id) for r in contained_items(docs(texts), bench).collect()} == {(56, 1), (57, 1), (58, 0)}
+
+
+def test_short_items_inside_long_texts(spark, docs):
+    filler = " ".join(f"f{i}" for i in range(3000))
+    its = ["Paris is nice", "zig zag", "alone", "a b c d", "one two three four five", "", "Paris is nice"]
+    texts = ["so they say paris is nice and more words here", filler + " Zig, zag! " + filler, "paris is very nice", "alone", "not alone here",
+             "a b c d", "x a b c d y", "a b c", "a b x c d", "zig", None, "", "one two three four", "zag zig zag zig"]
+    table, bench = docs(texts), items(spark, its)
+    want = check_items(dict(enumerate(texts)), dict(enumerate(its)), contained_items(table, bench).collect())
+    assert {(0, 0), (0, 6), (1, 1), (3, 2), (4, 2), (5, 3), (6, 3), (13, 1)} == set(want)
+    con = __import__("duckdb").connect()
+    con.register("documents", table.select("doc_id", "text").toPandas())
+    con.register("benchmark", bench.toPandas())
+    from gradeloom.llm.sql import CONTAINED
+    assert {r[:2] for r in con.execute(f"select doc_id, item_id from ({CONTAINED})").fetchall()} == set(want)

@@ -6,6 +6,7 @@ import re
 import string
 
 import pytest
+import zstandard
 from llm_support import docs, documents  # noqa: F401
 
 from gradeloom.llm.secrets import find_secrets, secrets_digest
@@ -68,3 +69,19 @@ def test_every_run_behind_a_sensitive_word_is_measured(docs):  # noqa: F811
     assert found[1] == found[2] == [("novel", KEY)]
     assert found[3] and found[3][0][1].endswith(KEY)
     assert found[4] == found[5] == []
+
+
+def test_overlaps_with_base_spans_take_time_in_proportion():
+    import time
+
+    from gradeloom.llm.secrets import DICTIONARY, secret_spans
+
+    compressor = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(DICTIONARY, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+    part = "token=abcd1234efgh5678 secret key Zk9fQ2vX7mLp3RtY8wN1 and text between the words; "
+    took = []
+    for times in (1000, 8000):
+        began = time.process_time()
+        spans = secret_spans(part * times, compressor)
+        took.append(time.process_time() - began)
+        assert len(spans) == 2 * times
+    assert took[1] < 8 * 3 * max(took[0], 0.02)

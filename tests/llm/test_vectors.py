@@ -37,7 +37,16 @@ def reach(links, ids):
 
 
 def test_table_recall(spark):
-    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    table = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    # its own rows have no near pair, so near ones are planted: three hundred, at cosines from 0.9 on
+    draw, base = np.random.default_rng(8), [r.embedding for r in table.orderBy("vec_id").limit(300).collect()]
+    planted = []
+    for i, v in enumerate(np.array(base, float)):
+        off = draw.standard_normal(len(v))
+        off -= off @ v / (v @ v) * v
+        cosine = draw.uniform(0.9, 0.96)
+        planted.append((10**6 + i, (v / np.linalg.norm(v) * cosine + off / np.linalg.norm(off) * np.sqrt(1 - cosine**2)).tolist()))
+    table = table.unionByName(spark.createDataFrame(planted, "vec_id long, embedding array<float>"))
     data = table.orderBy("vec_id").collect()
     m = np.array([r.embedding for r in data], float)
     m /= np.linalg.norm(m, axis=1, keepdims=True)
@@ -49,7 +58,7 @@ def test_table_recall(spark):
     rows = {r.vec_id: r for r in near_vectors(table).collect()}
     assert len(rows) == len(data)
     found = sum(r.n_links for r in rows.values())
-    assert 0.95 * near.sum() <= found <= near.sum()
+    assert near.sum() >= 2 * 290 and 0.95 * near.sum() <= found <= near.sum()
     assert all(rows[d].n_links <= len(links[i]) for i, d in enumerate(ids))
     assert np.mean([rows[d].component_id == want[i] for i, d in enumerate(ids)]) > 0.98
     assert all(r.kept == (r.vec_id == r.component_id) for r in rows.values())
@@ -109,3 +118,10 @@ def test_pairs_near_the_threshold_are_found_at_every_count(spark, monkeypatch, c
     got = np.array([found[i].n_links == 1 and found[i + 600].component_id == i for i in range(600)]).reshape(3, 200).mean(axis=1)
     print(count, real(count), got)
     assert (got >= 0.9).all(), got
+
+
+def test_very_large_and_small_doubles(spark):
+    base = [0.3, -0.2, 0.9, 0.1]
+    rows = [(i, [x * scale for x in base]) for i, scale in enumerate((1.0, 1e200, 1e-200, 1e305, 1e-300))] + [(9, [1e200, 1e200, 1e-200, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{i: (4, 0) for i in range(5)}, 9: (0, 9)}
