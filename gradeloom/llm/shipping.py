@@ -1,28 +1,5 @@
 """Sends this package to the executors, whose Python may not find it otherwise."""
 
-from __future__ import annotations
+from gradeloom.session import send_package as ship
 
-import os
-import tempfile
-import zipfile
-
-from pyspark.sql import SparkSession
-
-import gradeloom
-
-
-def ship(spark: SparkSession) -> None:
-    """Add the package's modules to the session's files, once a session. Tasks import them from there."""
-    context = spark.sparkContext
-    if getattr(context, "_gradeloom_shipped", False):
-        return
-    root = os.path.dirname(gradeloom.__file__)
-    target = os.path.join(tempfile.mkdtemp(prefix="gradeloom-"), "gradeloom_tasks.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
-    context.addPyFile(target)
-    context._gradeloom_shipped = True
+__all__ = ["ship"]
