@@ -31,8 +31,8 @@ TURNS = 1
 PART = 1024
 #: Bits of the table by which documents are picked.
 BITS = 24
-#: A set with at most so many meetings takes their list along, by which a pair is put out at one of them alone.
-LISTED = 64
+#: A set takes the first so many of its meetings along, by which a pair is put out at the first that both sets have.
+LISTED = 16
 #: Texts unpacked at a time.
 UNPACKED = 128
 
@@ -313,14 +313,15 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, level) -> DataF
 def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that an R-tree over each cell leaves: rows (cell, side, signature, n, component, point, shingle, meetings).
 
-    A cell holds one part of a candidate group, or two to be joined. Only sets of different components are paired, and
-    two sets with known meetings at the first they share alone.
+    A cell holds one part of a candidate group, or two to be joined. Only sets of different components are paired. Each
+    set brings its first meetings. What two such lists have in common holds the first meeting of both sets, if it is
+    anything, and the pair is put out there alone; else at each meeting.
     """
     for group in whole_groups(batches):
         cell, both, sign, n, component = (group.column(i).to_numpy() for i in range(5))
         points = points_of(group.column(5))
         here, meetings = group.column(6).to_numpy(), group.column(7).to_pylist()
-        known = [None if m is None else set(m) for m in meetings]
+        known = [set(m) for m in meetings]
         n = n.astype(np.int64)
         cuts, out_a, out_b = bounds(cell), [], []
         for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -333,8 +334,7 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             apart = (component[a] != component[b]) & ((sign[a] < sign[b]) | (side.min() != side.max()))
             a, b = a[apart], b[apart]
             own = int(here[first])
-            new = np.array([known[i] is None or known[j] is None or own == min(known[i] & known[j])
-                            for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+            new = np.array([own == min(known[i] & known[j], default=own) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
             a, b = a[new], b[new]
             out_a.append(np.minimum(sign[a], sign[b]))
             out_b.append(np.maximum(sign[a], sign[b]))
@@ -401,8 +401,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     several = several.where("low <> high and (count > 2 or small <> large)").select(F.col("shingle").alias("m"), "parts")
     own = F.pmod(F.xxhash64("signature", F.lit("part")), F.col("parts")).cast("int")
     met = left.join(several, F.col("shingle") == F.col("m"))
-    counts = met.groupBy("signature").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= LISTED).select(F.col("signature").alias("k"))
-    lists = met.join(counts, F.col("signature") == F.col("k")).groupBy("k").agg(F.collect_list("shingle").alias("meetings"))
+    # no longer than a set's prefix
+    lists = met.groupBy(F.col("signature").alias("k")).agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, LISTED).alias("meetings"))
     points = sets.select("signature", "point").join(lists, F.col("signature") == F.col("k"), "left").select(
         F.col("signature").alias("s"), "point", "meetings")
     cells = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
