@@ -134,14 +134,14 @@ def score(docs: DataFrame, weights: dict[int, float], columns: list[str]) -> Dat
         known[places] = True
         for batch in batches:
             data, offsets = flat(batch.column(sent.index("text")))
-            total = np.full(batch.num_rows, bias)
-            for a, b in groups(offsets):
+            for a, b in groups(offsets, 1 << 20):  # rows go back as they are done, so that little is held at a time
                 bucket, row = features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 hit = known[bucket]
                 bucket, row = once(bucket[hit], row[hit])
-                total[a:b] += np.bincount(row, weights=values[np.searchsorted(places, bucket)], minlength=b - a)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(columns))), pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))], names=[*columns, "score"])
+                total = bias + np.bincount(row, weights=values[np.searchsorted(places, bucket)], minlength=b - a)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i) for i in range(len(columns))), pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))], names=[*columns, "score"])
 
     ddl = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     return docs.select(*sent).mapInArrow(run, f"{ddl}, score double")
