@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +18,10 @@ from gradeloom.llm.subwords import subwords
 from gradeloom.session import materialize
 
 #: Ids of the tokenizer; the ids' own input vectors, others share one for each class; classes of the output,
-#: most for single frequent ids, one for the end, CROWDS for the rest by frequency; width of the model.
+#: most for single frequent ids, one for the end, CROWDS for the rest by frequency; width of the model. A class is
+#: told by its group of MEMBERS neighbours and its place there, so that 16 numbers are worked out and not 64.
 VOCABULARY, OWN, CLASSES, CROWDS, WIDTH = 49_408, 2_048, 64, 16, 16
+GROUPS = MEMBERS = 8
 END = CLASSES - CROWDS - 1
 #: A window sees CONTEXT ids and scores the last STRIDE of them; windows begin STRIDE apart.
 CONTEXT, STRIDE = 32, 16
@@ -27,10 +29,13 @@ CONTEXT, STRIDE = 32, 16
 #: most so many windows of them, so that all tasks start alike. Then they learn from all training documents.
 SAMPLE, WINDOWS = 1_000, 60_000
 BATCH, RATE = 64, 0.01
-#: Learning rates of the rounds over all training documents, each of which is in one round. In a round every task
-#: learns from its own documents, by batches of LOCAL_BATCH windows; then the weights are averaged, FAN at a time.
+#: Learning rates of the rounds over all training documents, each of which is in one round. In a round the documents
+#: are dealt by hash to shards of about SHARD inputs, whatever the partitions. Each shard learns apart, by batches of
+#: LOCAL_BATCH windows; then the weights are averaged, FAN at a time. Shards are dealt to at most TASKS tasks.
 ROUNDS = (0.004, 0.002)
-LOCAL_BATCH, FAN = 256, 64
+SHARD, LOCAL_BATCH, FAN, TASKS = 1 << 21, 128, 64, 20_000
+#: Windows worked out at a time, learning and scoring; what they need stays in a core's cache.
+LEARNED, SCORED = 128, 256
 #: Frequent words whose counts every task holds (16 bytes each); the counts of all others are joined.
 FREQUENT = 1 << 19
 
@@ -92,7 +97,9 @@ def sequences(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tu
 
 
 DISTANCE = np.arange(CONTEXT)[:, None] - np.arange(CONTEXT)
-CAUSAL = DISTANCE >= 0
+CAUSAL = (DISTANCE >= 0).astype(np.float32)
+#: Places of an input row's numbers.
+CELLS = np.arange(ROWS * WIDTH).reshape(ROWS, WIDTH)
 
 
 def start_weights(seed: int = 11) -> dict[str, np.ndarray]:
@@ -100,50 +107,120 @@ def start_weights(seed: int = 11) -> dict[str, np.ndarray]:
     draw = lambda *shape: (random.standard_normal(shape) * 0.2).astype(np.float32)
     return {"e": draw(ROWS, WIDTH), "q": draw(WIDTH, WIDTH), "k": draw(WIDTH, WIDTH), "v": draw(WIDTH, WIDTH),
             "r": draw(WIDTH, WIDTH), "far": np.zeros(CONTEXT, np.float32), "b": np.zeros(WIDTH, np.float32),
-            "u": draw(WIDTH, CLASSES), "c": np.zeros(CLASSES, np.float32)}
-
-
-def attend(score: np.ndarray, far: np.ndarray, there: np.ndarray, causal: np.ndarray, distance: np.ndarray) -> np.ndarray:
-    """Attention from scaled products, never to later or missing inputs."""
-    score = np.clip(score / np.float32(np.sqrt(WIDTH)) + far[np.maximum(distance, 0)], -30, 30)
-    weight = np.exp(score) * (causal & there[:, None, :])
-    return weight / np.maximum(weight.sum(axis=2, keepdims=True), np.float32(1e-30))
-
-
-def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss over a batch of windows and its gradient; all inputs that are there are scored."""
-    flat_ = lambda a: a.reshape(-1, a.shape[-1])
-    e = w["e"][x]
-    q, k, v = e @ w["q"], e @ w["k"], e @ w["v"]
-    a = attend(q @ k.transpose(0, 2, 1), w["far"], there, CAUSAL, DISTANCE)
-    h = np.tanh(a @ v + e @ w["r"] + w["b"])
-    z = np.clip(h @ w["u"] + w["c"], -30, 30)
-    p = np.exp(z)
-    p /= p.sum(axis=2, keepdims=True)
-    n = max(int(there.sum()), 1)
-    right = np.take_along_axis(p, y[:, :, None], 2)[:, :, 0]
-    loss = float(-np.log(np.maximum(right[there], 1e-30)).sum() / n)
-    dz = p
-    np.put_along_axis(dz, y[:, :, None], right[:, :, None] - 1, 2)
-    dz *= there[:, :, None] / np.float32(n)
-    g = {"u": flat_(h).T @ flat_(dz), "c": flat_(dz).sum(axis=0)}
-    dh = (dz @ w["u"].T) * (1 - h * h)
-    g |= {"r": flat_(e).T @ flat_(dh), "b": flat_(dh).sum(axis=0)}
-    de = dh @ w["r"].T
-    da = dh @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dh
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    g["far"] = np.bincount(np.maximum(DISTANCE, 0).ravel(), weights=(ds.sum(axis=0) * CAUSAL).ravel(), minlength=CONTEXT).astype(np.float32)
-    ds = ds / np.float32(np.sqrt(WIDTH))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    for name, d in (("q", dq), ("k", dk), ("v", dv)):
-        g[name] = flat_(e).T @ flat_(d)
-        de += d @ w[name].T
-    cell = x.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-    g["e"] = np.bincount(cell.ravel(), weights=de.ravel(), minlength=w["e"].size).reshape(w["e"].shape).astype(w["e"].dtype)
+            "u": draw(WIDTH, GROUPS), "c": np.zeros(GROUPS, np.float32),
+            "m": draw(GROUPS, WIDTH, MEMBERS), "d": np.zeros((GROUPS, MEMBERS), np.float32)}
+
+
+def attend(score: np.ndarray, far: np.ndarray, causal: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    """Attention weights before division by their sums, from scaled products and in their place, never to later inputs."""
+    score += far[np.maximum(distance, 0)]
+    np.clip(score, -30, 30, out=score)
+    np.exp(score, out=score)
+    score *= causal
+    return score
+
+
+def grouped(y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order that puts equal groups of classes together, and (group, first, end) of those that are there."""
+    group = (y // MEMBERS).astype(np.int16)
+    ends = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    return np.argsort(group, kind="stable"), [(g, a, b) for g, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def logits(w: dict[str, np.ndarray], h: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+    """Of rows ordered by their targets' groups: first the groups' logits, then those of the members of the target's."""
+    z = np.empty((2, len(h), MEMBERS), h.dtype)
+    np.matmul(h, w["u"], out=z[0])
+    z[0] += w["c"]
+    for g, a, b in parts:
+        np.matmul(h[a:b], w["m"][g], out=z[1, a:b])
+        z[1, a:b] += w["d"][g]
+    return np.clip(z, -30, 30, out=z)
+
+
+def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.ndarray, n: int = 0) -> tuple[float, dict[str, np.ndarray]]:
+    """Loss over a batch of windows and its gradient, divided by n, or else by the inputs that are there; all of these are scored.
+
+    Inputs of all windows are rows of flat matrices but for the products inside a window. Columns of `f` and `to_f`
+    are q, k, v and r side by side. Attention is divided by its sums where rows are narrow.
+    """
+    size, kind, n = x.shape[0], w["e"].dtype, n or max(int(there.sum()), 1)
+    root = kind.type(np.sqrt(WIDTH))
+    one = lambda n: np.ones(n, kind)
+    side = [slice(i * WIDTH, (i + 1) * WIDTH) for i in range(4)]
+    to = np.concatenate([w["q"] / root, w["k"], w["v"], w["r"]], axis=1)
+    e = w["e"].take(x.ravel(), axis=0)
+    f = e @ to
+    q, k, v = (f.reshape(size, CONTEXT, -1)[:, :, part] for part in side[:3])
+    a = attend(q @ k.transpose(0, 2, 1), w["far"], CAUSAL, DISTANCE)
+    some = np.flatnonzero(~there.all(axis=1))
+    a[some] *= there[some][:, None, :]
+    total = np.maximum(a.reshape(-1, CONTEXT) @ one(CONTEXT), kind.type(1e-30))[:, None]
+    seen = (a @ v).reshape(-1, WIDTH)
+    seen /= total
+    h = seen + f[:, side[3]]
+    h += w["b"]
+    np.tanh(h, out=h)
+
+    order, parts = grouped(y.ravel())
+    target, row = y.ravel()[order], np.arange(len(h))
+    late = h.take(order, axis=0)
+    p = logits(w, late, parts)
+    np.exp(p, out=p)
+    p /= (p.reshape(-1, MEMBERS) @ one(MEMBERS)).reshape(2, -1, 1)
+    right = p[0, row, target // MEMBERS], p[1, row, target % MEMBERS]
+    scored = there.ravel()[order]
+    loss = float(-np.log(np.maximum(right[0] * right[1], 1e-30))[scored].sum() / n)
+    p[0, row, target // MEMBERS] -= 1
+    p[1, row, target % MEMBERS] -= 1
+    p *= (scored / kind.type(n)).astype(kind)[:, None]
+    g = {"u": late.T @ p[0], "c": one(len(h)) @ p[0], "m": np.zeros_like(w["m"]), "d": np.zeros_like(w["d"])}
+    to_late = p[0] @ w["u"].T
+    for group, first, end in parts:
+        own = p[1, first:end]
+        g["m"][group], g["d"][group] = late[first:end].T @ own, one(end - first) @ own
+        to_late[first:end] += own @ w["m"][group].T
+    late *= late
+    to_late *= 1 - late
+    to_h = np.empty_like(to_late)
+    to_h[order] = to_late
+
+    to_f = np.empty_like(f)
+    to_f[:, side[3]] = to_h
+    g["b"] = one(len(h)) @ to_h
+    to_h /= total
+    windows_ = to_h.reshape(size, CONTEXT, WIDTH)
+    to_a = windows_ @ v.transpose(0, 2, 1)
+    to_a -= np.einsum("ij,ij->i", to_h, seen).reshape(size, CONTEXT, 1)
+    to_a *= a
+    by_place = (one(size) @ to_a.reshape(size, -1)).reshape(CONTEXT, CONTEXT) * CAUSAL
+    g["far"] = np.bincount(np.maximum(DISTANCE, 0).ravel(), weights=by_place.ravel(), minlength=CONTEXT).astype(kind)
+    apart = to_f.reshape(size, CONTEXT, -1)
+    apart[:, :, side[0]] = to_a @ k
+    apart[:, :, side[1]] = to_a.transpose(0, 2, 1) @ q
+    apart[:, :, side[2]] = a.transpose(0, 2, 1) @ windows_
+    both = e.T @ to_f
+    g |= {name: both[:, part] for name, part in zip("qkvr", side, strict=True)}
+    g["q"] = g["q"] / root
+    cell = CELLS.take(x.ravel(), axis=0)
+    g["e"] = np.bincount(cell.ravel(), weights=(to_f @ to.T).ravel(), minlength=w["e"].size).reshape(w["e"].shape).astype(kind)
     return loss, g
 
 
+def batch_gradient(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the mean loss over a batch, LEARNED windows at a time."""
+    n, total = max(int(there.sum()), 1), None
+    for first in range(0, len(x), LEARNED):
+        part = slice(first, first + LEARNED)
+        _, g = gradients(w, x[part], y[part], there[part], n)
+        if total is None:
+            total = g
+        else:
+            for name, d in g.items():
+                total[name] += d
+    return total
+
+
 class Adam:
     """Changes weights in place by their gradients."""
 
@@ -155,52 +232,83 @@ class Adam:
     def step(self, g: dict[str, np.ndarray], rate: float) -> None:
         self.steps += 1
         for name, d in g.items():
-            self.mean[name] += 0.1 * (d - self.mean[name])
-            self.square[name] += 0.01 * (d * d - self.square[name])
-            self.w[name] -= rate * (self.mean[name] / (1 - 0.9 ** self.steps)) / (np.sqrt(self.square[name] / (1 - 0.99 ** self.steps)) + 1e-8)
+            mean, square = self.mean[name], self.square[name]
+            mean *= 0.9
+            mean += 0.1 * d
+            square *= 0.99
+            square += 0.01 * (d * d)
+            by = np.sqrt(square)
+            by /= math.sqrt(1 - 0.99 ** self.steps)
+            by += 1e-8
+            np.divide(mean, by, out=by)
+            by *= rate / (1 - 0.9 ** self.steps)
+            self.w[name] -= by
 
 
 def train(into: np.ndarray, class_: np.ndarray, counts: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
     """Weights by Adam over the windows of the given documents, each window once."""
     w = start_weights(seed)
-    share = np.bincount(class_, minlength=CLASSES) + 0.5
-    w["c"] = np.log(share / share.sum()).astype(np.float32)
+    share = (np.bincount(class_, minlength=CLASSES) + 0.5).reshape(GROUPS, MEMBERS)
+    w["c"] = np.log(share.sum(axis=1) / share.sum()).astype(np.float32)
+    w["d"] = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
     at, there, _ = windows(counts)
     order = np.random.default_rng(seed).permutation(len(at))[:WINDOWS]
     adam = Adam(w)
     steps = -(-len(order) // BATCH)
     for step in range(steps):
         part = order[step * BATCH:(step + 1) * BATCH]
-        _, g = gradients(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
+        g = batch_gradient(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
         adam.step(g, RATE * (1 - step / steps))
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
 class Scorer:
-    """Log10 probabilities by the trained model, windows in batches."""
+    """Log10 probabilities by the trained model, SCORED windows at a time."""
 
     def __init__(self, w: dict[str, np.ndarray]):
-        self.far, self.u, self.c = w["far"], w["u"], w["c"]
-        self.q, self.k, self.v = (w["e"] @ w[name] for name in "qkv")
-        self.rest = w["e"] @ w["r"] + w["b"]
+        self.w = w
+        e, root = w["e"], np.float32(np.sqrt(WIDTH))
+        # by input row: what asks; what answers, with a one whose weighted sum is the sum of the weights
+        self.late = np.concatenate([e @ w["q"] / root, e @ w["r"] + w["b"]], axis=1)
+        self.early = np.concatenate([e @ w["k"], e @ w["v"], np.ones((len(e), 1), np.float32)], axis=1)
 
     def __call__(self, into: np.ndarray, class_: np.ndarray, share: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """By document; the arrays are those of `sequences`, counts include the end."""
-        at, there, scored = windows(counts)
-        out = np.zeros(len(into), np.float32)
-        half = slice(CONTEXT - STRIDE, CONTEXT)
-        for first in range(0, len(at), 1024):
-            part = slice(first, first + 1024)
-            x = into[at[part]]
-            late = x[:, half]
-            a = attend(self.q[late] @ self.k[x].transpose(0, 2, 1), self.far, there[part], CAUSAL[half], DISTANCE[half])
-            h = np.tanh(a @ self.v[x] + self.rest[late]).reshape(-1, WIDTH)
-            z = np.clip(h @ self.u + self.c, -30, 30)
-            ok = scored[part, half].ravel()
-            place = at[part, half].ravel()[ok]
-            right = z[np.flatnonzero(ok), class_[place]]
-            out[place] = right - np.log(np.exp(z).sum(axis=1))[ok]
-        return np.add.reduceat((out + share).astype(np.float64), np.cumsum(counts) - counts) / np.log(10)
+        """By document; the arrays are those of `sequences`, counts include the end.
+
+        Inputs lie in blocks of STRIDE, a document begins a block. A window is a block and the one before, so windows
+        are overlapping views of the same rows; that a document's first window sees the one before is undone.
+        """
+        number = -(-counts // STRIDE)
+        begin = np.cumsum(number) - number + 1  # block 0 stands before the first document
+        place = np.arange(len(into)) + np.repeat(begin * STRIDE - (np.cumsum(counts) - counts), counts)
+        blocks = int(number.sum()) + 1
+        x, y = np.full(blocks * STRIDE, START), np.zeros(blocks * STRIDE, np.int64)
+        x[place], y[place] = into, class_
+        first = np.zeros(blocks, bool)
+        first[begin] = True
+        out = np.zeros(blocks * STRIDE, np.float32)
+        half, width = slice(CONTEXT - STRIDE, CONTEXT), self.early.shape[1]
+        causal, distance = CAUSAL[half], DISTANCE[half]
+        for low in range(1, blocks, SCORED):
+            high = min(low + SCORED, blocks)
+            own = slice(low * STRIDE, high * STRIDE)
+            late = self.late.take(x[own], axis=0).reshape(-1, STRIDE, 2 * WIDTH)
+            early = self.early.take(x[low * STRIDE - (CONTEXT - STRIDE):high * STRIDE], axis=0)
+            step = early.strides[0]
+            early = np.lib.stride_tricks.as_strided(early, (high - low, CONTEXT, width), (STRIDE * step, step, early.strides[1]))
+            a = attend(late[:, :, :WIDTH] @ early[:, :, :WIDTH].transpose(0, 2, 1), self.w["far"], causal, distance)
+            a[first[low:high], :, :CONTEXT - STRIDE] = 0
+            seen = a @ early[:, :, WIDTH:]
+            h = seen[:, :, :WIDTH] / np.maximum(seen[:, :, WIDTH:], np.float32(1e-30))
+            h += late[:, :, WIDTH:]
+            order, parts = grouped(y[own])
+            target, row = y[own][order], np.arange(len(order))
+            z = logits(self.w, np.tanh(h, out=h).reshape(-1, WIDTH).take(order, axis=0), parts)
+            right = z[0, row, target // MEMBERS] + z[1, row, target % MEMBERS]
+            np.exp(z, out=z)
+            total = z.reshape(-1, MEMBERS) @ np.ones(MEMBERS, np.float32)
+            out[low * STRIDE + order] = right - np.log(total[:len(order)] * total[len(order):])
+        return np.add.reduceat((out[place] + share).astype(np.float64), np.cumsum(counts) - counts) / np.log(10)
 
 
 def counted(docs: DataFrame, path: str) -> DataFrame:
@@ -257,28 +365,32 @@ def covering(counts: np.ndarray) -> np.ndarray:
 
 
 def averaged(group: pa.Table) -> pa.Table:
-    """Sums of the weights of some tasks, and of their numbers of inputs."""
+    """Sums of the weights of some shards, and of their numbers of inputs."""
     group = group.sort_by("part")
     total = np.sum([np.frombuffer(x.as_py(), np.float64) for x in group.column("weights")], axis=0)
     n = sum(group.column("inputs").to_pylist())
     return pa.table({"part": [group.column("part")[0].as_py() // FAN], "inputs": [n], "weights": [total.tobytes()]})
 
 
-def learned_from_all(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary, path: str) -> dict[str, np.ndarray]:
-    """The weights, having seen each input of all documents (row, text): rounds of a pass in each task, then the average.
+def learned_from_all(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary, path: str, inputs: int) -> dict[str, np.ndarray]:
+    """The weights, having seen each of so many inputs of all documents (doc_id, text): rounds of a pass in each shard, then the average.
 
-    A task counts by its number of inputs. Only sums of weights move, FAN of them in a task at a time.
+    Shards follow from the documents and the number of inputs alone, and rows are taken in the order of their hash, so
+    the weights don't depend on partitions. Rows equal in doc_id and text teach once; they are made one before they
+    travel. A shard counts by its number of inputs. Only sums of weights move on, FAN of them in a task at a time.
     """
     spark = docs.sparkSession
-    schema = "part long, inputs long, weights binary"
+    shards = max(1, -(-inputs // (SHARD * len(ROUNDS))))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
 
     def passed(model, rate: float):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(shard: pa.Table) -> pa.Table:
             tokenizer, (vocabulary, start) = subwords(path), model.value
             w = {k: v.copy() for k, v in start.items()}
             adam, random, inputs = Adam(w), np.random.default_rng(11), 0
-            for batch in batches:
-                data, offsets = flat(batch.column(0))
+            for chunk in shard.sort_by("key").column("text").chunks:
+                data, offsets = flat(chunk)
                 for a, b in groups(offsets, 1 << 20):
                     i, c = tokenizer.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                     into, class_, _ = sequences(i, c, vocabulary)
@@ -286,23 +398,24 @@ def learned_from_all(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary
                     order = random.permutation(covering(c + 1))
                     for first in range(0, len(order), LOCAL_BATCH):
                         part = order[first:first + LOCAL_BATCH]
-                        _, g = gradients(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
+                        g = batch_gradient(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
                         # a batch that is not full moves the weights less
                         adam.step(g, rate * len(part) / LOCAL_BATCH)
                     inputs += len(into)
-            if inputs:
-                flat_weights = np.concatenate([v.ravel() for v in w.values()]).astype(np.float64) * inputs
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([inputs], pa.int64()),
-                    pa.array([flat_weights.tobytes()], pa.binary())], names=["part", "inputs", "weights"])
+            flat_weights = np.concatenate([v.ravel() for v in w.values()]).astype(np.float64) * inputs
+            return pa.table({"part": shard.column("shard").slice(0, 1), "inputs": [inputs], "weights": [flat_weights.tobytes()]})
         return run
 
     for number, rate in enumerate(ROUNDS):
         model = spark.sparkContext.broadcast((vocabulary, weights))
-        own = docs.where(F.pmod(F.xxhash64("row", F.lit("round")), F.lit(len(ROUNDS))) == number)
-        sums = own.select("text").mapInArrow(passed(model, rate), schema)
-        for _ in range(2):
-            sums = sums.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(averaged, schema)
+        own = keyed.where(F.pmod(F.xxhash64("key", F.lit("round")), F.lit(len(ROUNDS))) == number)
+        own = own.groupBy("key").agg(F.max("text").alias("text"))
+        own = own.select(F.pmod("key", F.lit(shards)).cast("long").alias("shard"), "key", "text").repartition(min(shards, TASKS), "shard")
+        sums = own.groupBy("shard").applyInArrow(passed(model, rate), "part long, inputs long, weights binary")
+        left = shards
+        while left > FAN:
+            sums = sums.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(averaged, sums.schema)
+            left = -(-left // FAN)
         rows = sorted(sums.collect(), key=lambda r: r.part)
         if not rows:
             continue
@@ -334,7 +447,7 @@ def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     it is true are not learned from. Tokens are the words between white space, A-Z lower-cased, and one end a
     document; base_score is the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))). `score` is the log10 probability
     of the text's subword ids and end by the attention model, which learns from all training documents, as do
-    its class shares. Null and empty texts are one end. Equal rows are scored one by one; no rows give no rows; if
+    its class shares; it doesn't depend on how rows lie in partitions. Null and empty texts are one end. Equal rows are scored one by one; no rows give no rows; if
     nothing may be learned from, counts are zero and the model's weights are the starting ones.
 
     Words are told apart by 64-bit hashes.
@@ -354,7 +467,7 @@ def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     for (_, key), n in told.items():
         ids[key] = n
     vocabulary = Vocabulary.of(ids)
-    weights = learned_from_all(learned, fitted(learned, vocabulary, path), vocabulary, path)
+    weights = learned_from_all(learned, fitted(learned, vocabulary, path), vocabulary, path, int(ids.sum()) + ends)
     below = n_train + 0.5 * (distinct + 1)
     table = spark.sparkContext.broadcast(frequent(by_word, FREQUENT))
     model = spark.sparkContext.broadcast((vocabulary, weights))

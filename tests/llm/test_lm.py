@@ -58,6 +58,35 @@ def test_nothing_to_learn_from(docs):  # noqa: F811
     assert lm.language_scores(docs([]), PATH, remainder("doc_id", 5) == 1).count() == 0
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """Several shards, averaged in two steps, from one and from eight partitions and with rows repeated."""
+    monkeypatch.setattr(lm, "SHARD", 3_000)
+    monkeypatch.setattr(lm, "FAN", 4)
+    table = documents(spark).select("doc_id", "text")
+    own = {r.doc_id: r for r in scores(table.coalesce(1))}
+    for r in scores(table.repartition(8)):
+        assert math.isclose(r.score, own[r.doc_id].score, rel_tol=1e-5) and r.n_known == own[r.doc_id].n_known
+
+
+def test_repeated_rows_of_a_shared_id(spark):
+    """Each row has its line; equal rows have equal scores, rows that only share an id have their own."""
+    rows = [(7, "red green blue " * 20)] * 300 + [(7, "other words here"), (None, "red"), (None, None), (9, "")]
+    got = scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert len(got) == len(rows)
+    assert {r.n_tokens: sum(x.n_tokens == r.n_tokens for x in got) for r in got} == {61: 300, 4: 1, 2: 1, 1: 2}
+    assert max(r.score for r in got if r.n_tokens == 61) - min(r.score for r in got if r.n_tokens == 61) < 1e-3
+
+
+def test_batch_gradient_is_that_of_the_whole_batch(monkeypatch):
+    monkeypatch.setattr(lm, "LEARNED", 3)
+    rng, w = np.random.default_rng(8), lm.start_weights(4)
+    x, y = rng.integers(0, lm.ROWS, (10, lm.CONTEXT)), rng.integers(0, lm.CLASSES, (10, lm.CONTEXT))
+    there = rng.random((10, 1)) * lm.CONTEXT < np.arange(1, lm.CONTEXT + 1)
+    whole = lm.gradients(w, x, y, there)[1]
+    for name, g in lm.batch_gradient(w, x, y, there).items():
+        assert np.allclose(g, whole[name], atol=1e-6), name
+
+
 def test_windows_score_each_input_once():
     counts = np.array([1, 16, 17, 100, 31, 32, 33])
     at, there, scored = lm.windows(counts)
@@ -81,8 +110,9 @@ def test_batched_scores_equal_a_plain_loop():
             s = e @ w["k"] @ (e[-1] @ w["q"]) / math.sqrt(lm.WIDTH) + w["far"][np.arange(len(e))[::-1]]
             a = np.exp(s) / np.exp(s).sum()
             h = np.tanh(a @ (e @ w["v"]) + e[-1] @ w["r"] + w["b"])
-            z = h @ w["u"] + w["c"]
-            total += z[class_[first + i]] - np.log(np.exp(z).sum())
+            group, member = divmod(int(class_[first + i]), lm.MEMBERS)
+            for z, c in ((h @ w["u"] + w["c"], group), (h @ w["m"][group] + w["d"][group], member)):
+                total += z[c] - np.log(np.exp(z).sum())
         assert math.isclose(score, total / math.log(10), rel_tol=1e-4)
         first += n
 
