@@ -413,7 +413,7 @@ def learned_from_all(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary
         own = own.select(F.pmod("key", F.lit(shards)).cast("long").alias("shard"), "key", "text").repartition(min(shards, TASKS), "shard")
         sums = own.groupBy("shard").applyInArrow(passed(model, rate), "part long, inputs long, weights binary")
         left = shards
-        while left > FAN:
+        while left > 1:
             sums = sums.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(averaged, sums.schema)
             left = -(-left // FAN)
         rows = sorted(sums.collect(), key=lambda r: r.part)
