@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF, activity, row, same
 from gradeloom.operators import evaluate as E, model as M, runs as U
+from gradeloom.operators import nearest as search
 from gradeloom.operators.nearest import nearest
 from gradeloom.operators.ranks import hash_rank
 from gradeloom.operators.sample import balance, folds, split
@@ -315,3 +316,19 @@ def test_filters_reach_the_scan(spark, tmp_path):
                             (dict(term="03-2024"), "StringEndsWith(term,3-2024)")):
         found = read_activity(spark, str(tmp_path / "log"), **filters).select("row_id")
         assert pushed in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_neighbours_in_many_dimensions_make_few_rows(spark, monkeypatch):
+    """Vectors that differ most in a few of 44 dimensions visit few parts, and each visit is one row."""
+    rng = np.random.default_rng(5)
+    points = np.round(rng.lognormal(0, 2, (1500, 44)) * np.repeat([1000, 1], [4, 40]))
+    frame = spark.createDataFrame(list(enumerate(points.tolist())), "vid long, v array<double>")
+    seen, kept = [], search.visits
+    monkeypatch.setattr(search, "visits", lambda *a: seen.append(kept(*a).count()) or kept(*a))
+    got = nearest(frame, 3, 100).toPandas()
+    gaps = search.distances(points, points)
+    np.fill_diagonal(gaps, np.inf)
+    ids = np.argsort(gaps, axis=1, kind="stable")[:, :3]
+    expected = pd.DataFrame({"vid": np.repeat(np.arange(1500), 3), "nid": ids.ravel(), "gap": np.take_along_axis(gaps, ids, 1).ravel()})
+    same(got, expected, 0)
+    assert seen and max(seen) < 1500 * 15 / 2  # far from all of 15 parts
