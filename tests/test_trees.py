@@ -287,3 +287,19 @@ def test_first_draw_is_the_stored_one():
     assert search.next()[2] == "random"
     assert parzen.Search(SPACE, 1, first=("gone", {})).next()[2] == "random"
     assert run(2).next()[2] == "model"
+
+
+def test_cut_points_are_merged_by_feature(spark):
+    """Features are keys of the exchange, so no single task merges all their sketches."""
+    from gradeloom.operators import boost
+
+    rows = spark.range(1000).selectExpr("cast(id % 7 as double) a", "if(id % 2 = 0, null, double(id)) b", "cast('nan' as double) c", "1.0D d")
+    frame = type(rows)
+    plans, kept = [], frame.collect
+    frame.collect = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df)
+    try:
+        cuts = boost.cut_points(rows, ["a", "b", "c", "d"], 4)
+    finally:
+        frame.collect = kept
+    assert [c.tolist() for c in cuts] == [[0.0, 1.0, 3.0, 5.0], [1.0, 249.0, 499.0, 749.0], [], []]
+    assert plans and "hashpartitioning(f" in plans[0] and "SinglePartition" not in plans[0]
