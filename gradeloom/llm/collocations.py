@@ -22,6 +22,8 @@ SUBSUMED = 50
 TOP = 2000
 #: Bytes of text counted at a time, and words whose stripes are merged in one part.
 CHUNK, PART = 1 << 22, 2_500_000
+#: Counters of a part merged at a time, about, so that temporary arrays stay small.
+SLICE = 1 << 18
 #: A word pair of at least this share of all words is merged in all parts, by its third words. Fewer than 1 / COMMON
 #: such pairs exist; which are found decides where a stripe is merged, never what it counts.
 COMMON = 1e-5
@@ -112,7 +114,7 @@ def packed(*columns: np.ndarray) -> bytes:
 
 def unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(columns, 4, -1)
-    return [np.ascontiguousarray(p.T).view("<u4").ravel().astype(np.int64) for p in planes]
+    return [np.ascontiguousarray(p.T).view("<u4").ravel() for p in planes]
 
 
 def dealt_stripes(size: int, parts: int, common: np.ndarray) -> Callable:
@@ -157,16 +159,23 @@ def merged_stripes(least: int, common: np.ndarray) -> Callable:
     prefixes are a part's share alone: partial, and put out whatever the prefix's count.
     """
     def run(table: pa.Table) -> pa.Table:
+        # numbers of a part's words fit 32 bits; what is whole is held so, 64 bits are for one slice at a time
         lists = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("words")]
-        words, place = np.unique(np.concatenate(lists), return_inverse=True)
-        ends = np.cumsum([len(x) for x in lists])
-        columns: list[list[np.ndarray]] = [[], [], [], []]
-        for blob, end, own in zip(table.column("counters"), ends.tolist(), lists, strict=True):
-            number = np.concatenate([[0], place[end - len(own):end] + 1])
-            x, y, z, n = unpacked(blob.as_py(), 4)
-            for column, value in zip(columns, (number[np.cumsum(x.astype(np.int32))], number[y], number[z], n), strict=True):
-                column.append(value)
-        a, b, at, c, n = stripes(*(np.concatenate(x) for x in columns), len(words) + 1)
+        words = np.unique(np.concatenate(lists))
+        blobs = [x.as_buffer() for x in table.column("counters")]
+        ends = np.cumsum([zstandard.frame_content_size(x) // 16 for x in blobs])
+        columns = np.empty((4, ends[-1]), np.uint32)
+        for blob, end, own in zip(blobs, ends.tolist(), lists, strict=True):
+            number = np.concatenate([[0], np.searchsorted(words, own) + 1]).astype(np.uint32)
+            x, y, z, n = unpacked(blob, 4)
+            for column, value in zip(columns, (number[np.cumsum(x.view(np.int32))], number[y], number[z], n), strict=True):
+                column[end - len(value):end] = value
+        # a first word lies in one slice, and slices are as even as that allows
+        own = ((np.cumsum(np.bincount(columns[0])) - 1) // SLICE).astype(np.uint32)[columns[0]]
+        return pa.concat_tables([merged(words, *(c[own == i].astype(np.int64) for c in columns)) for i in np.unique(own).tolist()])
+
+    def merged(words: np.ndarray, *columns: np.ndarray) -> pa.Table:
+        a, b, at, c, n = stripes(*columns, len(words) + 1)
         cuts = bounds(at)[:-1]
         total = np.add.reduceat(n, cuts)
         best = np.maximum.reduceat(np.where(c > 0, n, 0), cuts)

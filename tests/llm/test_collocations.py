@@ -1,12 +1,15 @@
 """Phrases against a plain count in Python."""
 
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_support import documents
 
-from gradeloom.llm.collocations import collocations, score
+from gradeloom.llm.collocations import SLICE, collocations, merged_stripes, packed, score
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -80,6 +83,36 @@ def test_chunks_parts_and_common_pairs_change_nothing(spark, chunk):
     assert found(table(spark, rows), least=4, chunk=chunk, part=40, share=0.05) == plain(rows, 4)
 
 
+def test_a_part_is_merged_in_little_memory():
+    """Some chunks' stripes of one part, several slices in all, against a dictionary."""
+    draw, rows, plain_counts = np.random.default_rng(3), [], Counter()
+    everything = np.sort(draw.integers(1, 2**63, 3000).astype(np.uint64))
+    for _ in range(12):
+        own = np.sort(draw.choice(everything, 2000, replace=False))
+        key = np.unique(draw.integers(0, 300 * 40 * 41, 100_000))
+        a, b, c = key // (40 * 41) + 1, key // 41 % 40 + 1, key % 41  # 0: no third word
+        n = draw.integers(1, 4, len(key))
+        rows.append((0, own.tobytes(), packed(np.diff(a, prepend=0), b, c, n)))
+        ids = np.concatenate([[0], own.view(np.int64)])
+        plain_counts.update({(x, y, z or None): k for x, y, z, k in zip(ids[a].tolist(), ids[b].tolist(), ids[c].tolist(), n.tolist())})
+    table = pa.table({"part": pa.array([r[0] for r in rows]), "words": pa.array([r[1] for r in rows], pa.binary()),
+                      "counters": pa.array([r[2] for r in rows], pa.binary())})
+    counters = len(plain_counts)
+    tracemalloc.start()
+    got = merged_stripes(10, np.zeros(0, np.uint64))(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counters > 3 * SLICE
+    assert peak < 90 * counters
+    total, best = Counter(), Counter()
+    for (x, y, z), k in plain_counts.items():
+        total[x, y] += k
+        best[x, y] = max(best[x, y], k if z is not None else 0)
+    want = {(x, y, None, k, k, best[x, y], False) for (x, y), k in total.items() if k >= 10}
+    want |= {(*key, k, total[key[:2]], best[key[:2]], False) for key, k in plain_counts.items() if k >= 10 and key[2] is not None}
+    assert set(map(tuple, (r.values() for r in got.to_pylist()))) == want and got.num_rows == len(want)
+
+
 def test_scores_pass_64_bits(spark):
     counts = [(a, a + 3, 10**15) for a in (10, 3_100_000, 10**12, 10**15 - 7)]
     df = spark.createDataFrame(counts, "a long, l long, r long").withColumn("score", score("a", "l", "r"))
