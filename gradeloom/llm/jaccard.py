@@ -228,13 +228,16 @@ class RTree:
             self.levels.append((top, low))
 
     def near(self, points: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (number asked, number in the tree) whose overlap can reach what their sizes ask for.
+        return self.near_bounds(points, sizes_)[:2]
+
+    def near_bounds(self, points: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (number asked, number in the tree) whose overlap can reach what their sizes ask for, and how far it can reach.
 
         Two sets share at most the smaller count of each group, summed; below a box, at most the smaller of the
         count and the box's largest, and what is asked for is least for the box's smallest set. A few points are
         asked together and go down where any of them may.
         """
-        asked, found = [], []
+        asked, found, reach = [], [], []
         for first in range(0, len(sizes_), FANOUT):
             some, size = points[first:first + FANOUT], sizes_[first:first + FANOUT, None]
             there = np.arange(len(self.levels[-1][1]))
@@ -248,7 +251,8 @@ class RTree:
             who, what = np.nonzero(able)
             asked.append(first + who)
             found.append(self.order[there[what]])
-        return np.concatenate(asked), np.concatenate(found)
+            reach.append(bound[who, what])
+        return np.concatenate(asked), np.concatenate(found), np.concatenate(reach)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -310,12 +314,20 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, level) -> DataF
     return rows.mapInArrow(star_links, "a long, b long")
 
 
-def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def likeliest(one: np.ndarray, two: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs that are the best one of either of their components."""
+    both, number = np.concatenate([one, two]), np.tile(np.arange(len(one)), 2)
+    order = np.lexsort((-chance[number], both))
+    return np.unique(number[order[bounds(both[order])[:-1]]])
+
+
+def tree_pairs(batches: Iterator[pa.RecordBatch], few: bool = False) -> Iterator[pa.RecordBatch]:
     """Pairs that an R-tree over each cell leaves: rows (cell, side, signature, n, component, point, shingle, meetings).
 
     A cell holds one part of a candidate group, or two to be joined. Only sets of different components are paired. Each
     set brings its first meetings. What two such lists have in common holds the first meeting of both sets, if it is
-    anything, and the pair is put out there alone; else at each meeting.
+    anything, and the pair is put out there alone; else at each meeting. With `few`, a cell puts out only each
+    component's likeliest pair, no more pairs than sets.
     """
     for group in whole_groups(batches):
         cell, both, sign, n, component = (group.column(i).to_numpy() for i in range(5))
@@ -329,12 +341,15 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = first + np.flatnonzero(side == side.min()), first + np.flatnonzero(side == side.max())
             if side.min() == side.max() and len(np.unique(component[left])) < 2:
                 continue
-            a, b = RTree(points[right], n[right]).near(points[left], n[left])
+            a, b, reach = RTree(points[right], n[right]).near_bounds(points[left], n[left])
             a, b = left[a], right[b]
             apart = (component[a] != component[b]) & ((sign[a] < sign[b]) | (side.min() != side.max()))
-            a, b = a[apart], b[apart]
-            own = int(here[first])
-            new = np.array([own == min(known[i] & known[j], default=own) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+            a, b, reach = a[apart], b[apart], reach[apart]
+            if few:
+                new = likeliest(component[a], component[b], reach / (n[a] + n[b] - reach))
+            else:
+                own = int(here[first])
+                new = np.array([own == min(known[i] & known[j], default=own) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
             a, b = a[new], b[new]
             out_a.append(np.minimum(sign[a], sign[b]))
             out_b.append(np.maximum(sign[a], sign[b]))
@@ -342,6 +357,34 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
 
+def with_components(meet: DataFrame, links: DataFrame) -> DataFrame:
+    """The meetings with each set's component; a set without links is its own."""
+    known = components(links).withColumnRenamed("node", "k")
+    return meet.join(known, F.col("signature") == F.col("k"), "left").select(
+        "shingle", "signature", "n", "size", F.coalesce("component", "signature").alias("component"))
+
+
+def apart_pairs(left: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
+    """The distinct pairs (a, b), a the smaller, of sets that meet and are not yet connected, see `tree_pairs`."""
+    several = left.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"),
+        F.count(F.lit(1)).alias("count"), F.min("size").alias("small"), F.max("size").alias("large"))
+    # two sets of one size class have met as leader and follower
+    several = several.where("low <> high and (count > 2 or small <> large)").select(F.col("shingle").alias("m"), "parts")
+    own = F.pmod(F.xxhash64("signature", F.lit("part")), F.col("parts")).cast("int")
+    met = left.join(several, F.col("shingle") == F.col("m"))
+    # no longer than a set's prefix
+    lists = met.groupBy(F.col("signature").alias("k")).agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, LISTED).alias("meetings"))
+    points = sets.select("signature", "point").join(lists, F.col("signature") == F.col("k"), "left").select(
+        F.col("signature").alias("s"), "point", "meetings")
+    cells = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "own",
+                         "signature", "n", "component", "shingle")
+    cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point", "shingle", "meetings")
+    rows = cells.repartition("cell").sortWithinPartitions("cell")
+    return rows.mapInArrow(lambda batches: tree_pairs(batches, few), "a long, b long").distinct()
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id): documents linked by shingle sets of similarity 0.75 or more.
 
@@ -353,8 +396,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     Equal sets are one set with one signature. Sets meet if the rarest quarter of their shingles has one in
     common, which similar sets always have. Sets that meet at a shingle are first linked with a few of their
     kind in size, by turns, which ties up groups of copies without spelling out their pairs; then an R-tree over
-    the counts of each meeting's sets finds the pairs of sets not yet connected that can still be similar. Both
-    ways the shingles themselves decide.
+    the counts of each meeting's sets finds the pairs of sets not yet connected that can still be similar: first the
+    likeliest of each component alone, then all that are still apart. Each time the shingles themselves decide.
     """
     ship(docs.sparkSession)
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col("text"))
@@ -391,27 +434,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         tried = stars if tried is None else tried.unionAll(stars)
         found = materialize(verified(stars, sets, named, level))
         links = found if links is None else links.unionAll(found)
-        known = components(links).withColumnRenamed("node", "k")
-        left = meet.join(known, F.col("signature") == F.col("k"), "left").select(
-            "shingle", "signature", "n", "size", F.coalesce("component", "signature").alias("component"))
-    several = left.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"),
-        F.count(F.lit(1)).alias("count"), F.min("size").alias("small"), F.max("size").alias("large"))
-    # two sets of one size class have met as leader and follower
-    several = several.where("low <> high and (count > 2 or small <> large)").select(F.col("shingle").alias("m"), "parts")
-    own = F.pmod(F.xxhash64("signature", F.lit("part")), F.col("parts")).cast("int")
-    met = left.join(several, F.col("shingle") == F.col("m"))
-    # no longer than a set's prefix
-    lists = met.groupBy(F.col("signature").alias("k")).agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, LISTED).alias("meetings"))
-    points = sets.select("signature", "point").join(lists, F.col("signature") == F.col("k"), "left").select(
-        F.col("signature").alias("s"), "point", "meetings")
-    cells = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "own",
-                         "signature", "n", "component", "shingle")
-    cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point", "shingle", "meetings")
-    pairs = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(tree_pairs, "a long, b long").distinct()
-    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.unionAll(materialize(verified(materialize(pairs), sets, named, level)))
+        left = with_components(meet, links)
+    # first each component's likeliest pairs, which tie up most of a group of near copies; then all that are left apart
+    for few in (True, False):
+        pairs = materialize(apart_pairs(left, sets, few).join(
+            tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        links = links.unionAll(materialize(verified(pairs, sets, named, level)))
+        if few:
+            tried, left = tried.unionAll(pairs), with_components(meet, links)
 
     # texts of one doc_id are one node
     own = signed.where("id is not null and n > 0").groupBy("id").agg(F.min("signature").alias("a"), F.max("signature").alias("z"))

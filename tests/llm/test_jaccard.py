@@ -82,6 +82,23 @@ def test_one_of_each(docs, spark):  # noqa: F811
     assert {r.component_id for r in jac.near_groups(lone).collect()} == {None}
 
 
+def test_links_grow_with_a_group_of_near_copies_not_with_its_square(docs, monkeypatch):  # noqa: F811
+    rng, found, verified = random.Random(11), [], jac.verified
+    monkeypatch.setattr(jac, "verified", lambda *a: found.append(jac.materialize(verified(*a))) or found[-1])
+    words = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(words) for _ in range(140)]
+    texts = []
+    for _ in range(300):
+        own = list(base)
+        for _ in range(rng.randrange(2, 6)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(" ".join(own))
+    want = check(docs(texts, 10))
+    assert len({c for _, c in want.values()}) < 200
+    leaders, *trees = [f.count() for f in found]
+    assert sum(trees) < 300, (leaders, trees)
+
+
 def test_tree_loses_nothing():
     rng = np.random.default_rng(2)
     points = rng.poisson(3, (300, jac.COUNTS)).astype(np.int32)
