@@ -14,7 +14,7 @@ from gradeloom.llm.bytetext import flat, groups, mix, shingles, words
 from gradeloom.llm.components import components
 from gradeloom.llm.grouped import bounds, whole_groups
 from gradeloom.llm.shipping import ship
-from gradeloom.session import materialize
+from gradeloom.session import gathered, materialize
 
 K = 5
 PERCENT = 75
@@ -326,16 +326,16 @@ def tree_pairs(batches: Iterator[pa.RecordBatch], few: bool = False) -> Iterator
 
     A cell holds one part of a candidate group, or two to be joined. Only sets of different components are paired. Each
     set brings its first meetings. What two such lists have in common holds the first meeting of both sets, if it is
-    anything, and the pair is put out there alone; else at each meeting. With `few`, a cell puts out only each
-    component's likeliest pair, no more pairs than sets.
+    anything, and the pair is put out there alone; else at each meeting. With `few`, lists aren't looked at and a cell puts
+    out only each component's likeliest pair, no more pairs than sets; if that leaves any, a row with its shingle, too.
     """
     for group in whole_groups(batches):
         cell, both, sign, n, component = (group.column(i).to_numpy() for i in range(5))
         points = points_of(group.column(5))
         here, meetings = group.column(6).to_numpy(), group.column(7).to_pylist()
-        known = [set(m) for m in meetings]
+        known = [] if few else [set(m) for m in meetings]
         n = n.astype(np.int64)
-        cuts, out_a, out_b = bounds(cell), [], []
+        cuts, out_a, out_b, more = bounds(cell), [], [], []
         for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             side = both[first:last]
             left, right = first + np.flatnonzero(side == side.min()), first + np.flatnonzero(side == side.max())
@@ -347,6 +347,8 @@ def tree_pairs(batches: Iterator[pa.RecordBatch], few: bool = False) -> Iterator
             a, b, reach = a[apart], b[apart], reach[apart]
             if few:
                 new = likeliest(component[a], component[b], reach / (n[a] + n[b] - reach))
+                if len(new) < len(a):
+                    more.append(int(here[first]))
             else:
                 own = int(here[first])
                 new = np.array([own == min(known[i] & known[j], default=own) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
@@ -354,7 +356,9 @@ def tree_pairs(batches: Iterator[pa.RecordBatch], few: bool = False) -> Iterator
             out_a.append(np.minimum(sign[a], sign[b]))
             out_b.append(np.maximum(sign[a], sign[b]))
         if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+            a, b = (pa.concat_arrays([pa.array(np.concatenate(x)), pa.nulls(len(more), pa.int64())]) for x in (out_a, out_b))
+            rest = pa.concat_arrays([pa.nulls(len(a) - len(more), pa.int64()), pa.array(more, pa.int64())])
+            yield pa.RecordBatch.from_arrays([a, b, rest], names=["a", "b", "more"])
 
 
 def with_components(meet: DataFrame, links: DataFrame) -> DataFrame:
@@ -365,7 +369,7 @@ def with_components(meet: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def apart_pairs(left: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
-    """The distinct pairs (a, b), a the smaller, of sets that meet and are not yet connected, see `tree_pairs`."""
+    """Pairs (a, b), a the smaller, of sets that meet and are not yet connected, and meetings that hold more, see `tree_pairs`."""
     several = left.groupBy("shingle").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"),
         F.count(F.lit(1)).alias("count"), F.min("size").alias("small"), F.max("size").alias("large"))
@@ -373,16 +377,18 @@ def apart_pairs(left: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
     several = several.where("low <> high and (count > 2 or small <> large)").select(F.col("shingle").alias("m"), "parts")
     own = F.pmod(F.xxhash64("signature", F.lit("part")), F.col("parts")).cast("int")
     met = left.join(several, F.col("shingle") == F.col("m"))
-    # no longer than a set's prefix
-    lists = met.groupBy(F.col("signature").alias("k")).agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, LISTED).alias("meetings"))
-    points = sets.select("signature", "point").join(lists, F.col("signature") == F.col("k"), "left").select(
-        F.col("signature").alias("s"), "point", "meetings")
+    points = sets.select(F.col("signature").alias("s"), "point")
+    if few:
+        points = points.withColumn("meetings", F.lit(None).cast("array<long>"))
+    else:  # no longer than a set's prefix
+        lists = met.groupBy(F.col("signature").alias("k")).agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, LISTED).alias("meetings"))
+        points = points.join(lists, F.col("s") == F.col("k"), "left").select("s", "point", "meetings")
     cells = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "own",
                          "signature", "n", "component", "shingle")
     cells = cells.join(points, F.col("s") == F.col("signature")).select("cell", "own", "s", "n", "component", "point", "shingle", "meetings")
     rows = cells.repartition("cell").sortWithinPartitions("cell")
-    return rows.mapInArrow(lambda batches: tree_pairs(batches, few), "a long, b long").distinct()
+    return rows.mapInArrow(lambda batches: tree_pairs(batches, few), "a long, b long, more long").distinct()
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -411,17 +417,17 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     meet = meet.select("shingle", "signature", "n", "size", F.lag("signature").over(at).alias("before"), F.lead("signature").over(at).alias("after"))
     meet = meet.where("(before is not null and before <> signature) or (after is not null and after <> signature)")
     # written once, as the postings of all documents are its input and two plans go on from it
-    meet = materialize(meet.select("shingle", "signature", "n", "size").distinct())
+    meet = gathered(meet.select("shingle", "signature", "n", "size").distinct())
     # shingles at which the same sets meet are as good as one
     who = meet.groupBy("shingle").agg(
         F.bit_xor(F.xxhash64("signature")).alias("x"), F.bit_xor(F.xxhash64("signature", F.lit("y"))).alias("y"), F.count(F.lit(1)).alias("c"))
     one = who.groupBy("x", "y", "c").agg(F.min("shingle").alias("m"))
-    meet = materialize(meet.join(one, F.col("shingle") == F.col("m"), "left_semi"))
+    meet = gathered(meet.join(one, F.col("shingle") == F.col("m"), "left_semi"))
     # one set for every signature that meets another, with its smallest document; a doc_id may have several texts
     first = signed.where("id is not null and n > 0").groupBy("signature").agg(F.min("id").alias("first"))
     points_ = signed.where("id is not null and n > 0").groupBy("signature").agg(
         F.min("id").alias("first"), F.first("n").cast("int").alias("n"), F.first("point").alias("point"))
-    sets = materialize(points_.join(meet.select("signature").distinct(), "signature", "left_semi"))
+    sets = gathered(points_.join(meet.select("signature").distinct(), "signature", "left_semi"))
 
     links = tried = None
     left = meet.withColumn("component", F.col("signature"))
@@ -430,17 +436,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         leads = left.groupBy("shingle", "size").agg(F.min_by(F.struct("signature", "component"), order).alias("lead"))
         stars = left.join(leads, ["shingle", "size"]).where("component <> lead.component").select(
             F.col("lead.signature").alias("a"), F.col("signature").alias("b")).distinct()
-        stars = materialize(bounded(stars, sets))
+        stars = gathered(bounded(stars, sets))
         tried = stars if tried is None else tried.unionAll(stars)
-        found = materialize(verified(stars, sets, named, level))
+        found = gathered(verified(stars, sets, named, level))
         links = found if links is None else links.unionAll(found)
         left = with_components(meet, links)
     # first each component's likeliest pairs, which tie up most of a group of near copies; then all that are left apart
     for few in (True, False):
-        pairs = materialize(apart_pairs(left, sets, few).join(
+        found = gathered(apart_pairs(left, sets, few))
+        pairs = gathered(found.where("a is not null").select("a", "b").join(
             tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-        links = links.unionAll(materialize(verified(pairs, sets, named, level)))
-        if few:
+        links = links.unionAll(gathered(verified(pairs, sets, named, level)))
+        if few:  # a meeting whose pairs were all put out has no others
+            more = found.where("more is not null").select(F.col("more").alias("m"))
+            meet = meet.join(more, F.col("shingle") == F.col("m"), "left_semi")
             tried, left = tried.unionAll(pairs), with_components(meet, links)
 
     # texts of one doc_id are one node

@@ -125,3 +125,11 @@ def test_shared_ids_and_repeated_rows(spark, monkeypatch):
     assert all(got[i] == {100} for i in range(100, 300))
     # a row without words keeps its own id
     assert asked and max(asked) == 2  # two texts two hundred times over are two sets
+
+
+def test_meetings_that_hold_no_more_pairs_are_not_visited_again(docs, monkeypatch):  # noqa: F811
+    asked, pairs = {}, jac.apart_pairs
+    monkeypatch.setattr(jac, "apart_pairs", lambda left, sets, few: asked.update({few: left.count()}) or pairs(left, sets, few))
+    passage = [f"p{i}" for i in range(40)]
+    check(docs([" ".join([f"w{i}x{j}" for j in range(70)] + passage) for i in range(3)]))
+    assert asked[True] > 0 and asked[False] == 0

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gradeloom.llm import vectors as vec
 from gradeloom.llm.components import components
@@ -125,3 +126,18 @@ def test_very_large_and_small_doubles(spark):
     rows = [(i, [x * scale for x in base]) for i, scale in enumerate((1.0, 1e200, 1e-200, 1e305, 1e-300))] + [(9, [1e200, 1e200, 1e-200, 0.0])]
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert got == {**{i: (4, 0) for i in range(5)}, 9: (0, 9)}
+
+
+def test_components_of_few_links_go_on_in_few_partitions(spark):
+    pairs = spark.range(0, 500, numPartitions=4).select(F.col("id").alias("a"), (F.col("id") + 500).alias("b"))
+    wide = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        got = components(pairs)
+        assert got.rdd.getNumPartitions() < 10
+        assert {r.node: r.component for r in got.collect()} == {i: i % 500 for i in range(1000)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
