@@ -17,6 +17,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: For `bytes.translate`, several times faster than indexing: lower-cased, and whether a byte is no white space.
+LOWERED, INSIDE = LOWER.tobytes(), (~SPACE).tobytes()
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 STEP_INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
@@ -103,8 +105,9 @@ def runs(inside: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and row of every word between white space, A-Z lower-cased, and the words' place in `data`."""
-    low = LOWER[data]
-    starts, ends = runs(~SPACE[data], offsets[1:-1])
+    raw = data.tobytes()
+    low, inside = np.frombuffer(raw.translate(LOWERED), np.uint8), np.frombuffer(raw.translate(INSIDE), bool)
+    starts, ends = runs(inside, offsets[1:-1])
     return hashes(low, starts, ends)[0], np.searchsorted(offsets[1:], starts, side="right"), starts
 
 

@@ -69,16 +69,18 @@ START = OWN + CLASSES
 ROWS = START + 1
 
 
-def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(counts: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For documents of so many inputs, one after the other: inputs by window, which are there, which are scored.
 
     Input i of a document stands before what is scored at i. Each window scores up to STRIDE inputs that no
-    other one scores, and also sees the ones before.
+    other one scores, and also sees the ones before. With `chosen`, of these windows alone, in their order.
     """
     number = -(-counts // STRIDE)
     firsts = np.cumsum(counts) - counts
     document = np.repeat(np.arange(len(counts)), number)
     step = np.arange(len(document)) - np.repeat(np.cumsum(number) - number, number)
+    if chosen is not None:
+        document, step = document[chosen], step[chosen]
     local = (step * STRIDE - (CONTEXT - STRIDE))[:, None] + np.arange(CONTEXT)
     there = (local >= 0) & (local < counts[document][:, None])
     at = np.where(there, firsts[document][:, None] + local, 0)
@@ -138,7 +140,8 @@ def logits(w: dict[str, np.ndarray], h: np.ndarray, parts: list[tuple[int, int,
     return np.clip(z, -30, 30, out=z)
 
 
-def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.ndarray, n: int = 0) -> tuple[float, dict[str, np.ndarray]]:
+def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.ndarray, n: int = 0,
+              with_loss: bool = True) -> tuple[float | None, dict[str, np.ndarray]]:
     """Loss over a batch of windows and its gradient, divided by n, or else by the inputs that are there; all of these are scored.
 
     Inputs of all windows are rows of flat matrices but for the products inside a window. Columns of `f` and `to_f`
@@ -163,16 +166,19 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.
     np.tanh(h, out=h)
 
     order, parts = grouped(y.ravel())
-    target, row = y.ravel()[order], np.arange(len(h))
+    # places of the targets' groups and members among all probabilities
+    group, member = np.divmod(y.ravel()[order], MEMBERS)
+    own = np.concatenate([group, member + len(h) * MEMBERS])
+    own.reshape(2, -1)[:] += np.arange(0, len(h) * MEMBERS, MEMBERS)
     late = h.take(order, axis=0)
     p = logits(w, late, parts)
     np.exp(p, out=p)
     p /= (p.reshape(-1, MEMBERS) @ one(MEMBERS)).reshape(2, -1, 1)
-    right = p[0, row, target // MEMBERS], p[1, row, target % MEMBERS]
-    scored = there.ravel()[order]
-    loss = float(-np.log(np.maximum(right[0] * right[1], 1e-30))[scored].sum() / n)
-    p[0, row, target // MEMBERS] -= 1
-    p[1, row, target % MEMBERS] -= 1
+    right = p.ravel().take(own)
+    scored, loss = there.ravel()[order], None
+    if with_loss:
+        loss = float(-np.log(np.maximum(right[:len(h)] * right[len(h):], 1e-30))[scored].sum() / n)
+    p.ravel()[own] = right - 1
     p *= (scored / kind.type(n)).astype(kind)[:, None]
     g = {"u": late.T @ p[0], "c": one(len(h)) @ p[0], "m": np.zeros_like(w["m"]), "d": np.zeros_like(w["d"])}
     to_late = p[0] @ w["u"].T
@@ -196,9 +202,9 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there: np.
     by_place = (one(size) @ to_a.reshape(size, -1)).reshape(CONTEXT, CONTEXT) * CAUSAL
     g["far"] = np.bincount(np.maximum(DISTANCE, 0).ravel(), weights=by_place.ravel(), minlength=CONTEXT).astype(kind)
     apart = to_f.reshape(size, CONTEXT, -1)
-    apart[:, :, side[0]] = to_a @ k
-    apart[:, :, side[1]] = to_a.transpose(0, 2, 1) @ q
-    apart[:, :, side[2]] = a.transpose(0, 2, 1) @ windows_
+    np.matmul(to_a, k, out=apart[:, :, side[0]])
+    np.matmul(to_a.transpose(0, 2, 1), q, out=apart[:, :, side[1]])
+    np.matmul(a.transpose(0, 2, 1), windows_, out=apart[:, :, side[2]])
     both = e.T @ to_f
     g |= {name: both[:, part] for name, part in zip("qkvr", side, strict=True)}
     g["q"] = g["q"] / root
@@ -212,7 +218,7 @@ def batch_gradient(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there
     n, total = max(int(there.sum()), 1), None
     for first in range(0, len(x), LEARNED):
         part = slice(first, first + LEARNED)
-        _, g = gradients(w, x[part], y[part], there[part], n)
+        _, g = gradients(w, x[part], y[part], there[part], n, with_loss=False)
         if total is None:
             total = g
         else:
@@ -222,27 +228,30 @@ def batch_gradient(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, there
 
 
 class Adam:
-    """Changes weights in place by their gradients."""
+    """Changes weights in place by their gradients; from here on, the weights are parts of one flat array."""
 
     def __init__(self, w: dict[str, np.ndarray]):
-        self.w, self.steps = w, 0
-        self.mean = {k: np.zeros_like(v) for k, v in w.items()}
-        self.square = {k: np.zeros_like(v) for k, v in w.items()}
+        self.names, self.steps = list(w), 0
+        self.flat = np.concatenate([v.ravel() for v in w.values()])
+        cuts = np.cumsum([v.size for v in w.values()])[:-1]
+        w.update({k: part.reshape(w[k].shape) for k, part in zip(self.names, np.split(self.flat, cuts), strict=True)})
+        self.mean, self.square = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def step(self, g: dict[str, np.ndarray], rate: float) -> None:
         self.steps += 1
-        for name, d in g.items():
-            mean, square = self.mean[name], self.square[name]
-            mean *= 0.9
-            mean += 0.1 * d
-            square *= 0.99
-            square += 0.01 * (d * d)
-            by = np.sqrt(square)
-            by /= math.sqrt(1 - 0.99 ** self.steps)
-            by += 1e-8
-            np.divide(mean, by, out=by)
-            by *= rate / (1 - 0.9 ** self.steps)
-            self.w[name] -= by
+        mean, square, d = self.mean, self.square, np.concatenate([g[name].ravel() for name in self.names])
+        mean *= 0.9
+        mean += 0.1 * d
+        square *= 0.99
+        d *= d
+        d *= 0.01
+        square += d
+        by = np.sqrt(square, out=d)
+        by /= math.sqrt(1 - 0.99 ** self.steps)
+        by += 1e-8
+        np.divide(mean, by, out=by)
+        by *= rate / (1 - 0.9 ** self.steps)
+        self.flat -= by
 
 
 def train(into: np.ndarray, class_: np.ndarray, counts: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
@@ -311,26 +320,63 @@ class Scorer:
         return np.add.reduceat((out[place] + share).astype(np.float64), np.cumsum(counts) - counts) / np.log(10)
 
 
-def counted(docs: DataFrame, path: str) -> DataFrame:
-    """(kind, key, n) of the texts: kind 0 words by hash, 1 subword ids, 2 the number of documents."""
+def counted(docs: DataFrame) -> DataFrame:
+    """(key, n) of the texts: words by hash and how often they occur."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, ids, rows = subwords(path), np.zeros(VOCABULARY, np.int64), 0
         for batch in batches:
             data, offsets = flat(batch.column(0))
-            rows += batch.num_rows
             for a, b in groups(offsets, 8 << 20):
                 text, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 key, n = np.unique(np.concatenate([words(text[at[x]:at[y]], at[x:y + 1] - at[x])[0] for x, y in groups(at)]), return_counts=True)
-                for x, y in groups(at):
-                    ids += np.bincount(tokenizer.encode(text[at[x]:at[y]], at[x:y + 1] - at[x])[0], minlength=VOCABULARY)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(key), np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["kind", "key", "n"])
-        there = np.flatnonzero(ids)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.append(np.ones(len(there), np.int32), np.int32(2))), pa.array(np.append(there, 0)), pa.array(np.append(ids[there], rows))],
-            names=["kind", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """(key, held_out, size, ids) of documents (key, held_out, text): bytes of the text, its subword ids of two bytes each.
+
+    Written once, so that a text is cut into subwords once, whatever learns from it or scores it later.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = subwords(path)
+        for batch in batches:
+            data, offsets = flat(batch.column(2))
+            for a, b in groups(offsets, 1 << 20):
+                ids, counts = tokenizer.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                ends = np.append(0, np.cumsum(counts * ids.itemsize)).astype(np.int32)
+                lists = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(offsets[a:b + 1])), lists],
+                    names=["key", "held_out", "size", "ids"])
+
+    return materialize(docs.select("key", "held_out", "text").mapInArrow(run, "key long, held_out boolean, size long, ids binary"))
+
+
+def id_groups(size: pa.Array | pa.ChunkedArray, ids: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Of rows of `encoded`, those of about a megabyte of text at a time: first row, end, ids one after the other, number by row."""
+    if isinstance(ids, pa.ChunkedArray):
+        ids = ids.combine_chunks()
+    ids = ids.cast(pa.large_binary())
+    at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+    data = ids.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    for a, b in groups(np.append(0, np.cumsum(size.to_numpy())), 1 << 20):
+        yield a, b, data[at[a]:at[b]].view(np.uint16), np.diff(at[a:b + 1]) // 2
+
+
+def counted_ids(known: DataFrame) -> DataFrame:
+    """(id, n) of the documents' subword ids, and -1 with the number of documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(VOCABULARY, np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for _, _, ids, _ in id_groups(batch.column(0), batch.column(1)):
+                total += np.bincount(ids, minlength=VOCABULARY)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1)), pa.array(np.append(total[there], rows))], names=["id", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "kind int, key long, n long")
-    return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return known.select("size", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def fitted(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.ndarray]:
@@ -372,45 +418,41 @@ def averaged(group: pa.Table) -> pa.Table:
     return pa.table({"part": [group.column("part")[0].as_py() // FAN], "inputs": [n], "weights": [total.tobytes()]})
 
 
-def learned_from_all(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary, path: str, inputs: int) -> dict[str, np.ndarray]:
-    """The weights, having seen each of so many inputs of all documents (doc_id, text): rounds of a pass in each shard, then the average.
+def learned_from_all(known: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary, inputs: int) -> dict[str, np.ndarray]:
+    """The weights, having seen each of so many inputs of all documents (of `encoded`): rounds of a pass in each shard, then the average.
 
     Shards follow from the documents and the number of inputs alone, and rows are taken in the order of their hash, so
-    the weights don't depend on partitions. Rows equal in doc_id and text teach once; they are made one before they
-    travel. A shard counts by its number of inputs. Only sums of weights move on, FAN of them in a task at a time.
+    the weights don't depend on partitions. Rows equal in doc_id and text (the key) teach once; they are made one before
+    they travel. A shard counts by its number of inputs. Only sums of weights move on, FAN of them in a task at a time.
     """
-    spark = docs.sparkSession
+    spark = known.sparkSession
     shards = max(1, -(-inputs // (SHARD * len(ROUNDS))))
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
 
     def passed(model, rate: float):
         def run(shard: pa.Table) -> pa.Table:
-            tokenizer, (vocabulary, start) = subwords(path), model.value
+            vocabulary, start = model.value
             w = {k: v.copy() for k, v in start.items()}
             adam, random, inputs = Adam(w), np.random.default_rng(11), 0
-            for chunk in shard.sort_by("key").column("text").chunks:
-                data, offsets = flat(chunk)
-                for a, b in groups(offsets, 1 << 20):
-                    i, c = tokenizer.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                    into, class_, _ = sequences(i, c, vocabulary)
-                    at, there, _ = windows(c + 1)
-                    order = random.permutation(covering(c + 1))
-                    for first in range(0, len(order), LOCAL_BATCH):
-                        part = order[first:first + LOCAL_BATCH]
-                        g = batch_gradient(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
-                        # a batch that is not full moves the weights less
-                        adam.step(g, rate * len(part) / LOCAL_BATCH)
-                    inputs += len(into)
+            shard = shard.sort_by("key")
+            for _, _, i, c in id_groups(shard.column("size"), shard.column("ids")):
+                into, class_, _ = sequences(i, c, vocabulary)
+                order = random.permutation(covering(c + 1))
+                at, there, _ = windows(c + 1, order)
+                for first in range(0, len(order), LOCAL_BATCH):
+                    part = slice(first, first + LOCAL_BATCH)
+                    g = batch_gradient(w, np.where(there[part], into[at[part]], START), class_[at[part]], there[part])
+                    # a batch that is not full moves the weights less
+                    adam.step(g, rate * len(there[part]) / LOCAL_BATCH)
+                inputs += len(into)
             flat_weights = np.concatenate([v.ravel() for v in w.values()]).astype(np.float64) * inputs
             return pa.table({"part": shard.column("shard").slice(0, 1), "inputs": [inputs], "weights": [flat_weights.tobytes()]})
         return run
 
     for number, rate in enumerate(ROUNDS):
         model = spark.sparkContext.broadcast((vocabulary, weights))
-        own = keyed.where(F.pmod(F.xxhash64("key", F.lit("round")), F.lit(len(ROUNDS))) == number)
-        own = own.groupBy("key").agg(F.max("text").alias("text"))
-        own = own.select(F.pmod("key", F.lit(shards)).cast("long").alias("shard"), "key", "text").repartition(min(shards, TASKS), "shard")
+        own = known.where(F.pmod(F.xxhash64("key", F.lit("round")), F.lit(len(ROUNDS))) == number)
+        own = own.groupBy("key").agg(F.max("size").alias("size"), F.max("ids").alias("ids"))
+        own = own.select(F.pmod("key", F.lit(shards)).cast("long").alias("shard"), "key", "size", "ids").repartition(min(shards, TASKS), "shard")
         sums = own.groupBy("shard").applyInArrow(passed(model, rate), "part long, inputs long, weights binary")
         left = shards
         while left > 1:
@@ -440,6 +482,23 @@ def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return key[order], table.column(1).to_numpy()[order]
 
 
+class Places:
+    """`searchsorted` of hashes: from the place where those with the same first bits begin, a few steps on."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, bits = np.append(known, np.uint64(2**64 - 1)), max(1, len(known).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def __call__(self, word: np.ndarray) -> np.ndarray:
+        at = self.begin[(word >> self.shift).astype(np.int64)]
+        behind = np.flatnonzero(self.known[at] < word)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.known[at[behind]] < word[behind]]
+        return at
+
+
 def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
@@ -447,52 +506,60 @@ def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     it is true are not learned from. Tokens are the words between white space, A-Z lower-cased, and one end a
     document; base_score is the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))). `score` is the log10 probability
     of the text's subword ids and end by the attention model, which learns from all training documents, as do
-    its class shares; it doesn't depend on how rows lie in partitions. Null and empty texts are one end. Equal rows are scored one by one; no rows give no rows; if
-    nothing may be learned from, counts are zero and the model's weights are the starting ones.
+    its class shares; it doesn't depend on how rows lie in partitions. Null and empty texts are one end. Equal rows have
+    a line each with the same score; no rows give no rows; if nothing may be learned from, counts are zero and the model's
+    weights are the starting ones.
 
-    Words are told apart by 64-bit hashes.
+    Words, and documents of (doc_id, text), are told apart by 64-bit hashes; a scan must give the same rows each time.
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    rows = rows.withColumns({"held_out": F.coalesce(held_out, F.lit(False)), "key": F.xxhash64("doc_id", F.coalesce("text", F.lit("")))})
     learned = rows.where(~F.col("held_out"))
-    counts = materialize(counted(learned, path))
-    told = {(r.kind, r.key): r.n for r in counts.where("kind > 0").collect()}
-    by_word = counts.where("kind = 0")
-    ends = told.pop((2, 0), 0)
+    by_word = materialize(counted(learned))
+    known = encoded(rows, path)
+    known_learned = known.where(~F.col("held_out"))
+    told = {r.id: r.n for r in counted_ids(known_learned).collect()}
+    ends = told.pop(-1, 0)
     total = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, distinct = total.n + ends, total.v + (ends > 0)
     ids = np.zeros(VOCABULARY)
-    for (_, key), n in told.items():
-        ids[key] = n
+    for id_, n in told.items():
+        ids[id_] = n
     vocabulary = Vocabulary.of(ids)
-    weights = learned_from_all(learned, fitted(learned, vocabulary, path), vocabulary, path, int(ids.sum()) + ends)
+    weights = learned_from_all(known_learned, fitted(learned, vocabulary, path), vocabulary, int(ids.sum()) + ends)
     below = n_train + 0.5 * (distinct + 1)
     table = spark.sparkContext.broadcast(frequent(by_word, FREQUENT))
     model = spark.sparkContext.broadcast((vocabulary, weights))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, (vocabulary, weights), (known, known_n) = subwords(path), model.value, table.value
+    def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, weights = model.value
         scorer = Scorer(weights)
+        for batch in batches:
+            for a, b, i, c in id_groups(batch.column(1), batch.column(2)):
+                score = scorer(*sequences(i, c, vocabulary), c + 1)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(score)], names=["k", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_n = table.value
+        places = Places(known)
         value = np.log10((known_n + 0.5) / below)
         end_value = np.log10((ends + 0.5) / below)
         for batch in batches:
-            data, offsets = flat(batch.column(3))
+            data, offsets = flat(batch.column(4))
             for a, b in groups(offsets, 1 << 20):
                 text, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 word, row, _ = words(text, at)
-                spot = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
+                spot = np.minimum(places(word), max(len(known) - 1, 0))
                 hit = known[spot] == word if len(known) else np.zeros(len(word), bool)
                 total = np.bincount(row[hit], weights=value[spot[hit]], minlength=b - a) + end_value
                 seen = np.bincount(row[hit], minlength=b - a) + (ends > 0)
-                i, c = tokenizer.encode(text, at)
-                score = scorer(*sequences(i, c, vocabulary), c + 1)
-                own = batch.column(0).slice(a, b - a).to_numpy()
+                own, key = (batch.column(i).slice(a, b - a).to_numpy() for i in (0, 3))
                 doc = pa.StructArray.from_arrays([
                     batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a),
-                    pa.array(np.bincount(row, minlength=b - a) + 1), pa.array(seen.astype(np.int64)), pa.array(total), pa.array(score)],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+                    pa.array(np.bincount(row, minlength=b - a) + 1), pa.array(seen.astype(np.int64)), pa.array(total)],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "base"])
                 # words that are not frequent, once a document
                 rare, rare_row = word[~hit], row[~hit]
                 order = np.lexsort((rare, rare_row))
@@ -500,20 +567,23 @@ def language_scores(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
                 new = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (rare_row[1:] != rare_row[:-1])])) if len(rare) else np.zeros(0, np.int64)
                 times = np.diff(np.append(new, len(rare)))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([own, own[rare_row[new]]])), pa.array(np.concatenate([own, rare[new].view(np.int64)])),
+                    pa.array(np.concatenate([own, own[rare_row[new]]])), pa.array(np.concatenate([key, rare[new].view(np.int64)])),
                     pa.array(np.concatenate([np.zeros(b - a, np.int64), times])), pa.concat_arrays([doc, pa.nulls(len(new), doc.type)])],
                     names=["row", "hash", "times", "doc"])
 
-    parts = rows.select("row", "doc_id", "held_out", "text").mapInArrow(
-        run, "row long, hash long, times long, doc struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double,score:double>")
-    c = by_word.select(F.col("key").alias("k"), F.col("n").alias("c"))
-    # a document's own line goes through the join on its row number and meets nothing
-    joined = parts.join(c, (F.col("hash") == F.col("k")) & (F.col("times") > 0), "left")
+    parts = rows.select("row", "doc_id", "held_out", "key", "text").mapInArrow(
+        run, "row long, hash long, times long, doc struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double>")
+    none = F.lit(None)
+    c = by_word.select(F.col("key").alias("k"), F.col("n").alias("c"), none.cast("double").alias("score"))
+    models = known.select("key", "size", "ids").mapInArrow(modelled, "k long, score double").groupBy("k").agg(F.max("score").alias("score"))
+    c = c.unionAll(models.select("k", none.cast("long").alias("c"), "score"))
+    # a document's own line meets the model's score of its key, all other lines the count of their word
+    joined = parts.join(c, (F.col("hash") == F.col("k")) & ((F.col("times") > 0) == F.col("c").isNotNull()), "left")
     rare = F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(below))
-    scored = joined.select("row", "doc", F.when(F.col("times") > 0, rare).otherwise(0.0).alias("rare"),
+    scored = joined.select("row", "doc", "score", F.when(F.col("times") > 0, rare).otherwise(0.0).alias("rare"),
                            F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("met"))
     out = scored.groupBy("row").agg(
-        *(F.max(f"doc.{name}").alias(name) for name in ("doc_id", "held_out", "n_tokens", "n_known", "base", "score")),
-        F.sum("rare").alias("rare"), F.sum("met").alias("met"))
+        *(F.max(f"doc.{name}").alias(name) for name in ("doc_id", "held_out", "n_tokens", "n_known", "base")),
+        F.max("score").alias("score"), F.sum("rare").alias("rare"), F.sum("met").alias("met"))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("met")).alias("n_known"),
                       F.lit(int(n_train)).cast("long").alias("train_tokens"), (F.col("base") + F.col("rare")).alias("base_score"), "score")

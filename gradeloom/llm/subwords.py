@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-from gradeloom.llm.bytetext import LOWER, SPACE, groups, hashes, runs
+from gradeloom.llm.bytetext import LOWERED, SPACE, groups, hashes, runs
 
 #: Slots of the cache of words (16 bytes each), and ids kept for them (2 bytes each).
 SLOTS, POOL = 1 << 21, 1 << 24
@@ -18,6 +18,8 @@ for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
 MARK = np.zeros(256, bool)
 MARK[0x21:0x7F] = True
 MARK &= ~ALNUM
+#: Kinds of bytes for `bytes.translate`: 0 white space, 1 a letter or digit, 2 a mark, 3 any other.
+KIND = np.select([SPACE, ALNUM, MARK], [0, 1, 2], 3).astype(np.uint8).tobytes()
 #: Words of these letters are one unit for the tokenizer and need no normalising.
 PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
@@ -82,9 +84,9 @@ class Subwords:
             return np.fromiter((i for x in lists for i in x), np.uint16), np.fromiter(map(len, lists), np.int64, rows)
         if self.used > POOL:
             self.forget()
-        low = LOWER[data]
-        marks = np.flatnonzero(MARK[data[1:]] & ALNUM[data[:-1]]) + 1 if len(data) else np.zeros(0, np.int64)
-        starts, ends = runs(~SPACE[data], np.union1d(marks, offsets[1:-1]))
+        low, kind = np.frombuffer(raw.translate(LOWERED), np.uint8), np.frombuffer(raw.translate(KIND), np.uint8)
+        marks = np.flatnonzero((kind[1:] == 2) & (kind[:-1] == 1)) + 1
+        starts, ends = runs(kind != 0, np.concatenate([marks, offsets[1:-1]]))
         word = hashes(low, starts, ends)[0]
         slot = (word >> np.uint64(64 - 21)).astype(np.int64)
         hit = (self.key[slot] == word) & (self.length[slot] > 0)

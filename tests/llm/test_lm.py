@@ -153,6 +153,47 @@ def test_order_of_words_matters(spark, docs):  # noqa: F811
     assert np.mean([own[d].score > other[d].score for d in held]) > 0.9
 
 
+def test_texts_are_cut_into_subwords_once(spark):
+    """What learns and what scores gets the ids that were written, not the texts."""
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    texts = {1: "Red, green (blue) été 12ab", 2: None, 3: "", 4: "red  green\nblue " * 50}
+    table = spark.createDataFrame(list(texts.items()), "key long, text string").withColumn("held_out", F.lit(False))
+    known = lm.encoded(table, PATH)
+    plain = Tokenizer.from_file(PATH)
+    want = {k: plain.encode(t or "", add_special_tokens=False).ids for k, t in texts.items()}
+    rows = {r.key: r for r in known.collect()}
+    assert {k: np.frombuffer(r.ids, np.uint16).tolist() for k, r in rows.items()} == want
+    assert {k: r.size for k, r in rows.items()} == {k: len((t or "").encode()) for k, t in texts.items()}
+    counts = {r.id: r.n for r in lm.counted_ids(known).collect()}
+    assert counts == {**Counter(i for x in want.values() for i in x), -1: 4}
+    ids = np.zeros(lm.VOCABULARY)
+    ids[[i for i in counts if i >= 0]] = [n for i, n in counts.items() if i >= 0]
+    w = lm.start_weights()
+    learned = lm.learned_from_all(known, w, lm.Vocabulary.of(ids), int(ids.sum()) + 4)
+    assert any((learned[k] != w[k]).any() for k in w)
+
+
+def test_gradient_without_loss_and_windows_of_some():
+    rng, w = np.random.default_rng(9), lm.start_weights(4)
+    x, y = rng.integers(0, lm.ROWS, (6, lm.CONTEXT)), rng.integers(0, lm.CLASSES, (6, lm.CONTEXT))
+    there = rng.random((6, 1)) * lm.CONTEXT < np.arange(1, lm.CONTEXT + 1)
+    (loss, g), (none, same) = lm.gradients(w, x, y, there), lm.gradients(w, x, y, there, with_loss=False)
+    assert loss > 0 and none is None and all((g[k] == same[k]).all() for k in g)
+    counts = np.array([1, 16, 17, 100, 31, 32, 33])
+    chosen = rng.permutation(lm.covering(counts))
+    assert all((some == all_[chosen]).all() for some, all_ in zip(lm.windows(counts, chosen), lm.windows(counts), strict=True))
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(10)
+    for n in (0, 1, 5, 3000):
+        known = np.unique(np.append(rng.integers(0, 2**64, n, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)[:n]))
+        word = np.concatenate([known, rng.integers(0, 2**64, 1000, dtype=np.uint64), known[1:] - np.uint64(1)])
+        assert (lm.Places(known)(word) == np.searchsorted(known, word)).all()
+
+
 def test_weights_see_every_input():
     counts = np.array([1, 15, 16, 17, 31, 32, 33, 100, 1])
     at, there, _ = lm.windows(counts)
