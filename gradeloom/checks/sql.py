@@ -581,7 +581,7 @@ SQL |= {
     "stump_predictions": with_ctes(FEATURED, f"select row_id, {KEYS}, (exams_sum > 2)::int::bigint as predicted from features"),
     "fold_scores": "select unnest(range(0, 4))::bigint as fold, 1::bigint as fits",
     "searched_runs": """
-select 'trial-' || n as draw, 1::bigint as version, 'evaluations' as search_end, 1::bigint as fits from range(0, 2) t(n)""",
+select 'trial-' || n as draw, 1::bigint as version, 'evaluations' as search_end, 1::bigint as fits from range(0, 50) t(n)""",
     "updated_run": """
 select 'forest-1' as run_id, 'random_forest' as algorithm, 2::bigint as version, 'development' as stage, 1::bigint as fits""",
     "forest_importance": _every_feature,

@@ -1,6 +1,9 @@
 """Balance, split, neighbours, evaluation, runs, files."""
 
+import inspect
+import math
 import random
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -13,9 +16,9 @@ from gradeloom.operators import evaluate as E, model as M, runs as U
 from gradeloom.operators import nearest as search
 from gradeloom.operators.nearest import nearest
 from gradeloom.operators.ranks import hash_rank
-from gradeloom.operators.sample import balance, folds, split
+from gradeloom.operators.sample import FOLDS, balance, folds, split
 from gradeloom.operators.smote import smote
-from gradeloom.plans.catalog import part_runs, scored
+from gradeloom.plans.catalog import QUERIES, part_runs, scored
 from gradeloom.plans.gradebook import EXAMS, gradebook
 from gradeloom.plans.process import clean_log, feature_table
 from gradeloom.plans.train import (
@@ -332,3 +335,41 @@ def test_neighbours_in_many_dimensions_make_few_rows(spark, monkeypatch):
     expected = pd.DataFrame({"vid": np.repeat(np.arange(1500), 3), "nid": ids.ravel(), "gap": np.take_along_axis(gaps, ids, 1).ravel()})
     same(got, expected, 0)
     assert seen and max(seen) < 1500 * 15 / 2  # far from all of 15 parts
+
+
+def test_searched_runs_makes_every_evaluation_of_the_whole_ranges(spark, monkeypatch):
+    asked = []
+    bound = lambda *a, **b: inspect.signature(kept).bind(*a, **b)
+    kept = M.search
+
+    def seen(*a, **b):
+        call = bound(*a, **b)
+        call.apply_defaults()
+        asked.append(call.arguments)
+        return [M.Built("trial-0", M.FOREST, {}, None, [0.5])]
+
+    monkeypatch.setattr(M, "search", seen)
+    QUERIES["searched_runs"](spark, SF).collect()
+    (asked,) = asked
+    assert asked["space"] is M.SPACE and asked["algorithms"] == M.ALGORITHMS and asked["features"] == FEATURES
+    assert (asked["max_evals"], asked["k"], asked["method"], asked["least_score"]) == (M.MAX_EVALS, FOLDS, "over", 0.0)
+    assert asked["timeout_minutes"] == math.inf and asked["loss_limit"] == -math.inf
+
+
+@pytest.mark.parametrize("least, limit, ends", [(0.0, -2.0, ("evaluations", 7)), (0.5, -0.01, ("loss", 1))])
+def test_draws_tried_together_are_those_of_one_at_a_time(spark, features, monkeypatch, least, limit, ends):
+    """The first is a stored one, five are random, the last follows the others' losses."""
+    scores = lambda params: [round(0.5 + (zlib.crc32(str(params).encode()) % 400) / 1000, 3)] * 2
+    monkeypatch.setattr(M, "cross_validate", lambda prepared, algorithm, params, metric: scores(params))
+    monkeypatch.setattr(M.Prepared, "fit", lambda self, fold, algorithm, params: (fold, algorithm))
+    monkeypatch.setattr(M, "prepare", lambda train, *_: M.Prepared([], train, []))
+    found = []
+    for at_once in (1, 4):
+        monkeypatch.setattr(M, "DRAWS_AT_ONCE", at_once)
+        made = []
+        runs = M.search(features, max_evals=7, starts=6, least_score=least, loss_limit=limit, search_id="s",
+                        warm=(M.FOREST, {"trees": "20"}), on_kept=lambda b: made.append(b.run_id))
+        assert made == [b.run_id for b in runs] and {b.search_end for b in runs} == {ends[0]} and len(runs) == ends[1]
+        found.append([(b.run_id, b.params, b.origin, b.val_score) for b in runs])
+    assert found[0] == found[1]
+    assert ends[1] == 1 or [o for _, _, o, _ in found[0]] == ["stored", *["random"] * 5, "model"]

@@ -213,6 +213,20 @@ def test_margins_moved_with_dropped_trees_are_those_of_the_forest(spark, rows):
     assert np.allclose(np.sort(margins), np.sort(model.forest.margins(values(rows, FEATURES))), atol=1e-9)
 
 
+@pytest.mark.parametrize("params", [
+    {"trees": 7, "leaves": 20, "drop": 0.5, "columns": 0.67, "rate": 0.4, "l1": 0.3},
+    {"trees": 3, "leaves": 40, "depth": 6, "leaf_rows": 3, "objective": "hinge"},
+])
+def test_passes_in_one_task_make_the_same_trees(rows, params):
+    given = boost.into_bins(rows.withColumn("a", F.when(F.col("row_id") % 9 > 0, F.col("a"))).repartition(5), FEATURES)
+    assert given.count() == 600
+    here, spread = (boost.fit_binned(given, params, 3, one_task=n).forest for n in (600, 599))
+    for name in ("feature", "threshold", "left", "right", "value", "cover", "roots"):
+        assert (getattr(here, name) == getattr(spread, name)).all()
+    none = boost.into_bins(rows.limit(0), FEATURES)
+    assert {r.p for r in M.score(boost.fit_binned(none, params), rows).collect()} <= {0.0, 0.5}
+
+
 def test_stored_forest_is_read_back(spark, rows, models, tmp_path):
     models["leafwise"].save(spark, f"{tmp_path}/m")
     again = TreeModel.load(spark, f"{tmp_path}/m")
