@@ -112,6 +112,22 @@ def test_turns_go_by_prefixes_from_the_beginning():
             assert turns[:n] in seen
 
 
+def test_late_turns_go_by_prefixes_from_the_beginning_too():
+    """A template that says it remembers one turn; from the 151st on it tells how many there were before."""
+    def late(turns):
+        return "".join(f"[{r}]{t}\n" if i < 150 else f"[{r} {i}]{t}\n" for i, (r, t) in enumerate(turns))
+
+    turns = [(("user", "assistant")[i % 2], f"t{i}") for i in range(200)]
+    for render, memory in ((late, 1), (marked, OWN.memory)):
+        seen = []
+        state, whole = Conversation(Template(lambda said: seen.append(len(said)) or render(said), memory)), ""  # noqa: B023
+        for n, turn in enumerate(turns, 1):
+            got = state.add(turn)
+            whole += got.added
+            assert whole == render(turns[:n]) and got.added[got.first:got.last] == turn[1]
+        assert set(range(1, 201)) <= set(seen)
+
+
 def test_altered_texts_have_no_place():
     state = Conversation(Template(trimmed))
     first, second, third = (state.add(t) for t in (("user", " a "), ("assistant", "b"), ("user", "")))
